@@ -106,3 +106,13 @@ def month_label(month):
 
 def month_partition(year, month):
     return year * 100 + month
+
+
+def computed_once(df, keep, columns):
+    """Select keep plus the named columns, each computed once per row.
+
+    Spark moves a filter below a projection by copying the filtered expression,
+    and with it everything it is built from. A generated row stops that.
+    """
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select(*keep, F.inline(F.array(row)))
