@@ -50,9 +50,14 @@ def ratio_null(num, den):
     return F.try_divide(num.cast("double"), den)
 
 
+def two_decimals(c):
+    """Rounded half to even after scaling, as column stores round floating-point numbers."""
+    return F.rint(c * F.lit(100.0)) / F.lit(100.0)
+
+
 def percent(num, den):
-    """Share in percent with two decimals, half to even; NULL when the denominator is zero."""
-    return F.bround(F.try_divide(num * F.lit(100.0), den), 2)
+    """Share in percent with two decimals; NULL when the denominator is zero."""
+    return two_decimals(F.try_divide(num * F.lit(100.0), den))
 
 
 def clamp(c, low, high):

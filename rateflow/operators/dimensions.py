@@ -52,7 +52,7 @@ def attach_expected(df, dimension, code):
     """
     label = S.LABELS[code]
     expected = f"{label}_expected"
-    dim = settle(dimension.select(code, F.col(label).alias(expected)))
+    dim = settle(dimension.select(code, F.col(label).alias(expected)), "dimension")
     size = dim.agg(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.sum(F.octet_length(code) + F.octet_length(expected)), F.lit(0)).alias("bytes"),
@@ -65,45 +65,36 @@ def attach_expected(df, dimension, code):
     return salted.join(spread, [code, "_salt"], "left").drop("_salt")
 
 
-def _differs(label):
-    """NULL-safe on both sides: only present labels with a different expectation differ."""
-    return F.coalesce(F.col(label) != F.col(f"{label}_expected"), F.lit(False))
-
-
-def with_expected_labels(df, carriers, airports):
-    return attach_expected(attach_expected(df, carriers, "carrier"), airports, "airport")
-
-
 def canonicalize(df, carriers, airports):
     """Replace labels by the canonical ones. Codes stay, a missing label stays missing."""
-    joined = with_expected_labels(df, carriers, airports)
+    joined = attach_expected(attach_expected(df, carriers, "carrier"), airports, "airport")
     replaced = {
-        label: F.when(_differs(label), F.col(f"{label}_expected")).otherwise(F.col(label))
+        label: F.when(F.col(label).isNotNull(), F.coalesce(f"{label}_expected", label))
         for label in S.LABELS.values()
     }
     return joined.withColumns(replaced).select(*df.columns)
 
 
-def canonicalized_counts(df, carriers, airports, weight=None):
-    """Rows whose carrier and airport label canonicalize changes."""
-    joined = with_expected_labels(df, carriers, airports)
-    one = F.lit(1) if weight is None else F.col(weight)
-    return joined.agg(*[
-        F.coalesce(F.sum(F.when(_differs(label), one)), F.lit(0)).alias(f"{code}_labels_changed")
-        for code, label in S.LABELS.items()
-    ])
-
-
 def mismatches(df, dimension, code, weight=None):
-    """Distinct (code, label, expected) combinations whose label is not canonical, with row counts."""
+    """Distinct (code, label, expected) combinations whose label is not canonical, with row counts.
+
+    Rows are counted per (code, label) first, so the join with the dimension
+    meets one row per label, however many rows carry it.
+    """
     label = S.LABELS[code]
     rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    return (
-        attach_expected(df, dimension, code).filter(_differs(label))
-        .groupBy(F.col(code).alias("code"), F.col(label).alias("label"), F.col(f"{label}_expected").alias("expected"))
-        .agg(rows.alias("n"))
-        .select(F.lit(code).alias("domain"), "code", "label", "expected", "n")
-    )
+    ours = df.filter(F.col(code).isNotNull() & F.col(label).isNotNull()).groupBy(code, label).agg(rows.alias("n"))
+    theirs = dimension.select(code, F.col(label).alias("expected"))
+    return ours.join(theirs, code).filter(F.col(label) != F.col("expected")).select(
+        F.lit(code).alias("domain"), F.col(code).alias("code"), F.col(label).alias("label"), "expected", "n")
+
+
+def canonicalized_counts(df, carriers, airports, weight=None):
+    """Rows whose carrier and airport label canonicalize changes."""
+    wrong = mismatches(df, carriers, "carrier", weight).unionByName(mismatches(df, airports, "airport", weight))
+    return wrong.agg(*[
+        F.coalesce(F.sum(F.when(F.col("domain") == code, F.col("n"))), F.lit(0)).alias(f"{code}_labels_changed")
+        for code in S.LABELS])
 
 
 def first_per_domain(df, order, limit):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rateflow import schema as S
-from rateflow.functions.scalars import percent, ratio_null, total
+from rateflow.functions.scalars import percent, ratio_null, total, two_decimals
 
 SUMMARY_KEYS = ["year", "month", "carrier", "airport"]
 SUMMARY_SUMS = {
@@ -45,7 +45,7 @@ def finish_performance(parts):
     """Delay percentage and mean minutes from the sums; NULL without volume."""
     return parts.withColumns({
         "delay_percentage": percent(F.col("delayed_flights"), F.col("total_flights")),
-        "avg_delay_minutes": F.bround(ratio_null(F.col("delay_minutes"), F.col("total_flights")), 2),
+        "avg_delay_minutes": two_decimals(ratio_null(F.col("delay_minutes"), F.col("total_flights"))),
     }).drop("delay_minutes")
 
 

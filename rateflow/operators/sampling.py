@@ -15,7 +15,7 @@ CHUNK = 65_536
 def avg_rows_per_year(df):
     """Mean rows per year as a sample size: half to even, at least 1, NULL when no year is known."""
     per_year = F.count(F.lit(1)) / F.nullif(F.count_distinct("year"), F.lit(0))
-    rounded = F.bround(per_year, 0).cast("bigint")
+    rounded = F.rint(per_year).cast("bigint")
     return df.agg(F.when(rounded.isNotNull(), F.greatest(F.lit(1), rounded)).alias("rows"))
 
 
@@ -53,7 +53,8 @@ def number_rows(df, digest, limit=None, offset=0):
         .hint("rebalance")
     )
     last = F.least(F.col("_end"), F.col("_from") + CHUNK - 1)
-    return chunks.select(*columns, (F.explode(F.sequence(F.col("_from"), last)) + offset + 1).alias("template_id"))
+    numbered = chunks.select(*columns, F.explode(F.sequence(F.col("_from"), last)).alias("template_id"))
+    return numbered.withColumn("template_id", F.col("template_id") + offset + 1)
 
 
 def stratified_templates(df, count, seed=42):

@@ -170,8 +170,8 @@ def assess(original, generated, years="all"):
 
     reference = reference_rows(original, years)
     candidate = clean.normalize(generated.select(*S.REQUIRED))
-    o = settle(profile(reference, ["_filled", "_clipped"]))
-    g = settle(profile(candidate))
+    o = settle(profile(reference, ["_filled", "_clipped"]), "profile")
+    g = settle(profile(candidate), "profile")
     o_valid, g_valid = o.filter("n_valid > 0"), g.filter("n_valid > 0")
 
     carriers = dimensions.canonical(o, "carrier", "n_rows")
@@ -243,7 +243,7 @@ def run(original, generated, out, years="all"):
     Returns the status.
     """
     result = assess(original, generated, years)
-    report = settle(result.report())
+    report = settle(result.report(), "report")
     write_report(report, f"{out}/validation_report.json")
     status = report.first()["status"]
     if status != FAIL:

@@ -23,22 +23,18 @@ def local_session(cores="*", shuffle_partitions=8, app_name="rateflow"):
 
 
 def shared_folder(spark):
-    """The folder every executor can reach, as the session names it.
+    """The folder every executor can reach, as the session names it in spark.checkpoint.dir.
 
     A local session that names none gets a temporary folder; a cluster that
     names none is an error, because a machine-local folder is lost with its
     machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        set_dir = spark.sparkContext.getCheckpointDir()
-        folder = set_dir.rsplit("/", 1)[0] if set_dir else None
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="rateflow-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+        spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
@@ -47,7 +43,12 @@ def work_path(spark, name):
     return f"{shared_folder(spark)}/rateflow/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df):
-    """Compute a reduced DataFrame once and keep it in the shared folder, where it outlives executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+def settle(df, name):
+    """Compute a reduced DataFrame once, as a table in the shared folder, and continue from that table.
+
+    This cuts the lineage, survives lost executors, lets later steps read only
+    the columns they need, and gives the optimizer the table's real size.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
