@@ -61,8 +61,8 @@ def percent(num, den):
 
 
 def clamp(c, low, high):
-    """c limited to low..high. NULL stays NULL."""
-    return F.when(c < low, low).when(c > high, high).otherwise(c)
+    """c limited to low..high. c must not be NULL or NaN."""
+    return F.greatest(F.least(c, high), low)
 
 
 def number_from_text(text):

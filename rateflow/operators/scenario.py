@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from rateflow import schema as S
-from rateflow.functions.draws import uniform
+from rateflow.functions.draws import with_draws
 from rateflow.functions.scalars import clamp
 
 # Calibration, caps and fallbacks of the projection.
@@ -22,6 +22,8 @@ DEFAULT_MINUTES_PER_DELAYED = 55.0
 DEFAULT_SHARES = [0.30, 0.06, 0.26, 0.002, 0.378]
 SCENARIO_YEAR = 2025
 
+DRAWS = 15
+
 
 def _add(columns):
     return reduce(lambda a, b: a + b, columns)
@@ -50,17 +52,14 @@ def _whole(c):
 
 def scenario(templates, replicas=1, seed=42, year=SCENARIO_YEAR, envelope=True):
     """Project every template `replicas` times. templates needs a template_id and the measures."""
-    source = templates.withColumn("replica", F.explode(F.sequence(F.lit(1), F.lit(replicas))))
-    key = [F.col("template_id"), F.col("replica")]
-
-    def u(draw):
-        return uniform(key, seed, draw)
+    copies = templates.withColumn("replica", F.explode(F.sequence(F.lit(1), F.lit(replicas))))
+    source = with_draws(copies, [F.col("template_id"), F.col("replica")], seed, DRAWS)
 
     def small(draw):
-        return F.lit(0.90) + F.lit(0.20) * u(draw)
+        return F.lit(0.90) + F.lit(0.20) * F.col(f"u{draw}")
 
     def wide(draw):
-        return F.lit(0.85) + F.lit(0.30) * u(draw)
+        return F.lit(0.85) + F.lit(0.30) * F.col(f"u{draw}")
 
     def scaled(values, draw, jitter):
         return values * jitter(draw)
@@ -69,7 +68,7 @@ def scenario(templates, replicas=1, seed=42, year=SCENARIO_YEAR, envelope=True):
     out = source.select(
         "template_id", "replica", *S.TEXT_COLUMNS,
         clamp(F.coalesce(F.nullif(F.col("month").cast("int"), F.lit(0)), F.lit(1)), F.lit(1), F.lit(12)).alias("month"),
-        *[base[c].alias(f"b_{c}") for c in S.MEASURES],
+        *[base[c].alias(f"b_{c}") for c in S.MEASURES], *[f"u{i + 1}" for i in range(DRAWS)],
     )
     b = {c: F.col(f"b_{c}") for c in S.MEASURES}
     flights, delayed = F.col("arr_flights"), F.col("arr_del15")

@@ -43,6 +43,18 @@ def work_path(spark, name):
     return f"{shared_folder(spark)}/rateflow/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df):
+    """For costly work per row: rows that come in fewer pieces than there are cores are dealt out to all cores.
+
+    Inputs with enough pieces, and streams, are left as they are. Meant for
+    plain scans and micro-batches, whose number of pieces is known without work.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def settle(df, name):
     """Compute a reduced DataFrame once, as a table in the shared folder, and continue from that table.
 

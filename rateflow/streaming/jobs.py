@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rateflow import schema as S
 from rateflow.operators import decode, ingest, rollups, scenario
+from rateflow.session import spread
 from rateflow.sources.files import write_partitioned
 
 FACT, QUARANTINE, SUMMARY, MINUTES = "fact", "quarantine", "summary", "minutes"
@@ -31,10 +32,8 @@ def start_ingest(messages, root, payload="payload", arrival="arrival", trigger=N
     A micro-batch is decoded once and kept for its four outputs. Its size is
     bounded by the source (maxOffsetsPerTrigger, maxFilesPerTrigger).
     """
-    typed = ingest.ingest(messages, payload, arrival)
-
-    def write_batch(batch, batch_id):
-        batch.persist()
+    def write_batch(received, batch_id):
+        batch = ingest.ingest(spread(received), payload, arrival).persist()
         try:
             facts = ingest.facts(batch)
             write_partitioned(facts, _batch_path(root, FACT, batch_id), "overwrite")
@@ -45,7 +44,7 @@ def start_ingest(messages, root, payload="payload", arrival="arrival", trigger=N
         finally:
             batch.unpersist()
 
-    return _start(typed, write_batch, root, trigger or {"processingTime": "5 seconds"})
+    return _start(messages, write_batch, root, trigger or {"processingTime": "5 seconds"})
 
 
 def read_output(spark, root, name):

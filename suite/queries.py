@@ -10,7 +10,7 @@ from rateflow.functions import draws, scalars
 from rateflow.operators import (
     clean, compare, decode, dimensions, ingest, kpi, live, quality, rollups, sampling, scenario, seasonality)
 from rateflow.plans import validation
-from rateflow.session import work_path
+from rateflow.session import settle, spread, work_path
 from rateflow.sources import files, messages, star
 from rateflow.streaming import jobs
 
@@ -39,8 +39,13 @@ def _clean(spark, d):
     return star.observations(spark, d)
 
 
+def _stored(spark, d):
+    """The observations as a stored table, for jobs that read their input several times."""
+    return settle(star.observations(spark, d), "observations")
+
+
 def _parts(spark, d):
-    return star.split(star.observations(spark, d))
+    return star.split(_stored(spark, d))
 
 
 def _dirty(spark, d):
@@ -48,7 +53,11 @@ def _dirty(spark, d):
 
 
 def _dirty_parts(spark, d):
-    return star.split_dirty(star.dirty(spark, d))
+    return star.split_dirty(settle(star.dirty(spark, d), "observations"))
+
+
+def _dirty_original(spark, d):
+    return star.split_dirty(star.dirty(spark, d))[0]
 
 
 def _events(spark, d):
@@ -56,7 +65,7 @@ def _events(spark, d):
 
 
 def _messages(spark, d):
-    return star.event_messages(star.read_events(spark, d))
+    return star.event_messages(spread(star.read_events(spark, d)))
 
 
 # --- files ---------------------------------------------------------------
@@ -97,7 +106,7 @@ def sink_ndjson(spark, d):
 
 
 def encode_messages(spark, d):
-    events = _events(spark, d)
+    events = star.event_observations(spread(star.read_events(spark, d)))
     keyed = events.withColumn("kafka_key", messages.message_key(F.col("arrival")))
     encoded = messages.encode_messages(keyed.drop("event_id", "arrival"))
     decoded = ingest.ingest(encoded, "value")
@@ -165,11 +174,11 @@ def normalize(spark, d):
 
 
 def clean_reference(spark, d):
-    return tidy(clean.clean_reference(_dirty_parts(spark, d)[0]))
+    return tidy(clean.clean_reference(_dirty_original(spark, d)))
 
 
 def clean_notes(spark, d):
-    return tidy(clean.clean_counts(_dirty_parts(spark, d)[0]))
+    return tidy(clean.clean_counts(_dirty_original(spark, d)))
 
 
 def fill_missing_cols(spark, d):
@@ -191,7 +200,7 @@ def month_labels(spark, d):
 
 
 def years_last5(spark, d):
-    return tidy(clean.filter_years(_clean(spark, d), "last5"))
+    return tidy(clean.filter_years(_stored(spark, d), "last5"))
 
 
 def years_range(spark, d):
@@ -225,7 +234,7 @@ def kpi_by_month(spark, d):
 
 
 def kpi_month_spine(spark, d):
-    return tidy(kpi.on_month_spine(kpi.by_month(_parts(spark, d)[1])))
+    return tidy(kpi.on_month_spine(kpi.by_month(star.split(_clean(spark, d))[1])))
 
 
 def kpi_compare(spark, d):
@@ -250,7 +259,7 @@ def top_airports(spark, d):
 
 
 def month_mean_index(spark, d):
-    return tidy(kpi.month_mean_index(kpi.by_month(_parts(spark, d)[1])))
+    return tidy(kpi.month_mean_index(kpi.by_month(star.split(_clean(spark, d))[1])))
 
 
 # --- rollups -------------------------------------------------------------
@@ -301,11 +310,11 @@ def latest_per_key(spark, d):
 # --- dimensions and labels -----------------------------------------------
 
 def canonical_carrier(spark, d):
-    return dimensions.canonical(_dirty_parts(spark, d)[0], "carrier")
+    return dimensions.canonical(_dirty_original(spark, d), "carrier")
 
 
 def canonical_airport(spark, d):
-    return dimensions.canonical(_dirty_parts(spark, d)[0], "airport")
+    return dimensions.canonical(_dirty_original(spark, d), "airport")
 
 
 def _with_dimensions(spark, d):
@@ -398,7 +407,7 @@ def avg_rows_per_year(spark, d):
 
 
 def templates_stratified(spark, d):
-    return tidy(sampling.average_year_templates(_clean(spark, d), seed=SEED))
+    return tidy(sampling.average_year_templates(_stored(spark, d), seed=SEED))
 
 
 def uniform_draws(spark, d):
@@ -412,7 +421,7 @@ def _event_templates(events):
 
 
 def scenario_rows(spark, d):
-    return tidy(scenario.scenario(_event_templates(star.read_events(spark, d)), 2, SEED, envelope=False))
+    return tidy(scenario.scenario(_event_templates(spread(star.read_events(spark, d))), 2, SEED, envelope=False))
 
 
 def apportion(spark, d):
