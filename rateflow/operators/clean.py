@@ -63,16 +63,16 @@ def filter_years(df, window="all"):
 
 def valid_predicate():
     """One conjunction: a record that may enter KPIs. Missing measures count as 0."""
-    v = {c: or_zero(F.col(c)) for c in S.MEASURES}
+    v = {c: f"coalesce({c}, 0)" for c in S.MEASURES}
     terms = [
-        v["arr_flights"] > 0,
-        v["arr_del15"] <= v["arr_flights"],
-        v["arr_delay"] >= 0,
-        v["arr_delay"] < MAX_DELAY_MINUTES,
+        f"{v['arr_flights']} > 0",
+        f"{v['arr_del15']} <= {v['arr_flights']}",
+        f"{v['arr_delay']} >= 0",
+        f"{v['arr_delay']} < {MAX_DELAY_MINUTES}",
+        *[f"{v[c]} >= 0" for c in S.CAUSE_MINUTES],
+        *[f"{v[c]} BETWEEN 0 AND {v['arr_del15']}" for c in S.CAUSE_COUNTS],
     ]
-    terms += [v[c] >= 0 for c in S.CAUSE_MINUTES]
-    terms += [(v[c] >= 0) & (v[c] <= v["arr_del15"]) for c in S.CAUSE_COUNTS]
-    return reduce(lambda a, b: a & b, terms)
+    return F.expr(" AND ".join(terms))
 
 
 def valid_records(df):

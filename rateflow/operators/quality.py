@@ -1,13 +1,10 @@
 """The quality-rule catalogue and its one-pass evaluation."""
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rateflow import schema as S
-from rateflow.functions.scalars import or_zero
 
 MAX_DELAY = 100_000
 MAX_FLIGHTS = 5_000_000
@@ -19,14 +16,14 @@ ERROR, WARNING = "error", "warning"
 
 @dataclass(frozen=True)
 class Rule:
-    """A row predicate with its wording and its severity for reference and candidate data.
+    """A row predicate in SQL, with its wording and its severity for reference and candidate data.
 
     A predicate that is NULL, because a value is missing, does not count.
     """
 
     name: str
     wording: str
-    broken: Column
+    broken: str
     original: str
     generated: str
 
@@ -36,23 +33,26 @@ class Rule:
 
 def row_rules():
     """The rules in report order."""
-    causes = reduce(lambda a, b: a + b, [or_zero(F.col(c)) for c in S.CAUSE_MINUTES])
-    delay, flights, delayed = F.col("arr_delay"), F.col("arr_flights"), F.col("arr_del15")
+    causes = " + ".join(f"coalesce({c}, 0)" for c in S.CAUSE_MINUTES)
     signed = [c for c in S.MEASURES if c != "arr_flights"]
     return [
-        Rule("invalid_month", "have invalid month", (F.col("month") < 1) | (F.col("month") > 12), ERROR, ERROR),
-        Rule("no_flights", "have arr_flights <= 0", flights <= 0, WARNING, ERROR),
-        Rule("delayed_over_flights", "have arr_del15 > arr_flights", delayed > flights, WARNING, ERROR),
-        *[Rule(f"negative_{c}", f"have negative {c}", F.col(c) < 0, WARNING, ERROR) for c in signed],
-        Rule("delay_too_big", f"have arr_delay > {MAX_DELAY}", delay > MAX_DELAY, WARNING, WARNING),
-        Rule("flights_too_big", f"have arr_flights > {MAX_FLIGHTS}", flights > MAX_FLIGHTS, WARNING, WARNING),
-        *[Rule(f"{c}_over_delayed", f"have {c} > arr_del15", F.col(c) > delayed, WARNING, ERROR)
+        Rule("invalid_month", "have invalid month", "month < 1 OR month > 12", ERROR, ERROR),
+        Rule("no_flights", "have arr_flights <= 0", "arr_flights <= 0", WARNING, ERROR),
+        Rule("delayed_over_flights", "have arr_del15 > arr_flights", "arr_del15 > arr_flights", WARNING, ERROR),
+        *[Rule(f"negative_{c}", f"have negative {c}", f"{c} < 0", WARNING, ERROR) for c in signed],
+        Rule("delay_too_big", f"have arr_delay > {MAX_DELAY}", f"arr_delay > {MAX_DELAY}", WARNING, WARNING),
+        Rule("flights_too_big", f"have arr_flights > {MAX_FLIGHTS}", f"arr_flights > {MAX_FLIGHTS}", WARNING, WARNING),
+        *[Rule(f"{c}_over_delayed", f"have {c} > arr_del15", f"{c} > arr_del15", WARNING, ERROR)
           for c in S.CAUSE_COUNTS],
         Rule("delay_sum_mismatch", "have delay sum mismatch > 1 minute",
-             F.abs(delay - causes) > DELAY_SUM_SLACK, WARNING, ERROR),
+             f"abs(arr_delay - ({causes})) > {DELAY_SUM_SLACK}", WARNING, ERROR),
     ]
 
 
+RULES = row_rules()
+TALLY_NAMES = [f"null_{c}" for c in S.REQUIRED] + [f"rule_{r.name}" for r in RULES]
+
+
 def missing_columns(df):
     """Required columns the schema lacks. The other rules need all of them."""
     return [c for c in S.REQUIRED if c not in df.columns]
@@ -60,22 +60,21 @@ def missing_columns(df):
 
 def null_counts(df):
     """Required columns with missing values and how many. One pass over the data."""
-    counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in S.REQUIRED])
+    counted = df.agg(*[F.expr(f"count_if({c} IS NULL) AS {c}") for c in S.REQUIRED])
     return counted.unpivot([], S.REQUIRED, "column", "n").filter(F.col("n") > 0)
 
 
 def violation_counts(df):
     """Rows breaking each rule, zero included. All rules share one pass over the data."""
-    rules = row_rules()
-    counted = df.agg(*[F.count_if(r.broken).alias(r.name) for r in rules])
-    return counted.unpivot([], [r.name for r in rules], "rule", "n")
+    counted = df.agg(*[F.expr(f"count_if({r.broken}) AS {r.name}") for r in RULES])
+    return counted.unpivot([], [r.name for r in RULES], "rule", "n")
 
 
 def tally_columns():
     """Aggregates counting missing values and broken rules, for a shared aggregation with other sums."""
     return (
-        [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in S.REQUIRED]
-        + [F.count_if(r.broken).alias(f"rule_{r.name}") for r in row_rules()]
+        [F.expr(f"count_if({c} IS NULL) AS null_{c}") for c in S.REQUIRED]
+        + [F.expr(f"count_if({r.broken}) AS rule_{r.name}") for r in RULES]
     )
 
 
@@ -86,40 +85,26 @@ def tally(df):
 
 def merge_tallies(df):
     """Add up tallies that were grouped by some key; an empty input counts as zero."""
-    names = [f"null_{c}" for c in S.REQUIRED] + [f"rule_{r.name}" for r in row_rules()]
-    return df.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+    return df.agg(*[F.expr(f"coalesce(sum({n}), 0) AS {n}") for n in TALLY_NAMES])
 
 
 def findings(tally_row, dataset):
     """Turn a tally into findings: (dataset, ord, severity, rule, n, message), only rules that fired."""
-    rules = row_rules()
-    nulls = [F.col(f"null_{c}") for c in S.REQUIRED]
-    shown = F.concat_ws(", ", *[
-        F.when(n > 0, F.concat(F.lit(f"'{c}': "), n.cast("string"))) for c, n in zip(S.REQUIRED, nulls)])
-    first = F.struct(
-        F.lit(1).alias("ord"),
-        F.lit(WARNING if dataset == "ORIGINAL" else ERROR).alias("severity"),
-        F.lit("missing_values").alias("rule"),
-        reduce(lambda a, b: a + b, nulls).alias("n"),
-        F.concat(F.lit(f"{dataset}: Nulls in required columns: {{"), shown, F.lit("}")).alias("message"),
-    )
-    rest = [
-        F.struct(
-            # The year check sits after the month rule in the report.
-            F.lit(2 if i == 0 else i + 3).alias("ord"),
-            F.lit(r.severity(dataset)).alias("severity"),
-            F.lit(r.name).alias("rule"),
-            F.col(f"rule_{r.name}").alias("n"),
-            F.concat(F.lit(f"{dataset}: "), F.col(f"rule_{r.name}").cast("string"),
-                     F.lit(f" records {r.wording}")).alias("message"),
-        )
-        for i, r in enumerate(rules)
-    ]
-    return (
-        tally_row.select(F.explode(F.array(first, *rest)).alias("f"))
-        .select(F.lit(dataset).alias("dataset"), "f.*")
-        .filter(F.col("n") > 0)
-    )
+    shown = ", ".join(
+        f"CASE WHEN null_{c} > 0 THEN concat(\"'{c}': \", null_{c}) END" for c in S.REQUIRED)
+    cells = " + ".join(f"null_{c}" for c in S.REQUIRED)
+    nulls_severity = WARNING if dataset == "ORIGINAL" else ERROR
+    rows = [
+        f"1, '{nulls_severity}', 'missing_values', {cells}, "
+        f"concat('{dataset}: Nulls in required columns: {{', concat_ws(', ', {shown}), '}}')"]
+    for i, r in enumerate(RULES):
+        # The year check sits after the month rule in the report.
+        order = 2 if i == 0 else i + 3
+        rows.append(
+            f"{order}, '{r.severity(dataset)}', '{r.name}', rule_{r.name}, "
+            f"concat('{dataset}: ', rule_{r.name}, ' records {r.wording}')")
+    unfolded = f"stack({len(rows)}, {', '.join(rows)}) AS (ord, severity, rule, n, message)"
+    return tally_row.selectExpr(f"'{dataset}' AS dataset", unfolded).filter(F.col("n") > 0)
 
 
 def schema_findings(spark, dataset, missing):

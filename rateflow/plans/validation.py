@@ -31,11 +31,11 @@ OUTPUT_NAMES = {
 
 def profile(df, extra_sums=()):
     """Reduce normalized rows to one row per key with counts and sums over valid rows."""
-    ok = clean.valid_predicate()
-    return df.groupBy(*S.PERIOD, *S.TEXT_COLUMNS).agg(
+    marked = df.withColumn("_ok", clean.valid_predicate())
+    return marked.groupBy(*S.PERIOD, *S.TEXT_COLUMNS).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(ok).alias("n_valid"),
-        *[total(F.when(ok, F.col(c))).alias(c) for c in S.MEASURES],
+        F.count_if("_ok").alias("n_valid"),
+        *[F.expr(f"coalesce(sum(CASE WHEN _ok THEN {c} END), 0) AS {c}") for c in S.MEASURES],
         *quality.tally_columns(),
         *[total(c).alias(c) for c in extra_sums],
     )
@@ -45,10 +45,10 @@ def reference_rows(original, years="all"):
     """Normalize, restrict to a year window and clean the reference; count the cleaned cells per row."""
     rows = clean.filter_years(clean.normalize(original), years)
 
-    def cells(test):
-        return reduce(lambda a, b: a + b, [F.when(test(F.col(c)), 1).otherwise(0) for c in S.MEASURES])
-
-    counted = rows.withColumns({"_filled": cells(lambda c: c.isNull()), "_clipped": cells(lambda c: c < 0)})
+    counted = rows.withColumns({
+        "_filled": F.expr(" + ".join(f"CAST({c} IS NULL AS INT)" for c in S.MEASURES)),
+        "_clipped": F.expr(" + ".join(f"CAST(coalesce({c}, 0) < 0 AS INT)" for c in S.MEASURES)),
+    })
     return clean.clean_reference(counted)
 
 

@@ -17,6 +17,7 @@ def local_session(cores="*", shuffle_partitions=8, app_name="rateflow"):
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.streaming.ui.enabled", "false")
         .getOrCreate()
     )
