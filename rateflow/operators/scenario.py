@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rateflow import schema as S
 from rateflow.functions.draws import with_draws
-from rateflow.functions.scalars import clamp
+from rateflow.functions.scalars import clamp, computed_once
 
 # Calibration, caps and fallbacks of the projection.
 DELAY_RATE_CALIBRATION = 1.085
@@ -119,9 +119,9 @@ def scenario(templates, replicas=1, seed=42, year=SCENARIO_YEAR, envelope=True):
         "arr_diverted": _whole(flights * divert),
         "year": F.lit(year),
     })
-    observations = out.select(
-        "template_id", "replica", *S.PERIOD, *S.TEXT_COLUMNS, "arr_flights", "arr_del15", *S.CAUSE_COUNTS,
-        "arr_cancelled", "arr_diverted", "arr_delay", *S.CAUSE_MINUTES)
+    names = [*S.PERIOD, *S.TEXT_COLUMNS, "arr_flights", "arr_del15", *S.CAUSE_COUNTS,
+             "arr_cancelled", "arr_diverted", "arr_delay", *S.CAUSE_MINUTES]
+    observations = computed_once(out, ["template_id", "replica"], {c: F.col(c) for c in names})
     return with_envelope(observations, seed) if envelope else observations
 
 

@@ -12,7 +12,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8)
+    session = local_session(8, shuffle_partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
