@@ -51,7 +51,7 @@ def filter_years(df, window="all"):
     """
     if window == "last5":
         newest = df.agg(F.max("year")).scalar()
-        return df.filter((F.col("year") >= newest - 4) & (F.col("year") <= newest))
+        return df.filter(F.col("year") >= newest - 4)
     if window != "all":
         try:
             low, high = sorted(int(y) for y in window)
