@@ -1,5 +1,6 @@
 """Session helpers: building a local session and finding the shared work folder."""
 
+import functools
 import tempfile
 import uuid
 
@@ -23,6 +24,11 @@ def local_session(cores="*", shuffle_partitions=8, app_name="rateflow"):
     )
 
 
+@functools.cache
+def _local_folder():
+    return tempfile.mkdtemp(prefix="rateflow-")
+
+
 def shared_folder(spark):
     """The folder every executor can reach, as the session names it in spark.checkpoint.dir.
 
@@ -34,8 +40,7 @@ def shared_folder(spark):
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="rateflow-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _local_folder()
     return folder.rstrip("/")
 
 

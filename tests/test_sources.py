@@ -81,3 +81,17 @@ def test_settle_writes_to_the_shared_folder(spark):
     table = settle(spark.range(5), "test")
     assert table.count() == 5
     assert shared_folder(spark) in one(table.select("_metadata.file_path").limit(1))[0]
+
+
+class _Session:
+    """A session whose settings do not name a folder."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = type("Context", (), {"master": master})
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    assert shared_folder(_Session("local[2]")) == shared_folder(_Session("local[2]"))
+    with pytest.raises(ValueError):
+        shared_folder(_Session("spark://host:7077"))
