@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from rateflow.llm import decontaminate, line_dedup
+from rateflow.llm import decontaminate, line_dedup, simhash
 
 
 def _table(spark, d, name):
@@ -22,4 +22,8 @@ def op8_decontaminate(spark, d):
         decontaminate.is_contaminated().alias("contaminated"))
 
 
-ALL = {f.__name__: f for f in [op1_line_dedup, op8_decontaminate]}
+def op10_simhash_near_dedup(spark, d):
+    return simhash.near_duplicates(_table(spark, d, "documents"))
+
+
+ALL = {f.__name__: f for f in [op1_line_dedup, op8_decontaminate, op10_simhash_near_dedup]}
