@@ -1,19 +1,35 @@
 """The registered queries of the training-data operators: each applies its operator to whole tables."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from rateflow.llm import decontaminate, line_dedup, simhash
+from rateflow.llm import decontaminate, line_dedup, pieces, simhash, token_counts
 
 
 def _table(spark, d, name):
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def _packed(ids):
+    """Ids as little-endian unsigned 32-bit integers, one after the other."""
+    @F.pandas_udf("binary")
+    def pack(values):
+        return values.map(lambda x: x.astype("<u4").tobytes())
+    return pack(ids)
+
+
 def op1_line_dedup(spark, d):
     kept = line_dedup.dedup_lines(_table(spark, d, "documents"))
     return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_sentencepiece(spark, d):
+    coded = pieces.encode_and_decode(_table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select(
+        "row.doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(_packed("ids"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op8_decontaminate(spark, d):
     found = decontaminate.find_hits(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
     return found.select(
@@ -22,8 +38,14 @@ def op8_decontaminate(spark, d):
         decontaminate.is_contaminated().alias("contaminated"))
 
 
+def op9_token_counts(spark, d):
+    counted = token_counts.count_tokens(_table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return counted.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
 def op10_simhash_near_dedup(spark, d):
     return simhash.near_duplicates(_table(spark, d, "documents"))
 
 
-ALL = {f.__name__: f for f in [op1_line_dedup, op8_decontaminate, op10_simhash_near_dedup]}
+ALL = {f.__name__: f for f in [
+    op1_line_dedup, op6_sentencepiece, op8_decontaminate, op9_token_counts, op10_simhash_near_dedup]}
