@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rateflow.llm import decontaminate, line_dedup, pieces, simhash, token_counts
+from rateflow.llm import decontaminate, line_dedup, pieces, simhash, token_counts, toxicity
 
 
 def _table(spark, d, name):
@@ -23,6 +23,14 @@ def op1_line_dedup(spark, d):
     return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_toxicity(spark, d):
+    docs = _table(spark, d, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    scored = toxicity.score(docs, toxicity.train(docs, _table(spark, d, "labels"), ~held_out))
+    return scored.select("row.doc_id", "score").select(
+        "doc_id", F.coalesce(held_out, F.lit(True)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_sentencepiece(spark, d):
     coded = pieces.encode_and_decode(_table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return coded.select(
@@ -48,4 +56,4 @@ def op10_simhash_near_dedup(spark, d):
 
 
 ALL = {f.__name__: f for f in [
-    op1_line_dedup, op6_sentencepiece, op8_decontaminate, op9_token_counts, op10_simhash_near_dedup]}
+    op1_line_dedup, op3_toxicity, op6_sentencepiece, op8_decontaminate, op9_token_counts, op10_simhash_near_dedup]}
