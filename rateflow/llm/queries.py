@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rateflow.llm import decontaminate, line_dedup, pieces, simhash, token_counts, toxicity
+from rateflow.llm import decontaminate, language, line_dedup, pieces, simhash, token_counts, toxicity
 
 
 def _table(spark, d, name):
@@ -31,6 +31,14 @@ def op3_toxicity(spark, d):
         "doc_id", F.coalesce(held_out, F.lit(True)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_language_id(spark, d):
+    docs = _table(spark, d, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    found = language.label_documents(docs, language.train(docs, ~held_out))
+    return found.select("row.doc_id", "lang_pred", "score").select(
+        "doc_id", F.coalesce(held_out, F.lit(True)).alias("held_out"), "lang_pred", "score")
+
+
 def op6_sentencepiece(spark, d):
     coded = pieces.encode_and_decode(_table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return coded.select(
@@ -56,4 +64,4 @@ def op10_simhash_near_dedup(spark, d):
 
 
 ALL = {f.__name__: f for f in [
-    op1_line_dedup, op3_toxicity, op6_sentencepiece, op8_decontaminate, op9_token_counts, op10_simhash_near_dedup]}
+    op1_line_dedup, op3_toxicity, op4_language_id, op6_sentencepiece, op8_decontaminate, op9_token_counts, op10_simhash_near_dedup]}
