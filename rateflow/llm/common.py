@@ -80,3 +80,17 @@ def lookup(big, small, key, rows):
 def stored(df, name):
     """A table in the shared folder; cuts the lineage and survives the loss of executors."""
     return settle(df, name)
+
+
+def search_buckets(members, bucket, item, limit, search, schema):
+    """Run `search` on the rows of every bucket with at least two rows, never on more than about 2 x limit rows at once.
+
+    A larger bucket is cut into chunks by the hash of `item`, and every two of its chunks are searched together.
+    `search` takes an Arrow table and returns one of `schema`; it must give links, not all pairs.
+    """
+    sizes = members.groupBy(bucket).agg(F.count("*").alias("_n")).where("_n > 1")
+    chunks = F.ceil(F.col("_n") / limit).cast("int")
+    own = members.join(sizes, bucket).withColumn("_own", F.pmod(F.xxhash64(item), chunks).cast("int"))
+    dealt = own.withColumn("_other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    dealt = dealt.withColumns({"_i": F.least("_own", "_other"), "_j": F.greatest("_own", "_other")})
+    return dealt.groupBy(bucket, "_i", "_j").applyInArrow(lambda table: search(table), schema)

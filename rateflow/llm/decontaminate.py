@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from rateflow.llm.common import by_piece, column, row_and_text
+from rateflow.llm.wordhash import window_hashes, word_table
 
 WIDTH = 13
 BLOCK_BYTES = 32 << 20
@@ -31,45 +32,12 @@ _IS_WORD[0x80:] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 _TO_WORDS = bytes(int(_LOWER[i]) if _IS_WORD[_LOWER[i]] else 0x20 for i in range(256))
-_BASE, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
 def _words(data):
     return data.translate(_TO_WORDS).split()
 
 
-def _powers(base, n):
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
-
-
-def _mixed(x):
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    return x ^ (x >> np.uint64(29))
-
-
-def word_table(data):
-    """Start, end and 64-bit hash of every word in lower-cased bytes."""
-    inside = _IS_WORD[data]
-    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    starts, ends = edges[::2], edges[1::2]
-    terms = np.where(inside, data, 0).astype(np.uint64) + inside
-    terms *= _powers(_BASE, len(data))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)])
-    return starts, ends, _mixed((sums[ends] - sums[starts]) * _powers(_INVERSE, len(data) + 1)[starts])
-
-
-def window_hashes(words, width):
-    """Hash of the `width` words from each word on, for all but the last words."""
-    n = max(0, len(words) - width + 1)
-    out = np.zeros(n, np.uint64)
-    for k, factor in enumerate(_powers(_STEP, width)):
-        out += words[k:k + n] * factor
-    return out
-
-
 def item_windows(benchmark, id_col="item_id", text_col="text", width=WIDTH):
     """(item, n_words, words): the distinct windows of all items; `words` are joined by a space, as bytes."""
     def windows(piece):
@@ -97,7 +65,7 @@ class _Block:
             grouped.setdefault(size, {}).setdefault(bytes(words), []).append(item)
         for size, windows in grouped.items():
             data = np.frombuffer(b"".join(w + b" " for w in windows), np.uint8)
-            hashes = window_hashes(word_table(data)[2], size)[::size]
+            hashes = window_hashes(word_table(data, _IS_WORD[data])[2], size)[::size]
             by_hash = {}
             for h, w in zip(hashes.tolist(), windows, strict=True):
                 by_hash.setdefault(h, []).append(w)
@@ -111,7 +79,7 @@ def _scan(block, texts):
     """Per text: its number of words, its hit runs and the items found."""
     lows = b"\x00".join(texts)
     data = _LOWER[np.frombuffer(lows, np.uint8)]
-    starts, ends, hashes = word_table(data)
+    starts, ends, hashes = word_table(data, _IS_WORD[data])
     sizes = np.array([len(t) for t in texts], np.int64)
     begins = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]]).astype(np.int64)
     first_word = np.searchsorted(starts, np.append(begins, begins[-1] + sizes[-1] + 1))

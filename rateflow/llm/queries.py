@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rateflow.llm import decontaminate, language, line_dedup, pieces, simhash, token_counts, toxicity
+from rateflow.llm import decontaminate, fingerprints, language, line_dedup, pieces, simhash, token_counts, toxicity
 
 
 def _table(spark, d, name):
@@ -39,6 +39,10 @@ def op4_language_id(spark, d):
         "doc_id", F.coalesce(held_out, F.lit(True)).alias("held_out"), "lang_pred", "score")
 
 
+def op5_fingerprints(spark, d):
+    return fingerprints.fingerprint_edits(_table(spark, d, "documents"))
+
+
 def op6_sentencepiece(spark, d):
     coded = pieces.encode_and_decode(_table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return coded.select(
@@ -64,4 +68,4 @@ def op10_simhash_near_dedup(spark, d):
 
 
 ALL = {f.__name__: f for f in [
-    op1_line_dedup, op3_toxicity, op4_language_id, op6_sentencepiece, op8_decontaminate, op9_token_counts, op10_simhash_near_dedup]}
+    op1_line_dedup, op3_toxicity, op4_language_id, op5_fingerprints, op6_sentencepiece, op8_decontaminate, op9_token_counts, op10_simhash_near_dedup]}
