@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rateflow.llm import decontaminate, fingerprints, language, line_dedup, pieces, simhash, token_counts, toxicity
+from rateflow.llm import decontaminate, fingerprints, language, line_dedup, pieces, pii, simhash, token_counts, toxicity
 
 
 def _table(spark, d, name):
@@ -50,6 +50,10 @@ def op6_sentencepiece(spark, d):
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_personal_data(spark, d):
+    return pii.digest(pii.find_personal_data(_table(spark, d, "documents")))
+
+
 def op8_decontaminate(spark, d):
     found = decontaminate.find_hits(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
     return found.select(
@@ -68,4 +72,4 @@ def op10_simhash_near_dedup(spark, d):
 
 
 ALL = {f.__name__: f for f in [
-    op1_line_dedup, op3_toxicity, op4_language_id, op5_fingerprints, op6_sentencepiece, op8_decontaminate, op9_token_counts, op10_simhash_near_dedup]}
+    op1_line_dedup, op3_toxicity, op4_language_id, op5_fingerprints, op6_sentencepiece, op7_personal_data, op8_decontaminate, op9_token_counts, op10_simhash_near_dedup]}
