@@ -25,14 +25,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
+from rateflow.llm import bloom
 from rateflow.llm.common import by_piece, column, lookup, pieces, stored, whole_row
 
 MIN_CHARS = 10
 BITS_PER_KEY = 8
 MAX_BITS = 1 << 28
-HASHES = 3
-SEGMENT_BITS = 1 << 16
-_GAMMA = np.uint64(0x9E3779B97F4A7C15)
 
 
 def line_key(line, min_chars=MIN_CHARS):
@@ -55,100 +53,11 @@ def _hashes(keys):
     return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, keys)), ">u8").astype(np.uint64)
 
 
-def _positions(hashes, bits):
-    """HASHES bit numbers for each hash; `bits` is a power of two."""
-    steps = (hashes * _GAMMA) | np.uint64(1)
-    return np.stack([(hashes + np.uint64(i) * steps) & np.uint64(bits - 1) for i in range(HASHES)], 1)
-
-
-def _is_set(bitmap, places):
-    return (bitmap[places >> np.uint64(3)] >> (places & np.uint64(7)).astype(np.uint8)) & 1 != 0
-
-
-def _set(bitmap, places):
-    np.bitwise_or.at(bitmap, places >> np.uint64(3), np.left_shift(np.uint8(1), (places & np.uint64(7)).astype(np.uint8)))
-
-
-def _pack(segment):
-    """A segment's bits as a bitmap, or as 16-bit numbers where that is shorter."""
-    if int(np.bitwise_count(segment).sum()) * 2 >= len(segment):
-        return segment.tobytes()
-    return np.flatnonzero(np.unpackbits(segment, bitorder="little")).astype("<u2").tobytes()
-
-
-def _unpack(data, size):
-    if len(data) == size:
-        return np.frombuffer(data, np.uint8)
-    bits = np.zeros(size * 8, np.uint8)
-    bits[np.frombuffer(data, "<u2")] = 1
-    return np.packbits(bits, bitorder="little")
-
-
-def _partial_filters(bits, min_chars):
-    def run(batches):
-        once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
-        for piece in pieces(batches):
-            keys = [k for text in piece.column("text").to_pylist() for k in _keys(text, min_chars)]
-            places, times = np.unique(_positions(_hashes(keys), bits), return_counts=True)
-            _set(twice, places[(times > 1) | _is_set(once, places)])
-            _set(once, places)
-        size = min(bits, SEGMENT_BITS) // 8
-        numbers = [i for i in range(bits // 8 // size) if once[i * size:(i + 1) * size].any()]
-        for start in range(0, len(numbers), 256):
-            some = numbers[start:start + 256]
-            cut = [slice(i * size, (i + 1) * size) for i in some]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(some, pa.int32()), pa.array([_pack(once[c]) for c in cut], pa.binary()),
-                 pa.array([_pack(twice[c]) for c in cut], pa.binary())], names=["segment", "once", "twice"])
-    return run
-
-
-def _merged(size):
-    """Rows come sorted by segment; one segment is held at a time."""
-    def run(batches):
-        at, once, twice = None, None, None
-        for batch in batches:
-            done = []
-            for number, a, b in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                a, b = _unpack(a, size), _unpack(b, size)
-                if number != at:
-                    if at is not None and twice.any():
-                        done.append((at, twice.tobytes()))
-                    at, once, twice = number, a.copy(), b.copy()
-                else:
-                    twice |= b | (once & a)
-                    once |= a
-            if done:
-                yield pa.RecordBatch.from_pylist([{"segment": n, "twice": t} for n, t in done], _SEGMENT)
-        if at is not None and twice.any():
-            yield pa.RecordBatch.from_pylist([{"segment": at, "twice": twice.tobytes()}], _SEGMENT)
-    return run
-
-
-_SEGMENT = pa.schema([("segment", pa.int32()), ("twice", pa.binary())])
-
-
-def twice_filter(texts, lines, min_chars=MIN_CHARS, bits_per_key=BITS_PER_KEY, max_bits=MAX_BITS):
-    """The merged filter of keys that may be in two documents, of at most max_bits / 8 bytes."""
-    bits = 1 << 16
-    while bits < min(lines * bits_per_key, max_bits):
-        bits *= 2
-    size = min(bits, SEGMENT_BITS) // 8
-    partial = texts.mapInArrow(_partial_filters(bits, min_chars), "segment int, once binary, twice binary")
-    merged = partial.repartition("segment").sortWithinPartitions("segment").mapInArrow(
-        _merged(size), "segment int, twice binary")
-    out = np.zeros(bits // 8, np.uint8)
-    for number, segment in merged.toLocalIterator():
-        out[number * size:(number + 1) * size] = np.frombuffer(segment, np.uint8)
-    return out
-
-
 def _suspects(text, twice, min_chars):
     keys = list(_keys(text, min_chars))
     if not keys:
         return []
-    sure = _is_set(twice, _positions(_hashes(keys), len(twice) * 8)).all(1)
-    return [_digest(keys[i]) for i in np.flatnonzero(sure)]
+    return [_digest(keys[i]) for i in np.flatnonzero(bloom.contains(twice, _hashes(keys)))]
 
 
 def dedup_lines(docs, id_col="doc_id", text_col="text", min_chars=MIN_CHARS, bits_per_key=BITS_PER_KEY,
@@ -158,7 +67,15 @@ def dedup_lines(docs, id_col="doc_id", text_col="text", min_chars=MIN_CHARS, bit
     text = F.coalesce(column(text_col), F.lit(""))
     texts = docs.select(text.cast("binary").alias("text"))
     lines = docs.select((F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1).alias("n")).agg(F.sum("n")).first()[0]
-    shared = spark.sparkContext.broadcast(twice_filter(texts, lines or 0, min_chars, bits_per_key, max_bits))
+    bits = bloom.size_for(lines or 0, bits_per_key, max_bits)
+
+    def fill(batches):
+        filters = bloom.Pair(bits)
+        for piece in pieces(batches):
+            filters.add(_hashes([k for text in piece.column("text").to_pylist() for k in _keys(text, min_chars)]))
+        yield from filters.batches()
+
+    shared = spark.sparkContext.broadcast(bloom.twice_filter(texts.mapInArrow(fill, bloom.PARTIAL), bits))
 
     rows = docs.select(whole_row(docs), text.cast("binary").alias("text"), column(id_col).alias("doc_id"))
 

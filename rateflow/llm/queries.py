@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rateflow.llm import decontaminate, fingerprints, language, line_dedup, pieces, pii, simhash, token_counts, toxicity
+from rateflow.llm import decontaminate, fingerprints, language, line_dedup, pieces, pii, simhash, substrings, token_counts, toxicity
 
 
 def _table(spark, d, name):
@@ -23,6 +23,10 @@ def op1_line_dedup(spark, d):
     return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_substring_dedup(spark, d):
+    return substrings.near_duplicate_passages(_table(spark, d, "documents"))
+
+
 def op3_toxicity(spark, d):
     docs = _table(spark, d, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
@@ -72,4 +76,4 @@ def op10_simhash_near_dedup(spark, d):
 
 
 ALL = {f.__name__: f for f in [
-    op1_line_dedup, op3_toxicity, op4_language_id, op5_fingerprints, op6_sentencepiece, op7_personal_data, op8_decontaminate, op9_token_counts, op10_simhash_near_dedup]}
+    op1_line_dedup, op2_substring_dedup, op3_toxicity, op4_language_id, op5_fingerprints, op6_sentencepiece, op7_personal_data, op8_decontaminate, op9_token_counts, op10_simhash_near_dedup]}
