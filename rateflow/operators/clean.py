@@ -3,9 +3,11 @@
 from functools import reduce
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rateflow import schema as S
-from rateflow.functions.scalars import blank_to_null, month_name, month_label, number_or_missing, or_zero
+from rateflow.functions.scalars import (
+    blank_to_null, computed_once, month_label, month_name, nan_to_null, number_or_missing, or_zero)
 
 MAX_DELAY_MINUTES = 100_000
 
@@ -13,17 +15,23 @@ MAX_DELAY_MINUTES = 100_000
 def normalize(df):
     """Coerce numeric columns (bad values to NULL) and trim text (blank to NULL).
 
-    Columns that are absent are left absent; the quality rules report them.
+    Columns that are absent are left absent; the quality rules report them. A
+    column that is a number already is not read as text. The coerced columns are
+    computed once per row, whatever filters and sums follow.
     """
     typed = {}
     for c in df.columns:
+        numeric = isinstance(df.schema[c].dataType, T.NumericType)
+        number = nan_to_null(F.col(c).cast("double")) if numeric else number_or_missing(F.col(c))
         if c in S.PERIOD:
-            typed[c] = number_or_missing(F.col(c)).try_cast("int")
+            typed[c] = number.try_cast("int")
         elif c in S.MEASURES:
-            typed[c] = number_or_missing(F.col(c))
+            typed[c] = number
         elif c in S.TEXT_COLUMNS:
             typed[c] = blank_to_null(F.col(c).cast("string"))
-    return df.withColumns(typed)
+    if not typed:
+        return df
+    return computed_once(df, [c for c in df.columns if c not in typed], typed).select(*df.columns)
 
 
 def clean_reference(df):

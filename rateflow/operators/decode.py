@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from rateflow.functions.scalars import BLANKS, computed_once, trimmed
 
-_END = "<end>"
 _BARE_NUMBERS = ['"NaN"', '"Infinity"', '"-Infinity"']
 
 
@@ -22,19 +21,21 @@ def with_parsed_json(df, text, into):
     """Add the text's VARIANT, NULL when the text is not exactly one JSON value.
 
     Spark's parsers stop after the first value. Reading the text as the first
-    element of an array that ends in a marker exposes trailing garbage.
+    element of an array that ends in a marker exposes trailing garbage. The
+    marker is the text's own digest, which no text can hold.
     Objects with repeated keys or bare NaN, which VARIANT refuses, are read as
     text maps instead; the last value of a repeated key wins.
     """
     text = F.col(text)
-    boxed = df.withColumn("_boxed", F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]'))))
+    boxed = df.withColumn("_end", F.md5(text))
+    boxed = boxed.withColumn("_boxed", F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), F.col("_end"), F.lit('"]'))))
     maps = F.from_json(
         F.concat(F.lit("["), text, F.lit(",null]")), "array<map<string,string>>", {"allowSingleQuotes": "false"})
     boxed = boxed.withColumn("_maps", F.when(F.col("_boxed").isNull(), maps))
     only_map = (F.size("_maps") == 2) & F.get("_maps", F.lit(1)).isNull() & F.get("_maps", F.lit(0)).isNotNull()
     bare = F.transform_values(
         F.get("_maps", F.lit(0)), lambda k, v: F.when(v.isin(_BARE_NUMBERS), F.btrim(v, F.lit('"'))).otherwise(v))
-    alone = (F.try_variant_get("_boxed", "$[1]", "string") == _END) & F.try_variant_get(
+    alone = (F.try_variant_get("_boxed", "$[1]", "string") == F.col("_end")) & F.try_variant_get(
         "_boxed", "$[2]", "variant").isNull()
     value = F.when(alone, F.try_variant_get("_boxed", "$[0]", "variant")).when(only_map, _object(F.map_entries(bare)))
     return computed_once(boxed, df.columns, {into: value})
@@ -49,9 +50,18 @@ def _kind(v):
     return F.schema_of_variant(v)
 
 
-def _entries(item):
-    """Key-value entries of an object, NULL for anything else."""
-    return F.map_entries(F.try_variant_get(item, "$", "map<string,variant>"))
+def _entries(item, texts):
+    """Key-value entries of an object, NULL for anything else.
+
+    A VARIANT sorts its keys; texts, the same object as a map of texts, has them
+    in the order of the source, in which a later entry wins.
+    """
+    def build(found):
+        ordered = F.transform(F.map_keys(texts), lambda k: F.struct(k.alias("key"), F.element_at(found, k).alias("value")))
+        same = F.size(F.map_keys(texts)) == F.size(F.map_keys(found))
+        return F.when(same, ordered).otherwise(F.map_entries(found))
+
+    return _let(F.try_variant_get(item, "$", "map<string,variant>"), lambda found: F.when(found.isNotNull(), build(found)))
 
 
 def _is_brace(key):
@@ -121,7 +131,9 @@ def _parsed(df, payload):
     value, shape = F.col("_value"), F.col("_shape")
     out = with_parsed_json(df, payload, "_value").withColumn("_shape", _first_character(F.col(payload)))
     out = out.withColumn("_items", F.when(shape == "[", F.try_variant_get(value, "$", "array<variant>")))
-    return out.withColumn("_objects", F.transform("_items", _entries))
+    maps = F.from_json(F.col(payload), "array<map<string,string>>", {"allowSingleQuotes": "false"})
+    out = out.withColumn("_texts", F.when(F.exists("_items", lambda i: _kind(i).startswith("OBJECT")), maps))
+    return out.withColumn("_objects", F.transform("_items", lambda item, i: _entries(item, F.get("_texts", i))))
 
 
 def decode_strict(df, payload="payload"):

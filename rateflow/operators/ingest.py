@@ -11,7 +11,8 @@ from rateflow.operators.decode import decode_strict
 
 def field_text(record, name):
     """A field as text; a missing or null field is NULL."""
-    return F.try_variant_get(record, f"$.{name}", "string")
+    path = f"$.{name}" if name.isidentifier() else f"$['{name}']"
+    return F.try_variant_get(record, path, "string")
 
 
 def field_number(record, name):

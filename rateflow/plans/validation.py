@@ -21,6 +21,7 @@ from rateflow.sources.files import write_csv, write_json_lines, write_report
 PASS, PASS_WITH_WARNINGS, FAIL = "PASS", "PASS_WITH_WARNINGS", "FAIL"
 NAME_EXAMPLES = 8
 CODE_EXAMPLES = 10
+# Names of the written files, as the report gives them.
 OUTPUT_NAMES = {
     "dim_carrier_csv": "dim_carrier.csv",
     "dim_airport_csv": "dim_airport.csv",
@@ -54,8 +55,13 @@ def reference_rows(original, years="all"):
 
 def _python_text(c):
     """Text quoted as in a Python list."""
-    quote = F.when(F.contains(c, F.lit("'")) & ~F.contains(c, F.lit('"')), F.lit('"')).otherwise(F.lit("'"))
-    return F.concat(quote, c, quote)
+    double = F.contains(c, F.lit("'")) & ~F.contains(c, F.lit('"'))
+    quote = F.when(double, F.lit('"')).otherwise(F.lit("'"))
+    shown = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    for mark, name in (("\n", "n"), ("\r", "r"), ("\t", "t")):
+        shown = F.replace(shown, F.lit(mark), F.lit("\\" + name))
+    shown = F.when(double, shown).otherwise(F.replace(shown, F.lit("'"), F.lit("\\'")))
+    return F.concat(quote, shown, quote)
 
 
 def _listed(codes):
@@ -133,16 +139,20 @@ class Assessment:
             found = F.collect_list(F.when(c["section"] == section, F.struct(c["stage"], c["ord"], c["message"])))
             return F.transform(F.sort_array(found), lambda m: m["message"]).alias(name)
 
+        # After an error nothing but the report is written.
+        failed = F.count_if(c["section"] == "error") > 0
+        none = F.array().cast("array<string>")
         outputs = F.struct(
-            *[F.lit(v).alias(k) for k, v in OUTPUT_NAMES.items()],
-            messages("canonicalization", "canonicalization_notes"))
+            *[F.when(~failed, F.lit(v)).alias(k) for k, v in OUTPUT_NAMES.items()],
+            F.when(failed, none).otherwise(messages("canonicalization", "notes")).alias("canonicalization_notes"))
         status = (
-            F.when(F.count_if(c["section"] == "error") > 0, FAIL)
+            F.when(failed, FAIL)
             .when(F.count_if(c["section"] == "warning") > 0, PASS_WITH_WARNINGS).otherwise(PASS))
         return self.lines.agg(
             vector("original"), vector("generated"), vector("seasonality"), outputs.alias("powerbi_outputs"),
             messages("warning", "generated_warnings"), status.alias("status"),
-            messages("note", "reference_notes"), messages("error", "errors"))
+            messages("note", "reference_notes"), messages("error", "errors"),
+            messages("reference_error", "reference_errors"))
 
     def status(self):
         """Status with the number of errors and warnings."""
@@ -169,7 +179,7 @@ def assess(original, generated, years="all"):
         return Assessment(failed, None, None, None, None, None, None, None)
 
     reference = reference_rows(original, years)
-    candidate = clean.normalize(generated.select(*S.REQUIRED))
+    candidate = clean.normalize(generated)
     o = settle(profile(reference, ["_filled", "_clipped"]), "profile")
     g = settle(profile(candidate), "profile")
     o_valid, g_valid = o.filter("n_valid > 0"), g.filter("n_valid > 0")
@@ -226,7 +236,7 @@ def _year_note(rows, years):
     if years == "all":
         return []
     if years == "last5":
-        span = rows.agg(F.max("year").alias("hi"))
+        span = rows.agg(F.max("year").alias("hi")).filter("hi IS NOT NULL")
         return [_lines(span, "note", 0, F.format_string(
             "Filtered ORIGINAL to last 5 years: %d-%d", F.col("hi") - 4, F.col("hi")))]
     try:
@@ -240,7 +250,7 @@ def _year_note(rows, years):
 def run(original, generated, out, years="all"):
     """Validate and write: always the report; dimensions and canonicalized rows unless an error stopped it.
 
-    Returns the status.
+    The canonicalized rows keep every column of the candidate. Returns the status.
     """
     result = assess(original, generated, years)
     report = settle(result.report(), "report")
@@ -250,6 +260,7 @@ def run(original, generated, out, years="all"):
         write_csv(result.carriers, f"{out}/{OUTPUT_NAMES['dim_carrier_csv']}")
         write_csv(result.airports, f"{out}/{OUTPUT_NAMES['dim_airport_csv']}")
         labelled = dimensions.canonicalize(result.generated_rows, result.carriers, result.airports)
-        write_csv(labelled, f"{out}/{OUTPUT_NAMES['canonicalized_generated_csv']}")
+        labelled = settle(labelled, "canonicalized")
+        write_csv(labelled, f"{out}/{OUTPUT_NAMES['canonicalized_generated_csv']}", line_breaks=True)
         write_json_lines(labelled, f"{out}/{OUTPUT_NAMES['canonicalized_generated_ndjson']}")
     return status

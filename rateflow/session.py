@@ -1,6 +1,7 @@
 """Session helpers: building a local session and finding the shared work folder."""
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -38,7 +39,7 @@ def shared_folder(spark):
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = _local_folder()
     return folder.rstrip("/")
@@ -49,16 +50,12 @@ def work_path(spark, name):
     return f"{shared_folder(spark)}/rateflow/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df):
-    """For costly work per row: rows that come in fewer pieces than there are cores are dealt out to all cores.
+def spread(df, pieces):
+    """For costly work per row on an input that comes in few pieces: rows are dealt out to so many tasks.
 
-    Inputs with enough pieces, and streams, are left as they are. Meant for
-    plain scans and micro-batches, whose number of pieces is known without work.
+    No number leaves the rows where they are.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    return df.repartition(pieces) if pieces else df
 
 
 def settle(df, name):

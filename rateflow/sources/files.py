@@ -1,5 +1,7 @@
 """File sources and sinks: CSV, line-delimited JSON, the partitioned fact table, the report."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,28 +21,64 @@ def text_schema(columns):
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def read_csv(spark, path, columns=None):
-    """CSV with a header, every column as text; normalize() gives the types.
+def _files_by_header(spark, path):
+    """The files under a path by their first line. The driver holds file names, as Spark's own listing does."""
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    # The first block of a file is read by one task, in order.
+    first = lines.where("file_block_start = 0").groupBy("file_path").agg(F.first("value").alias("header"))
+    found = {}
+    for file, header in sorted(map(tuple, first.collect())):
+        found.setdefault(header, []).append(file)
+    return found
 
-    Column names come from the header, so a file with absent or reordered
-    columns is read as it is. Passing columns skips looking at the header.
-    """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", False)
-    df = reader.schema(text_schema(columns)).csv(path) if columns else reader.csv(path)
-    return df.select(*[F.when(~F.col(c).isin(MISSING_TEXTS), F.col(c)).alias(c) for c in df.columns])
 
+def read_csv(spark, path, columns=None, multi_line=False):
+    """CSV with a header, every column as text; normalize() gives the types.
 
-def write_csv(df, path):
+    Values go by the names in each file's own header, so a folder may hold files
+    with absent or reordered columns; what a file lacks is NULL. columns picks
+    and orders columns by name. multi_line also reads line breaks inside quotes;
+    such files cannot be split, so each is read by one task.
+    """
+    parts = []
+    for files in _files_by_header(spark, path).values():
+        reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+        names = reader.option("multiLine", False).csv(files[0]).columns
+        reader = reader.option("multiLine", multi_line).option("enforceSchema", False)
+        parts.append(reader.schema(text_schema(names)).csv(files))
+    if not parts:
+        return spark.createDataFrame([], text_schema(columns or []))
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    absent = [c for c in columns or [] if c not in df.columns]
+    df = df.withColumns({c: F.lit(None).cast("string") for c in absent}) if absent else df
+    return df.select(*[
+        F.when(~F.col(f"`{c}`").isin(MISSING_TEXTS), F.col(f"`{c}`")).alias(c) for c in columns or df.columns])
+
+
+def write_csv(df, path, line_breaks=False):
+    """CSV with a header. A text with a line break is an error, unless line_breaks says that the reader takes multi_line."""
+    def checked(c):
+        broken = F.col(f"`{c}`").rlike("[\r\n]")
+        return F.when(broken, F.raise_error(F.concat(F.lit(f"line break in column {c}: "), f"`{c}`"))).otherwise(F.col(f"`{c}`"))
+
+    if not line_breaks:
+        texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+        df = df.select(*[checked(c).alias(c) if c in texts else F.col(f"`{c}`") for c in df.columns])
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def read_json_lines(spark, path, columns=S.REQUIRED):
     """Parsed lines: (value, bad, columns as text). Blank lines are gone, bad lines are kept and marked.
 
-    The wanted columns are named, so no pass over the data is needed to find a schema.
+    Naming the wanted columns saves a pass over the data. columns=None keeps every
+    field that any line has: first the required ones, then the others by name.
     """
     lines = spark.read.text(path).filter(trimmed(F.col("value")) != "")
     parsed = with_parsed_json(lines, "value", "_record")
+    if columns is None:
+        keys = F.explode(F.map_keys(F.try_variant_get("_record", "$", "map<string,variant>")))
+        found = {r[0] for r in parsed.select(keys.alias("key")).distinct().collect()}
+        columns = [c for c in S.REQUIRED if c in found] + sorted(found.difference(S.REQUIRED))
     return parsed.select(
         "value", F.col("_record").isNull().alias("bad"),
         *[field_text(F.col("_record"), c).alias(c) for c in columns])

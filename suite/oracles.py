@@ -217,8 +217,8 @@ _SUMMARY = {
     "total_diverted": "arr_diverted", "total_delay_minutes": "arr_delay", **{f"total_{c}": c for c in DELAYS}}
 
 
-def _summary(source, times=1):
-    sums = _join([f"cast({times} * sum({c}) AS BIGINT) AS {n}" for n, c in _SUMMARY.items()])
+def _summary(source):
+    sums = _join([f"cast(sum({c}) AS BIGINT) AS {n}" for n, c in _SUMMARY.items()])
     return f"SELECT {_cols(KEYS)}, {sums} FROM {source} GROUP BY {_cols(KEYS)}"
 
 
@@ -458,14 +458,14 @@ ALL = {
 SELECT s IN (2, 10) AS bad, CASE WHEN s IN (3, 7, 8, 9, 11) THEN carrier END AS carrier, count(*) AS n,
   cast(sum(CASE WHEN s IN (3, 7, 8, 9, 11) THEN arr_flights END) AS BIGINT) AS arr_flights FROM lines GROUP BY ALL""",
     "stream_ingest": f"WITH {ACCEPTED} SELECT {_cols(WIRE)} FROM accepted",
-    "sink_partitioned": f"WITH {CELLS} SELECT {_cols(REQUIRED)} FROM obs WHERE year = 2000",
+    "sink_partitioned": f"WITH {CELLS} SELECT {_cols(REQUIRED)} FROM obs",
     "sink_csv": f"WITH {CELLS} {_canonical('obs', 'airport')}",
     "sink_ndjson": f"WITH {DIRTY} SELECT {_DIRTY_ROWS} FROM dirty",
     "encode_messages": f"""WITH {EV}
 SELECT airport || '_' || carrier || '_' || (epoch_us(arrival) // 1000) AS key, {_cols(WIRE)} FROM evobs""",
     "ingest_strict": f"WITH {ACCEPTED} SELECT {_cols(WIRE)}, ingestion_timestamp FROM accepted",
-    "ingest_tokens": f"""WITH {EV} SELECT event_id, id, carrier_name, airport_name,
-  cast(arr_flights AS VARCHAR) AS arr_flights FROM evobs WHERE event_id % 12 = 0""",
+    "ingest_tokens": f"""WITH {EV} SELECT event_id, CASE WHEN event_id % 12 <> 7 THEN id END AS id, carrier_name, airport_name,
+  cast(arr_flights AS VARCHAR) AS arr_flights FROM evobs WHERE event_id % 12 IN (0, 3, 7, 8, 9, 11)""",
     "ingest_lenient": f"""WITH {EV}
 SELECT event_id, CASE WHEN event_id % 12 = 7 THEN NULL ELSE id END AS id, carrier,
   cast(arr_flights AS VARCHAR) AS arr_flights
@@ -502,8 +502,8 @@ FROM evobs, (SELECT unnest([1, 2]) AS copy) WHERE event_id % 12 NOT IN (2, 4, 10
     "valid_records": f"WITH {DIRTY} SELECT {_DIRTY_ROWS} FROM dirty WHERE {_VALID}",
     "minute_stats_last_hour": f"""WITH {EV}, {_minutes("evobs", "arrival")} {_MINUTE_STATS}
 WHERE ingestion_minute >= (SELECT max(ts) FROM events) - INTERVAL 60 MINUTE""",
-    "kpi_month_spine": f"""WITH {CELLS}{_SPLIT}
-SELECT * FROM {_SPINE} LEFT JOIN ({_BY_MONTH.format(source="g")}) USING (month)""",
+    "kpi_month_spine": f"""WITH {CELLS}
+SELECT * FROM {_SPINE} LEFT JOIN ({_BY_MONTH.format(source="obs")}) USING (month)""",
     "canonicalize": f"""WITH {DIMS} SELECT {_cols(["year", "month", "carrier"])},
   CASE WHEN carrier_name <> carrier_expected THEN carrier_expected ELSE carrier_name END AS carrier_name, airport,
   CASE WHEN airport_name <> airport_expected THEN airport_expected ELSE airport_name END AS airport_name,
@@ -542,7 +542,7 @@ SELECT month, flights, delayed, {_ratio("delayed", "flights", "delay_rate")}, {_
     "rollup_summary": f"WITH {CELLS} {_summary('obs')}",
     "rollup_carrier": _performance("carrier"),
     "rollup_airport": _performance("airport"),
-    "rollup_incremental": f"WITH {CELLS} {_summary('obs', 2)}",
+    "rollup_incremental": f"WITH {CELLS} {_summary('obs')}",
     "minute_stats_partial": f"""WITH {EV}, {_minutes("evobs", "arrival")}
 SELECT * REPLACE (round(ratio_sum, 6) AS ratio_sum) FROM minute_parts""",
     "minute_stats": f"WITH {EV}, {_minutes('evobs', 'arrival')} {_MINUTE_STATS}",
@@ -560,8 +560,8 @@ SELECT * REPLACE (round(ratio_sum, 6) AS ratio_sum) FROM minute_parts""",
         for c in ("airport", "carrier")),
     "seasonal_index": f"""WITH {CELLS}, {_index("obs", "i")}
 SELECT month, round(seasonal_index, 6) AS seasonal_index FROM i""",
-    "month_mean_index": f"""WITH {CELLS}{_SPLIT}, m AS (
-  SELECT month, sum(arr_del15)::DOUBLE / nullif(sum(arr_flights), 0) AS r FROM g GROUP BY month
+    "month_mean_index": f"""WITH {CELLS}, m AS (
+  SELECT month, sum(arr_del15)::DOUBLE / nullif(sum(arr_flights), 0) AS r FROM obs GROUP BY month
 ), s AS (SELECT month, r FROM {_SPINE} LEFT JOIN m USING (month))
 SELECT month, round(r, 6) AS delay_rate, round(r / nullif(avg(r) OVER (), 0), 6) AS month_index FROM s""",
     "latest_per_key": """SELECT user_id, event_type, event_id, ts, round(value, 6) AS value FROM (
@@ -594,6 +594,8 @@ SELECT window_start, count(*) AS messages, round(count(*) / 5.0::DOUBLE, 6) AS p
     "stream_live": f"""WITH {EV}
 SELECT arrival AS received_at, CASE WHEN event_id % 12 = 7 THEN NULL ELSE id END AS id, carrier, airport
 FROM evobs, (SELECT unnest([1, 2]) AS copy) WHERE event_id % 12 NOT IN (2, 4, 10) AND (copy = 1 OR event_id % 12 = 5)""",
+    "live_quarantine": """SELECT event_id, CASE event_id % 12 WHEN 4 THEN 'not_an_object' ELSE 'invalid_json' END AS reason
+FROM events WHERE event_id % 12 IN (2, 4, 10)""",
     "stream_scenario": _scenario(1, ["template_id", "year", "month"] + TEXT + MEASURES),
     "validation_status": f"""SELECT * FROM (WITH {CELLS}{_SPLIT}, {_outcome_counts("o", "g", "o")}
 {_STATUS.format(run="clean")})

@@ -43,6 +43,9 @@ STRICT = [
     ('{"a":1,"a":2}', None, {"a": "2"}),
     ('{"a":NaN,"b":3}', None, {"a": "NaN", "b": "3"}),
     (' \n{"a":1}\t', None, {"a": 1}),
+    ('{"id":"a"},"<end>"]garbage', "invalid_json", None),
+    ('[null,{"carrier":2.5," { ":"\\"carrier\\" : \\"v\\""}]', None, {"carrier": "v"}),
+    ('[{"}":"a:1","{":"a:2"}]', None, {"a": "2"}),
     (None, "empty_message", None),
 ]
 
@@ -57,6 +60,7 @@ LENIENT = [
     ('[{"year":2024},{"year":2025}]', [{"year": 2024}, {"year": 2025}]),
     ('[{"x":1},{}]', [{"x": 1}, {}]),
     ('[{"year":1},5]', [{"year": 1}]),
+    ('[null,{"carrier":2.5," { ":"\\"carrier\\" : \\"v\\""}]', [{"carrier": "v"}]),
     ('[{"a":1,"b":true},5,{"a":2}]', [{"a": 2, "b": True}]),
     ('[{"{":"k:v"},{"plain":[1]}]', [{"k": "v", "plain": [1]}]),
     ('[{"year":1,"x{":2},{"month":3}]', [{"year": 1, "x{": 2}]),

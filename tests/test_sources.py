@@ -28,6 +28,39 @@ def test_csv_takes_columns_from_the_header(spark, tmp_path):
     assert [tuple(r) for r in rows] == [(3, "AA", 7.0), (None, None, None)]
 
 
+def test_csv_goes_by_the_names_of_each_header(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "two.csv").write_text("b,a\n2,1\n")
+    (tmp_path / "three.csv").write_text("a,c\n1,3\n")
+    rows = files.read_csv(spark, str(tmp_path), ["b", "a"])
+    assert sorted((r["a"], r["b"] or "") for r in rows.collect()) == [("1", ""), ("1", "2"), ("1", "2")]
+    assert sorted(files.read_csv(spark, str(tmp_path)).columns) == ["a", "b", "c"]
+    swapped = files.read_csv(spark, str(tmp_path / "two.csv"), ["a", "b", "x"])
+    assert [tuple(r) for r in swapped.collect()] == [("1", "2", None)]
+
+
+def test_csv_line_breaks(spark):
+    df, path = observations(spark, [{"airport_name": "two\nlines"}, {}]), work_path(spark, "test")
+    with pytest.raises(Exception, match="line break"):
+        files.write_csv(df, path)
+    files.write_csv(df, path, line_breaks=True)
+    assert same_rows(clean.normalize(files.read_csv(spark, path, multi_line=True)), df)
+
+
+def test_json_lines_keep_every_field(spark, tmp_path):
+    (tmp_path / "in.ndjson").write_text('{"carrier":"A","my key":1}\n{"id":"x","month":2}\n')
+    records, _ = files.load_json_lines(spark, str(tmp_path / "in.ndjson"), None)
+    assert records.columns == ["month", "carrier", "id", "my key"]
+    assert sorted(tuple(r) for r in records.select("id", "my key").na.fill("").collect()) == [("", "1"), ("x", "")]
+
+
+def test_messages_are_written(spark):
+    path = work_path(spark, "test")
+    sent = messages.encode_messages(observations(spark, [{}, {"month": 2}]).withColumn("kafka_key", F.lit("k")))
+    messages.write_messages(sent, "parquet", path=path)
+    assert same_rows(spark.read.parquet(path), sent)
+
+
 def test_json_lines_skip_blank_and_bad(spark, tmp_path):
     path = tmp_path / "in.ndjson"
     path.write_text('{"carrier":"É","month":2}\n\n   \n{"bad"\n{"carrier":null,"extra":1}\n')
@@ -95,3 +128,5 @@ def test_shared_folder_must_be_named_on_a_cluster():
     assert shared_folder(_Session("local[2]")) == shared_folder(_Session("local[2]"))
     with pytest.raises(ValueError):
         shared_folder(_Session("spark://host:7077"))
+    with pytest.raises(ValueError):
+        shared_folder(_Session("local-cluster[2,1,1024]"))

@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from rateflow import schema as S
-from rateflow.operators import decode, ingest, rollups
-from rateflow.session import work_path
+from rateflow.operators import decode, ingest, live, rollups
+from rateflow.session import settle, work_path
 from rateflow.sources import star
 from rateflow.streaming import jobs
 from tests.helpers import same_rows
@@ -63,7 +63,11 @@ def test_live_records_equal_batch(spark, sf_dir):
         jobs.run_to_end(jobs.start_live, stream, root)
     batch = decode.explode_records(decode.decode_lenient(messages))
     expected = batch.select(F.col("arrival").alias("received_at"), F.to_json("record").alias("record"))
-    assert same_rows(spark.read.parquet(f"{root}/live").select("received_at", "record"), expected)
+    assert same_rows(jobs.read_output(spark, root, jobs.LIVE).select("received_at", "record"), expected)
+    rejected = decode.decode_lenient(messages).filter(F.size("records") == 0).select("payload", "reason")
+    assert same_rows(jobs.read_output(spark, root, jobs.LIVE_QUARANTINE).select("payload", "reason"), rejected)
+    newest = live.latest(expected, "received_at", "record")
+    assert same_rows(live.latest(jobs.current_history(spark, root), "received_at", "record").select(*newest.columns), newest)
 
 
 def test_sliding_rate_over_several_batches(spark, sf_dir):
@@ -83,3 +87,51 @@ def test_scenario_stream(spark, sf_dir):
     assert rows.count() == 2 * star.read_events(spark, sf_dir).count()
     assert rows.filter(F.col("arr_delay") != sum(F.col(c) for c in S.CAUSE_MINUTES)).isEmpty()
     assert rows.select("id").distinct().count() == rows.count()
+
+
+def test_compaction_between_batches_and_after_a_replay(spark, sf_dir):
+    root, folder = work_path(spark, "test"), work_path(spark, "messages")
+    messages = star.event_messages(star.read_events(spark, sf_dir))
+    names = (jobs.FACT, jobs.SUMMARY, jobs.MINUTES)
+    for step in range(3):
+        messages.filter(F.col("event_id") % 3 == step).repartition(2).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        jobs.run_to_end(jobs.start_ingest, stream, root)
+        closed = {jobs.compact(spark, root, name) for name in names}
+        assert closed == {2 * step}
+        # the batch after the generation is replayed, and the compaction is repeated
+        again = jobs.read_output(spark, root, jobs.FACT).count()
+        last = jobs._batch_path(root, jobs.FACT, 2 * step + 1)
+        copy = settle(spark.read.schema(S.FACT_SCHEMA).parquet(last), "replay")
+        jobs.write_partitioned(copy, last, "overwrite")
+        assert jobs.compact(spark, root, jobs.FACT) == 2 * step
+        assert jobs.read_output(spark, root, jobs.FACT).count() == again
+        if step == 1:
+            for name in names:
+                jobs.drop_compacted(spark, root, name)
+    facts = ingest.facts(ingest.ingest(messages, arrival="arrival"))
+    assert same_rows(jobs.read_output(spark, root, jobs.FACT).select(*facts.columns), facts)
+    assert same_rows(jobs.current_summary(spark, root), rollups.summary(facts))
+    counts = ["ingestion_minute", "record_count", "total_flights"]
+    assert same_rows(jobs.current_minute_stats(spark, root).select(*counts),
+                     rollups.minute_stats(rollups.minute_partials(facts)).select(*counts))
+
+
+def test_compacted_windows_keep_the_newest_version(spark, sf_dir):
+    root = work_path(spark, "test")
+    for messages, stream in _source(spark, sf_dir):
+        jobs.run_to_end(jobs.start_sliding_rate, stream, root)
+        jobs.compact(spark, root, jobs.WINDOWS)
+        jobs.drop_compacted(spark, root, jobs.WINDOWS)
+    expected = messages.groupBy(F.window("arrival", "5 minutes", "1 minute").alias("w")).agg(
+        F.count(F.lit(1)).alias("messages")).select(F.col("w.start").alias("window_start"), "messages")
+    assert same_rows(jobs.current_sliding_rate(spark, root).select("window_start", "messages"), expected)
+
+
+def test_history_is_trimmed(spark, sf_dir):
+    root = work_path(spark, "test")
+    for messages, stream in _source(spark, sf_dir):
+        jobs.run_to_end(jobs.start_live, stream, root, history=40)
+    history = jobs.current_history(spark, root)
+    whole = jobs.read_output(spark, root, jobs.LIVE)
+    assert history.count() == 40 and same_rows(history, live.latest(whole, "received_at", "record", 40))

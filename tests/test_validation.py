@@ -2,6 +2,8 @@
 
 import json
 
+from pyspark.sql import functions as F
+
 from rateflow import schema as S
 from rateflow.plans import validation
 from rateflow.session import work_path
@@ -62,19 +64,45 @@ def test_gates(spark):
 
 def test_run_writes_outputs(spark):
     out = work_path(spark, "test")
-    assert validation.run(_history(spark), _generated(spark), out) == "PASS_WITH_WARNINGS"
+    candidate = _generated(spark).withColumn("id", F.concat(F.lit("g"), F.col("month"))).withColumn("sequence", F.col("month") * 2)
+    assert validation.run(_history(spark), candidate, out) == "PASS_WITH_WARNINGS"
     report = json.loads(one(spark.read.text(f"{out}/validation_report.json"))[0])
     assert report["status"] == "PASS_WITH_WARNINGS" and report["powerbi_outputs"]["dim_carrier_csv"] == "dim_carrier.csv"
     dims = {r[0]: r[1] for r in files.read_csv(spark, f"{out}/dim_carrier.csv").collect()}
     assert dims == {"AA": "AA Air", "BB": "BB Air"}
     rows, bad = files.load_json_lines(spark, f"{out}/generated_powerbi.ndjson")
     assert bad == 0 and {r["carrier_name"] for r in rows.collect()} == {"AA Air"}
-    assert files.read_csv(spark, f"{out}/generated_powerbi.csv").columns == S.REQUIRED
+    written = files.read_csv(spark, f"{out}/generated_powerbi.csv")
+    assert written.columns == S.REQUIRED + ["id", "sequence"]
+    expected = {(f"g{m}", str(2 * m)) for m in range(1, 9)}
+    assert {tuple(r) for r in written.select("id", "sequence").collect()} == expected
+    every, _ = files.load_json_lines(spark, f"{out}/generated_powerbi.ndjson", columns=None)
+    assert every.columns == S.REQUIRED + ["id", "sequence"]
+    assert {tuple(r) for r in every.select("id", "sequence").collect()} == expected
 
 
 def test_failed_run_writes_only_the_report(spark):
     out = work_path(spark, "test")
     assert validation.run(_history(spark), _generated(spark, carrier="ZZ"), out) == "FAIL"
-    assert one(spark.read.json(f"{out}/validation_report.json"))["status"] == "FAIL"
+    report = json.loads(one(spark.read.text(f"{out}/validation_report.json"))[0])
+    assert report["status"] == "FAIL"
+    assert report["powerbi_outputs"] == {k: None for k in validation.OUTPUT_NAMES} | {"canonicalization_notes": []}
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/dim_carrier.csv")
     assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def test_reference_errors_are_reported(spark):
+    bad = one(validation.assess(_history(spark).withColumn("month", F.lit(13)), _generated(spark)).report())
+    assert bad["reference_errors"] == ["ORIGINAL: 97 records have invalid month"]
+
+
+def test_year_note_needs_years(spark):
+    empty = one(validation.assess(_history(spark).filter("year > 3000"), _generated(spark), "last5").report())
+    assert not [n for n in empty["reference_notes"] if "last 5 years" in n]
+
+
+def test_texts_are_quoted_as_in_a_list(spark):
+    texts = ["plain", "O'H", 'both \' and "', "back\\slash", "two\nlines\t"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    shown = [r[0] for r in rows.orderBy("i").select(validation._python_text(F.col("t"))).collect()]
+    assert shown == [repr(t) for t in texts]
