@@ -174,12 +174,12 @@ def without_documents(docs, benchmark, text_col="text", **how):
 def without_spans(docs, benchmark, text_col="text", **how):
     """docs with every hit run cut out of its text; other texts, and all other columns, stay as they are."""
     found = find_hits(docs, benchmark, text_col, **how)
-    text = column(text_col)
+    text = column("row").getField(text_col)
+    part = lambda at, *size: F.substring(text, at.cast("int") + 1, *size)
     kept = F.aggregate(
         "hits", F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("kept")),
         lambda s, h: F.struct(
-            h["stop"].alias("at"),
-            F.concat(s["kept"], F.substring(F.col("row")[text_col], s["at"].cast("int") + 1, (h["start"] - s["at"]).cast("int"))).alias("kept")),
-        lambda s: F.concat(s["kept"], F.substring(F.col("row")[text_col], s["at"].cast("int") + 1, F.lit(2**31 - 1))))
-    return found.select("row.*", F.when(F.size("hits") > 0, kept).alias("_kept")).withColumn(
-        text_col, F.coalesce("_kept", text)).drop("_kept")
+            h["stop"].alias("at"), F.concat(s["kept"], part(s["at"], (h["start"] - s["at"]).cast("int"))).alias("kept")),
+        lambda s: F.concat(s["kept"], part(s["at"], F.lit(2**31 - 1))))
+    cut = found.select("row", F.when(F.size("hits") > 0, kept).otherwise(text).alias("cut"))
+    return cut.select(*[(F.col("cut") if c == text_col else column("row").getField(c)).alias(c) for c in docs.columns])
