@@ -15,12 +15,17 @@ def field_text(record, name):
     return F.try_variant_get(record, path, "string")
 
 
-def field_number(record, name):
-    """A field as a double: numbers and numeric text by Python's rules, JSON true as 1, else NULL.
+def field_texts(record, names):
+    """All named fields as text in one struct, read from the record in one pass."""
+    return F.try_variant_get(record, "$", "struct<" + ",".join(f"`{n}`:string" for n in names) + ">")
 
-    The text "true" has no double in the VARIANT, the boolean true has.
+
+def field_number(text, record, name):
+    """A field, given as text, as a double: numbers and numeric text by Python's rules, JSON true as 1, else NULL.
+
+    Only for the texts true and false the record is asked again: the text "true"
+    has no double in the VARIANT, the boolean true has.
     """
-    text = field_text(record, name)
     boolean = F.when(text.isin("true", "false"), F.try_variant_get(record, f"$.{name}", "double"))
     return F.coalesce(number_from_text(text), boolean)
 
@@ -54,11 +59,13 @@ def ingest(messages, payload="payload", arrival=None):
     """
     decoded = decode_strict(messages, payload)
     record = F.col("record")
-    numbers = decoded.withColumn("_n", F.struct(*[
-        field_number(record, c).alias(c) for c in list(S.UNSIGNED) + S.CAUSE_COUNTS]))
+    kept = [*messages.columns, "record", "reason"]
+    texts = computed_once(decoded, kept, {"_t": field_texts(record, S.WIRE_COLUMNS)})
+    numbers = computed_once(texts, [*kept, "_t"], {"_n": F.struct(*[
+        field_number(F.col(f"_t.{c}"), record, c).alias(c) for c in list(S.UNSIGNED) + S.CAUSE_COUNTS])})
     infinite = reduce(lambda a, b: a | b, [
         F.coalesce(is_infinite(F.col(f"_n.{c}")), F.lit(False)) for c in S.UNSIGNED])
-    typed = typed_columns(lambda c: F.col(f"_n.{c}"), lambda c: field_text(record, c))
+    typed = typed_columns(lambda c: F.col(f"_n.{c}"), lambda c: F.col(f"_t.{c}"))
     stamp = F.date_trunc("second", F.current_timestamp() if arrival is None else F.col(arrival))
     reason = F.coalesce("reason", F.when(infinite, "non_finite"))
     return computed_once(numbers, messages.columns, {**typed, "ingestion_timestamp": stamp, "reason": reason})

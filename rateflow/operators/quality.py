@@ -120,16 +120,21 @@ def schema_findings(spark, dataset, missing):
 def year_findings(df, expected=EXPECTED_YEARS):
     """A warning when the distinct years of candidate data are not the expected ones.
 
-    Years are 16-bit on the wire, so the collected set is bounded.
+    Years are 16-bit on the wire. Distinct years within 0..65535 are listed, which
+    bounds the list; normalized files may hold any other number, and those years
+    are counted behind the list.
     """
+    listable = F.col("year").between(0, S.UINT16_MAX)
     years = df.filter(F.col("year").isNotNull()).select("year").distinct().agg(
-        F.sort_array(F.collect_set("year")).alias("years"))
+        F.sort_array(F.collect_set(F.when(listable, F.col("year")))).alias("years"), F.count_if(~listable).alias("odd"))
     wanted = F.array(*[F.lit(y) for y in sorted(expected)])
-    listed = F.concat(F.lit("["), F.array_join(F.col("years").cast("array<string>"), ", "), F.lit("]"))
+    others = F.when(F.col("odd") > 0, F.concat(F.lit(" and "), F.col("odd").cast("string"), F.lit(" out of range")))
+    listed = F.concat(
+        F.lit("["), F.array_join(F.col("years").cast("array<string>"), ", "), F.lit("]"), F.coalesce(others, F.lit("")))
     only = ", ".join(str(y) for y in sorted(expected))
-    return years.filter(F.col("years") != wanted).select(
+    return years.filter((F.col("years") != wanted) | (F.col("odd") > 0)).select(
         F.lit("GENERATED").alias("dataset"), F.lit(3).alias("ord"), F.lit(WARNING).alias("severity"),
-        F.lit("unexpected_years").alias("rule"), F.size("years").cast("bigint").alias("n"),
+        F.lit("unexpected_years").alias("rule"), (F.size("years") + F.col("odd")).cast("bigint").alias("n"),
         F.concat(F.lit("GENERATED: unexpected year values "), listed, F.lit(f" (expected only {only})")).alias("message"),
     )
 
