@@ -11,6 +11,8 @@ from rateflow.session import settle
 HOT_SHARE = 1000
 #: Bytes of text that a Python worker holds at once, apart from a single longer text.
 PIECE_BYTES = 4 << 20
+#: Bytes of an Arrow batch, apart from a single longer row.
+BATCH_BYTES = 8 << 20
 
 
 def column(name):
@@ -23,14 +25,24 @@ def whole_row(df):
     return F.struct(*[column(c) for c in df.columns]).alias("row")
 
 
+def bound_batches(spark):
+    """Let the session hand at most BATCH_BYTES at once to a Python worker: a batch is held on both sides of the pipe."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name)
+    if not now.rstrip("bB").isdigit() or int(now.rstrip("bB")) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def id_and_text(df, id_col="doc_id", text_col="text"):
     """The id as it is, and the text as UTF-8 bytes (null: empty)."""
+    bound_batches(df.sparkSession)
     return df.select(
         column(id_col).alias("doc_id"), F.coalesce(column(text_col), F.lit("")).cast("binary").alias("text"))
 
 
 def row_and_text(df, text_col="text"):
     """The whole row, and its text as UTF-8 bytes (null: empty)."""
+    bound_batches(df.sparkSession)
     return df.select(whole_row(df), F.coalesce(column(text_col), F.lit("")).cast("binary").alias("text"))
 
 
