@@ -2,6 +2,7 @@
 
 import json
 import os
+import statistics
 import time
 
 from rateflow.session import local_session
@@ -13,6 +14,8 @@ HEADLINE = [
     "validation_report", "templates_stratified", "scenario", "ingest_strict", "ingest_lenient", "minute_stats",
     "latest_per_key", "live_buffer", "sink_partitioned", "stream_ingest", "stream_sliding_rate",
 ]
+#: A query is timed three times, its median counts; one that has taken so many seconds is not timed again.
+LONG = 6
 
 
 def main():
@@ -24,9 +27,12 @@ def main():
     queries.kpi_by_month(spark, sf_dir).collect()
     seconds = {}
     for name in HEADLINE:
-        started = time.perf_counter()
-        queries.ALL[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - started, 3)
+        took = []
+        while len(took) < 3 and sum(took) < LONG:
+            started = time.perf_counter()
+            queries.ALL[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            took.append(time.perf_counter() - started)
+        seconds[name] = round(statistics.median(took), 3)
     spark.stop()
     print(json.dumps({
         "metric": "total seconds of headline queries", "value": round(sum(seconds.values()), 3), "unit": "sec",

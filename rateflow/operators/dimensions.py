@@ -1,7 +1,10 @@
 """Canonical code-to-label dimensions, label checks and domain checks."""
 
+import re
+from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -38,36 +41,54 @@ def canonical(df, code, weight=None):
         .withColumn("_rank", F.row_number().over(best))
         .filter(F.col("_rank") == 1)
         .select(code, label)
-        .orderBy(code)
     )
 
 
-def attach_expected(df, dimension, code):
-    """Left-join the canonical label as `<label>_expected`; unmatched rows are kept.
+@dataclass(frozen=True)
+class Measured:
+    """A dimension that was computed into the shared folder, and whether it is small enough to broadcast."""
 
-    The dimension is computed once into the shared folder and measured. Within
-    the bound it is broadcast. Beyond it the join is salted: every dimension row
-    is repeated per salt, so a code holding a large part of the rows is spread
-    over that many tasks.
-    """
+    code: str
+    frame: DataFrame
+    small: bool
+
+
+def measure(dimension, code):
+    """Compute a dimension once and measure it, for any number of joins."""
     label = S.LABELS[code]
-    expected = f"{label}_expected"
-    dim = settle(dimension.select(code, F.col(label).alias(expected)), "dimension")
-    size = dim.agg(
+    frame = settle(dimension.select(code, label), "dimension")
+    size = frame.agg(
         F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.octet_length(code) + F.octet_length(expected)), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum(F.octet_length(code) + F.octet_length(label)), F.lit(0)).alias("bytes"),
     ).first()
-    if size["n"] <= BROADCAST_ROWS and size["bytes"] <= BROADCAST_BYTES:
+    return Measured(code, frame, size["n"] <= BROADCAST_ROWS and size["bytes"] <= BROADCAST_BYTES)
+
+
+def _hashable(kind):
+    return not re.search(r"\b(map|variant)\b", kind.simpleString())
+
+
+def attach_expected(df, dimension):
+    """Left-join the canonical label of a measured dimension as `<label>_expected`; unmatched rows are kept.
+
+    A small dimension is broadcast. With another the join is salted: every
+    dimension row is repeated per salt, so a code holding a large part of the
+    rows is spread over that many tasks.
+    """
+    code = dimension.code
+    label = S.LABELS[code]
+    dim = dimension.frame.select(code, F.col(label).alias(f"{label}_expected"))
+    if dimension.small:
         return df.join(F.broadcast(dim), code, "left")
-    others = [c for c in df.columns if c != code]
+    others = [f.name for f in df.schema.fields if f.name != code and _hashable(f.dataType)]
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(SALTS)).cast("int"))
     spread = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(spread, [code, "_salt"], "left").drop("_salt")
 
 
 def canonicalize(df, carriers, airports):
-    """Replace labels by the canonical ones. Codes stay, a missing label stays missing."""
-    joined = attach_expected(attach_expected(df, carriers, "carrier"), airports, "airport")
+    """Replace labels by those of two measured dimensions. Codes stay, a missing label stays missing."""
+    joined = attach_expected(attach_expected(df, carriers), airports)
     replaced = {
         label: F.when(F.col(label).isNotNull(), F.coalesce(f"{label}_expected", label))
         for label in S.LABELS.values()

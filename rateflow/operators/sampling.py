@@ -63,12 +63,23 @@ def stratified_templates(df, count, seed=42):
     The fill may repeat a row that already stands for its airport. Measures are
     coerced, bad values to 0; rows without carrier or airport are left out.
     """
+    return _stratified(df, count, seed, _sizes(df))
+
+
+def _sizes(df):
+    """Rows per average year, usable rows and their airports, from one scan."""
+    usable = F.col("airport").isNotNull() & F.col("carrier").isNotNull()
+    counted = fill_missing_columns(df).groupBy("year", "airport", usable.alias("usable")).agg(F.count(F.lit(1)).alias("n"))
+    rounded = F.rint(F.sum("n") / F.nullif(F.count_distinct("year"), F.lit(0))).cast("bigint")
+    return counted.agg(
+        F.when(rounded.isNotNull(), F.greatest(F.lit(1), rounded)).alias("per_year"),
+        F.coalesce(F.sum(F.when(F.col("usable"), F.col("n"))), F.lit(0)).alias("rows"),
+        F.count_distinct(F.when(F.col("usable"), F.col("airport"))).alias("airports")).first()
+
+
+def _stratified(df, count, seed, size):
     usable = fill_missing_columns(df).dropna(subset=["carrier", "airport"])
     columns = usable.columns
-    size = (
-        usable.groupBy("airport").agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("airports")).first()
-    )
     if size["rows"] == 0:
         raise ValueError("No valid rows after filtering (missing carrier/airport)")
     target = min(count, size["rows"])
@@ -88,5 +99,5 @@ def stratified_templates(df, count, seed=42):
 
 def average_year_templates(df, default_count=2000, seed=42):
     """Templates as many as an average year has rows; the default count when no year is known."""
-    rows = avg_rows_per_year(df).first()["rows"]
-    return stratified_templates(df, default_count if rows is None else rows, seed)
+    size = _sizes(df)
+    return _stratified(df, default_count if size["per_year"] is None else size["per_year"], seed, size)

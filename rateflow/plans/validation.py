@@ -119,8 +119,8 @@ class Assessment:
     """Everything the validation derives; all frames are lazy over the settled profiles."""
 
     lines: DataFrame
-    carriers: DataFrame
-    airports: DataFrame
+    carriers: dimensions.Measured
+    airports: dimensions.Measured
     original_months: DataFrame
     generated_months: DataFrame
     original_index: DataFrame
@@ -184,22 +184,22 @@ def assess(original, generated, years="all"):
     g = settle(profile(candidate), "profile")
     o_valid, g_valid = o.filter("n_valid > 0"), g.filter("n_valid > 0")
 
-    carriers = dimensions.canonical(o, "carrier", "n_rows")
-    airports = dimensions.canonical(o, "airport", "n_rows")
+    carriers = dimensions.measure(dimensions.canonical(o, "carrier", "n_rows"), "carrier")
+    airports = dimensions.measure(dimensions.canonical(o, "airport", "n_rows"), "airport")
 
-    o_found = quality.findings(quality.merge_tallies(o), "ORIGINAL")
+    o_found = settle(quality.findings(quality.merge_tallies(o), "ORIGINAL"), "findings")
     g_found = quality.findings(quality.merge_tallies(g), "GENERATED").unionByName(quality.year_findings(g))
-    o_kpi, g_kpi = kpi.overall_long(o_valid), kpi.overall_long(g_valid)
+    o_kpi, g_kpi = (settle(kpi.overall_long(valid), "kpi") for valid in (o_valid, g_valid))
     o_index, g_index = seasonality.seasonal_index(o_valid), seasonality.seasonal_index(g_valid)
-    season = seasonality.compare(o_index, g_index)
+    season = settle(seasonality.compare(o_index, g_index), "seasonality")
     season_long = season.select(
         F.col("seasonality_months_compared").cast("double").alias("seasonality_months_compared"),
         "seasonality_corr", "seasonality_mad",
     ).unpivot([], ["seasonality_months_compared", "seasonality_corr", "seasonality_mad"], "metric", "value").filter(
         F.col("value").isNotNull())
 
-    wrong = {code: dimensions.mismatches(g, dim, code, "n_rows")
-             for code, dim in (("carrier", carriers), ("airport", airports))}
+    wrong = {dim.code: settle(dimensions.mismatches(g, dim.frame, dim.code, "n_rows"), "mismatches")
+             for dim in (carriers, airports)}
     changed = {code: rows.groupBy("domain").agg(F.sum("n").alias("n")) for code, rows in wrong.items()}
     cells = o.agg(total("_filled").alias("filled"), total("_clipped").alias("clipped"))
     reference_errors = o_found.filter(F.col("severity") == quality.ERROR)
@@ -257,8 +257,8 @@ def run(original, generated, out, years="all"):
     write_report(report, f"{out}/validation_report.json")
     status = report.first()["status"]
     if status != FAIL:
-        write_csv(result.carriers, f"{out}/{OUTPUT_NAMES['dim_carrier_csv']}")
-        write_csv(result.airports, f"{out}/{OUTPUT_NAMES['dim_airport_csv']}")
+        write_csv(result.carriers.frame.orderBy("carrier"), f"{out}/{OUTPUT_NAMES['dim_carrier_csv']}")
+        write_csv(result.airports.frame.orderBy("airport"), f"{out}/{OUTPUT_NAMES['dim_airport_csv']}")
         labelled = dimensions.canonicalize(result.generated_rows, result.carriers, result.airports)
         labelled = settle(labelled, "canonicalized")
         write_csv(labelled, f"{out}/{OUTPUT_NAMES['canonicalized_generated_csv']}", line_breaks=True)

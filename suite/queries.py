@@ -95,7 +95,7 @@ def sink_partitioned(spark, d):
 
 def sink_csv(spark, d):
     path = work_path(spark, "dimension")
-    files.write_csv(dimensions.canonical(_clean(spark, d), "airport"), path)
+    files.write_csv(dimensions.canonical(_clean(spark, d), "airport").orderBy("airport"), path)
     return files.read_csv(spark, path)
 
 
@@ -324,7 +324,8 @@ def _with_dimensions(spark, d):
 
 def canonicalize(spark, d):
     generated, carriers, airports, _ = _with_dimensions(spark, d)
-    return tidy(dimensions.canonicalize(generated, carriers, airports))
+    measured = dimensions.measure(carriers, "carrier"), dimensions.measure(airports, "airport")
+    return tidy(dimensions.canonicalize(generated, *measured))
 
 
 def canonicalize_notes(spark, d):
