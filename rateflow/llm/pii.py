@@ -92,9 +92,9 @@ def base_spans(df, text="text", into="base"):
 
 
 def contexts(marked):
-    """(digest, entity, context, ends): the distinct surroundings of all entities of marked(text, base), without the entity.
+    """(digest, entity, start, stop, begin, before, after): the distinct surroundings of all entities of marked(text, base).
 
-    before and after are the texts on both sides, `start` and `stop` the entity's place.
+    start and stop are the entity's place, before and after the texts on both sides, begin is where before starts.
     """
     rows = marked.where(F.size("base") > 0).select(
         F.sha2("text", 256).alias("digest"), "text", F.explode("base").alias("span"))
@@ -136,9 +136,9 @@ def revealing_terms(docs, places, found, text_col="text", min_support=MIN_SUPPOR
     known = found.groupBy("entity").agg(_seen(F.xxhash64("before", "after")).alias("n_entity"))
     words = docs.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0))).alias("term"))
     n_term = words.join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
-    windows = docs.select(F.length(text).alias("n")).agg((F.sum("n") / (2 * REACH)).alias("windows"))
-    rated = pairs.join(known, "entity").join(n_term, "term").crossJoin(F.broadcast(windows))  # one row
-    total = F.greatest(F.col("windows"), F.col("n_entity") + F.lit(1.0))
+    n_chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
+    rated = pairs.join(known, "entity").join(n_term, "term")
+    total = F.greatest(F.lit(n_chars / (2 * REACH)), F.col("n_entity") + F.lit(1.0))
     rated = rated.withColumn("share", F.log2(total * F.col("n_both") / (F.col("n_entity") * F.col("n_term"))) / F.log2(
         total / F.col("n_entity")))
     return rated.where(F.col("share") >= at_least).select("entity", "term", "share")
