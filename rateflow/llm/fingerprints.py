@@ -96,7 +96,7 @@ def in_order(docs, id_col="doc_id", text_col="text"):
     host = F.struct(F.col("before").alias("part"), F.lit(True).alias("guest"))
     place = F.explode(F.when(F.col("doc_id").eqNullSafe(F.col("first")), F.array(owner, host)).otherwise(F.array(owner)))
     dealt = rows.join(edges, "part").select(place.alias("at"), "doc_id", "text").select("at.*", "doc_id", "text")
-    return dealt.repartition("part").sortWithinPartitions("part", "guest", F.asc_nulls_first("doc_id"), "text")
+    return dealt.repartitionById(n, "part").sortWithinPartitions("part", "guest", F.asc_nulls_first("doc_id"), "text")
 
 
 _EDITS = pa.schema([
