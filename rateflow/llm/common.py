@@ -10,7 +10,7 @@ from rateflow.session import settle
 #: A key with more than one row in this many is joined by broadcast; there are at most so many of these keys.
 HOT_SHARE = 1000
 #: Bytes of text that a Python worker holds at once, apart from a single longer text.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 #: Bytes of an Arrow batch, apart from a single longer row.
 BATCH_BYTES = 8 << 20
 
@@ -46,8 +46,14 @@ def row_and_text(df, text_col="text"):
     return df.select(whole_row(df), F.coalesce(column(text_col), F.lit("")).cast("binary").alias("text"))
 
 
-def pieces(batches, text="text", limit=PIECE_BYTES):
+_STORE = {}
+
+
+def pieces(batches, text="text", limit=PIECE_BYTES, key=None):
     """Batches cut so that each holds about `limit` bytes of text; a longer text is a piece of its own."""
+    if key not in _STORE and _STORE:
+        _STORE.clear()
+        pa.default_memory_pool().release_unused()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -61,10 +67,17 @@ def pieces(batches, text="text", limit=PIECE_BYTES):
             start = stop
 
 
-def by_piece(fn, text="text", limit=PIECE_BYTES):
-    """For mapInArrow: `fn` turns one piece into a dict of arrays."""
+def worker_store(key, make):
+    """What a worker process keeps from one task of a query to the next; another query's goes first."""
+    if key not in _STORE:
+        _STORE[key] = make()
+    return _STORE[key]
+
+
+def by_piece(fn, text="text", limit=PIECE_BYTES, key=None):
+    """For mapInArrow: `fn` turns one piece into a dict of arrays; `key` names what it takes from the worker's store."""
     def run(batches):
-        for piece in pieces(batches, text, limit):
+        for piece in pieces(batches, text, limit, key):
             out = fn(piece)
             yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
     return run

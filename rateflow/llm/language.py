@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import by_piece, column, row_and_text
+from rateflow.llm.common import by_piece, column, row_and_text, worker_store
 from rateflow.llm.ngrams import hashed
 
 MAX_ROWS = 300
@@ -39,7 +39,7 @@ EPOCHS = 3
 RATE = 0.2
 #: Mean number of words between switches in a training chain, words of a training chain, chains of a training batch.
 RUN, CHAIN, BATCH = 12, 40, 64
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _STRIP = "".join(map(chr, range(0x21, 0x41))) + "[\\]^_`{|}~"
@@ -169,8 +169,8 @@ class Model:
     def emissions(self, words):
         """Sum of the feature weights of each word."""
         out = np.zeros((len(words), len(self.languages)), np.float32)
-        for at in range(0, len(words), 20_000):
-            some = words[at:at + 20_000]
+        for at in range(0, len(words), 10_000):
+            some = words[at:at + 10_000]
             word, feature, value = self._features(some)
             begin = np.searchsorted(word, np.arange(len(some)))
             out[at:at + len(some)] = np.add.reduceat(self.weights[feature] * value[:, None], begin)
@@ -228,17 +228,6 @@ class Labeller:
         return [self.model.languages[b] if n else UNKNOWN for b, n in zip(best, count, strict=True)], np.clip(score, 0, 1)
 
 
-_WORKER = {}
-
-
-def _labeller(key, model):
-    """The labeller of this worker process, kept from one task of a query to the next."""
-    if key not in _WORKER:
-        _WORKER.clear()
-        _WORKER[key] = Labeller(model)
-    return _WORKER[key]
-
-
 def train(docs, learn, id_col="doc_id", text_col="text", lang_col="lang", max_rows=MAX_ROWS, max_chars=MAX_CHARS):
     """A model from labelled rows. `learn` is a condition on the columns of docs.
 
@@ -257,12 +246,12 @@ def label_documents(docs, model, text_col="text"):
     key = uuid.uuid4().hex
 
     def run(piece):
-        names, score = _labeller(key, shared.value).label(piece.column("text").cast(pa.string()).to_pylist())
+        names, score = worker_store(key, lambda: Labeller(shared.value)).label(piece.column("text").cast(pa.string()).to_pylist())
         return {"row": piece.column("row"), "lang_pred": pa.array(names, pa.string()), "score": pa.array(score, pa.float64())}
 
     rows = row_and_text(docs, text_col)
     schema = rows.select("row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return rows.mapInArrow(by_piece(run), schema)
+    return rows.mapInArrow(by_piece(run, key=key), schema)
 
 
 def label_words(docs, model, text_col="text"):
@@ -271,7 +260,7 @@ def label_words(docs, model, text_col="text"):
     key = uuid.uuid4().hex
 
     def run(piece):
-        own = _labeller(key, shared.value)
+        own = worker_store(key, lambda: Labeller(shared.value))
         texts = piece.column("text").cast(pa.string()).to_pylist()
         count, chance = own.words(texts) if own.model.languages else (np.zeros(len(texts), int), np.zeros((0, 1)))
         ends = np.cumsum(count).tolist()
@@ -286,4 +275,4 @@ def label_words(docs, model, text_col="text"):
 
     rows = row_and_text(docs, text_col)
     schema = rows.select("row", F.array().cast("array<struct<word:string,lang:string,p:double>>").alias("words")).schema
-    return rows.mapInArrow(by_piece(run), schema)
+    return rows.mapInArrow(by_piece(run, key=key), schema)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from rateflow.llm import bloom
-from rateflow.llm.common import by_piece, column, lookup, pieces, stored, whole_row
+from rateflow.llm.common import bound_batches, by_piece, column, lookup, pieces, stored, whole_row
 
 MIN_CHARS = 10
 BITS_PER_KEY = 8
@@ -64,6 +64,7 @@ def dedup_lines(docs, id_col="doc_id", text_col="text", min_chars=MIN_CHARS, bit
                 max_bits=MAX_BITS):
     """row (all columns of docs), kept_text, n_lines, n_dropped; one row for each row of docs."""
     spark = docs.sparkSession
+    bound_batches(spark)
     text = F.coalesce(column(text_col), F.lit(""))
     texts = docs.select(text.cast("binary").alias("text"))
     lines = docs.select((F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1).alias("n")).agg(F.sum("n")).first()[0]
@@ -80,29 +81,29 @@ def dedup_lines(docs, id_col="doc_id", text_col="text", min_chars=MIN_CHARS, bit
     rows = docs.select(whole_row(docs), text.cast("binary").alias("text"), column(id_col).alias("doc_id"))
 
     def mark(piece):
-        found = [_suspects(t, shared.value, min_chars) for t in piece.column("text").to_pylist()]
-        return {c: piece.column(c) for c in piece.schema.names} | {"suspects": pa.array(found, pa.list_(pa.binary()))}
+        texts = piece.column("text").to_pylist()
+        found = [_suspects(t, shared.value, min_chars) for t in texts]
+        return {c: piece.column(c) for c in piece.schema.names if c != "text"} | {
+            "n_lines": pa.array([t.count(b"\n") + 1 for t in texts], pa.int64()),
+            "suspects": pa.array(found, pa.list_(pa.binary()))}
 
     def kept(piece):
-        texts, lost = piece.column("text").to_pylist(), piece.column("lost").to_pylist()
-        out, n_lines, n_dropped = [], [], []
-        for t, gone in zip(texts, lost, strict=True):
-            all_lines = t.split(b"\n")
-            left = all_lines
-            if gone:
-                gone = set(gone)
-                left = [x for x in all_lines if (k := line_key(x, min_chars)) is None or _digest(k) not in gone]
+        out, n_dropped = [], []
+        for t, gone in zip(piece.column("text").to_pylist(), piece.column("lost").to_pylist(), strict=True):
+            lines, gone = t.split(b"\n"), set(gone or ())
+            left = [x for x in lines if not gone or (k := line_key(x, min_chars)) is None or _digest(k) not in gone]
             out.append(b"\n".join(left))
-            n_lines.append(len(all_lines))
-            n_dropped.append(len(all_lines) - len(left))
+            n_dropped.append(len(lines) - len(left))
         return {"row": piece.column("row"), "kept_text": pa.array(out, pa.binary()).cast(pa.string()),
-                "n_lines": pa.array(n_lines, pa.int64()), "n_dropped": pa.array(n_dropped, pa.int64())}
+                "n_lines": piece.column("n_lines"), "n_dropped": pa.array(n_dropped, pa.int64())}
+
+    def marked(frame):
+        schema = frame.drop("text").withColumns(
+            {"n_lines": F.lit(0).cast("bigint"), "suspects": F.array().cast("array<binary>")}).schema
+        return frame.mapInArrow(by_piece(mark), schema)
 
-    marked = rows.mapInArrow(by_piece(mark), rows.withColumn("suspects", F.array().cast("array<binary>")).schema)
-    slim = rows.select("doc_id", "text")
     suspects = stored(
-        slim.mapInArrow(by_piece(mark), slim.withColumn("suspects", F.array().cast("array<binary>")).schema)
-        .select("doc_id", F.explode("suspects").alias("key")), "line-suspects")
+        marked(rows.select("doc_id", "text")).select("doc_id", F.explode("suspects").alias("key")), "line-suspects")
     absent = F.sum(F.col("doc_id").isNull().cast("bigint"))
     repeats = stored(
         suspects.groupBy("key").agg(
@@ -111,13 +112,14 @@ def dedup_lines(docs, id_col="doc_id", text_col="text", min_chars=MIN_CHARS, bit
     lost = lookup(suspects, repeats, "key", "n").where("first IS NOT NULL AND NOT doc_id <=> first")
     lost = lost.groupBy("doc_id").agg(F.collect_set("key").alias("lost"))
 
-    clean = marked.where(F.size("suspects") == 0).select("row", "text", F.array().cast("array<binary>").alias("lost"))
-    touched = marked.where(F.size("suspects") > 0).alias("m").join(
-        lost.alias("l"), F.col("m.doc_id").eqNullSafe(F.col("l.doc_id")), "left").select("row", "text", "lost")
-    both = clean.unionByName(touched)
-    schema = rows.select("row", F.lit("").alias("kept_text"), F.lit(0).cast("bigint").alias("n_lines"),
-                         F.lit(0).cast("bigint").alias("n_dropped")).schema
-    return both.mapInArrow(by_piece(kept), schema)
+    own_text = F.coalesce(column("row").getField(text_col), F.lit(""))
+    every = marked(rows)
+    clean = every.where(F.size("suspects") == 0).select(
+        "row", own_text.alias("kept_text"), "n_lines", F.lit(0).cast("bigint").alias("n_dropped"))
+    touched = every.where(F.size("suspects") > 0).select("row", "doc_id", "n_lines").alias("m").join(
+        lost.alias("l"), F.col("m.doc_id").eqNullSafe(F.col("l.doc_id")), "left")
+    touched = touched.select("row", own_text.cast("binary").alias("text"), "n_lines", "lost")
+    return clean.unionByName(touched.mapInArrow(by_piece(kept), clean.schema))
 
 
 def replaced(kept, text_col="text", count_col="n_chars"):

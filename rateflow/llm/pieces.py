@@ -17,18 +17,20 @@ Nulls and odd rows: a null text is an empty one, and has only the begin and end
 Extra columns are carried in a struct.
 """
 
-import functools
+import uuid
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import by_piece, row_and_text
+from rateflow.llm.common import by_piece, row_and_text, worker_store
 
 SPACE = "▁"
 #: Words that a worker keeps encoded; beyond that it starts anew.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
+#: Words that are merged together; more would need more memory, not less time.
+MERGED_WORDS = 10_000
 _NONE = np.iinfo(np.int64).max
 
 
@@ -228,6 +230,10 @@ class Encoder:
         self.number, self.flat, self.start, self.count = {}, np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _learn(self, words):
+        for at in range(0, len(words), MERGED_WORDS):
+            self._add(words[at:at + MERGED_WORDS])
+
+    def _add(self, words):
         ids, count = self.model.merge(words)
         self.number.update(zip(words, range(len(self.number), len(self.number) + len(words)), strict=True))
         self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(count) - count])
@@ -272,19 +278,14 @@ def _words(text):
     return out
 
 
-@functools.lru_cache(maxsize=2)
-def encoder(proto):
-    """A worker's encoder; its words are kept from one task to the next."""
-    return Encoder(Model(proto))
-
-
 def encode_and_decode(docs, model_path, text_col="text"):
     """row (all columns of docs), ids (with begin and end), decoded. The model file is read on the driver and broadcast."""
     with open(model_path, "rb") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
+    key = uuid.uuid4().hex
 
     def run(piece):
-        own = encoder(shared.value)
+        own = worker_store(key, lambda: Encoder(Model(shared.value)))
         table = own.model
         ids, sizes = own.encode(piece.column("text").cast(pa.string()).to_pylist())
         framed = [
@@ -295,4 +296,4 @@ def encode_and_decode(docs, model_path, text_col="text"):
 
     rows = row_and_text(docs, text_col)
     schema = rows.select("row", F.array().cast("array<int>").alias("ids"), F.lit("").alias("decoded")).schema
-    return rows.mapInArrow(by_piece(run), schema)
+    return rows.mapInArrow(by_piece(run, key=key), schema)

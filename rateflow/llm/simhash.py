@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import by_piece, column, lookup, stored, whole_row
+from rateflow.llm.common import by_piece, column, lookup, row_and_text, stored
 from rateflow.llm.components import components
 
 WIDTH = 3
@@ -70,7 +70,7 @@ def fingerprints(docs, text_col="text", width=WIDTH):
         values = np.array([fingerprint(t, width) for t in piece.column("text").to_pylist()], np.uint64)
         return {"row": piece.column("row"), "fingerprint": pa.array(values.view(np.int64))}
 
-    rows = docs.select(whole_row(docs), F.coalesce(column(text_col), F.lit("")).cast("binary").alias("text"))
+    rows = row_and_text(docs, text_col)
     return rows.mapInArrow(by_piece(run), rows.select("row", F.lit(0).cast("bigint").alias("fingerprint")).schema)
 
 

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rateflow.llm.common import by_piece, pieces, row_and_text
+from rateflow.llm.common import by_piece, pieces, row_and_text, worker_store
 
 FREQUENT = 1 << 16
 SENT = 4096
@@ -34,7 +34,7 @@ COUNTED = 300_000
 #: Lengths that a worker keeps besides the frequent ones; beyond that it starts anew.
 CACHED = 500_000
 #: White space as the tokenizer's pattern \\s has it; str.split() also cuts at four control characters.
-_BLANK = re.compile("[\t-\r \x85\xa0  -     　]+")
+_BLANK = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _CONTROL = re.compile("[\x1c-\x1f]")
 
 
@@ -108,17 +108,6 @@ class Lengths:
         return [sum(map(get, words)) for words in split]
 
 
-_WORKER = {}
-
-
-def worker_lengths(key, tokenizer_json, table):
-    """The lengths of this worker process, kept from one task of a query to the next."""
-    if key not in _WORKER:
-        _WORKER.clear()
-        _WORKER[key] = Lengths(tokenizer_json, table)
-    return _WORKER[key]
-
-
 def count_tokens(docs, tokenizer_path, text_col="text", frequent=FREQUENT):
     """row (all columns of docs), n_bytes, n_tokens."""
     context = docs.sparkSession.sparkContext
@@ -131,11 +120,11 @@ def count_tokens(docs, tokenizer_path, text_col="text", frequent=FREQUENT):
     key = uuid.uuid4().hex
 
     def run(piece):
-        own = worker_lengths(key, *shared.value)
+        own = worker_store(key, lambda: Lengths(*shared.value))
         texts = piece.column("text")
         n_tokens = own.count(texts.cast(pa.string()).to_pylist())
         return {"row": piece.column("row"), "n_bytes": pc.binary_length(texts).cast(pa.int64()),
                 "n_tokens": pa.array(n_tokens, pa.int64())}
 
     schema = rows.select("row", F.lit(0).cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("n_tokens")).schema
-    return rows.mapInArrow(by_piece(run), schema)
+    return rows.mapInArrow(by_piece(run, key=key), schema)

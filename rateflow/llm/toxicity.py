@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import by_piece, column, row_and_text
+from rateflow.llm.common import by_piece, column, row_and_text, worker_store
 from rateflow.llm.ngrams import hashed
 
 MAX_ROWS = 1000
@@ -146,25 +146,14 @@ class Scorer:
             self.known.clear()
             new = set().union(*split)
         new = list(new)
-        for at in range(0, len(new), 20_000):
-            some = new[at:at + 20_000]
+        for at in range(0, len(new), 10_000):
+            some = new[at:at + 10_000]
             self.known.update(zip(some, self.model.word_scores(some).tolist(), strict=True))
         get = self.known.__getitem__
         z = np.array([sum(map(get, words)) for words in split]) + self.model.bias
         return 1 / (1 + np.exp(-np.clip(z, -700, 700)))
 
 
-_WORKER = {}
-
-
-def _scorer(key, model):
-    """The scorer of this worker process, kept from one task of a query to the next."""
-    if key not in _WORKER:
-        _WORKER.clear()
-        _WORKER[key] = Scorer(model)
-    return _WORKER[key]
-
-
 def train(docs, labels, learn, id_col="doc_id", text_col="text", label_col="toxic", max_rows=MAX_ROWS, max_chars=MAX_CHARS):
     """A model from labelled rows. `learn` is a condition on the id column; labels other than 0 and 1 don't count.
 
@@ -186,8 +175,8 @@ def score(docs, model, text_col="text"):
     key = uuid.uuid4().hex
 
     def run(piece):
-        own = _scorer(key, shared.value)
+        own = worker_store(key, lambda: Scorer(shared.value))
         return {"row": piece.column("row"), "score": pa.array(own.score(piece.column("text").cast(pa.string()).to_pylist()))}
 
     rows = row_and_text(docs, text_col)
-    return rows.mapInArrow(by_piece(run), rows.select("row", F.lit(0.0).alias("score")).schema)
+    return rows.mapInArrow(by_piece(run, key=key), rows.select("row", F.lit(0.0).alias("score")).schema)
