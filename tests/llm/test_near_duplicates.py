@@ -182,6 +182,23 @@ def test_passages_with_frequent_keys(spark, monkeypatch):
         (r.doc_id, r.component_id, r.n_copies, r.spans, r.n_span_words) for r in got])
 
 
+def test_repeated_and_scattered_passages_are_verified():
+    rng = np.random.default_rng(12)
+    token = lambda n: rng.integers(0, 1 << 30, n).astype(np.int32)
+    p, q = token(60), token(50)
+    doubled = np.concatenate([token(20), p, token(30), p, token(10)])
+    b = np.concatenate([token(5), p, token(9)])
+    assert {x[:2] for x in substrings.passages(doubled, b, 46)} == {(20, 80), (110, 170)}
+    # a passage whose chain runs on through scattered common tokens keeps its own part
+    edited = p.copy()
+    edited[30] = 1
+    left, right = token(300), token(300)
+    right[::12] = left[::12]
+    found = substrings.passages(np.concatenate([p, left, q]), np.concatenate([edited, right, q]), 46)
+    assert any(i0 == 0 and i1 >= 60 for i0, i1, _, _ in found) and any(i0 <= 360 and i1 == 410 for i0, i1, _, _ in found)
+    assert substrings.passages(np.zeros(3000, np.int32), np.zeros(2500, np.int32), 46)
+
+
 def test_odd_rows_have_their_passages(spark):
     got = {r.doc_id: r for r in substrings.near_duplicate_passages(brute.frame(spark, brute.odd_rows())).collect()}
     assert {9, 10, 12} <= set(got) and not {1, 2, 3, 4, 5, 6, 7, 13, 16} & set(got)
