@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from rateflow.llm import components, fingerprints, simhash, substrings
@@ -199,6 +200,15 @@ def test_repeated_and_scattered_passages_are_verified():
     assert substrings.passages(np.zeros(3000, np.int32), np.zeros(2500, np.int32), 46)
 
 
+def test_windows_meet_beyond_many_repeats():
+    """A text with a passage many times gives many pairs of one function at one place of the other text."""
+    window = lambda f, c: int(substrings._packed(f, c - 40, c, c + 40))
+    rows = [(1, 2, window(0, 100), window(0, 100 + 200 * i)) for i in range(40)] + [(1, 2, window(1, 101), window(1, 101 + 200 * 20))]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["a", "b", "a_window", "b_window"])
+    got = [r for out in substrings._interval_join(46)([batch]) for r in out.to_pylist()]
+    assert got == [{"a": 1, "b": 2, "start": 4060, "stop": 4141}]
+
+
 def test_odd_rows_have_their_passages(spark):
     got = {r.doc_id: r for r in substrings.near_duplicate_passages(brute.frame(spark, brute.odd_rows())).collect()}
     assert {9, 10, 12} <= set(got) and not {1, 2, 3, 4, 5, 6, 7, 13, 16} & set(got)
