@@ -183,6 +183,28 @@ def test_passages_with_frequent_keys(spark, monkeypatch):
         (r.doc_id, r.component_id, r.n_copies, r.spans, r.n_span_words) for r in got])
 
 
+def test_passages_behind_the_first_text_of_a_key(spark, monkeypatch):
+    """A passage of lines that many other texts hold singly: the first text of every key has one line only."""
+    rng = random.Random(11)
+    word = lambda n: [f"u{rng.randrange(100_000)}" for _ in range(n)]
+    lines = [word(11) for _ in range(5)]
+    passage = sum(lines, [])
+    edited = passage.copy()
+    edited[54] = "other"
+    rows = [(i, " ".join(word(40) + p + word(40))) for i, p in ((1, passage), (2, passage), (3, edited), (4, passage))]
+    rows += [(100 + 60 * k + i, " ".join(word(60) + line + word(60))) for k, line in enumerate(lines) for i in range(60)]
+    docs = brute.frame(spark, [(*r, "en") for r in rows])
+    for share in (substrings.HOT_SHARE, 0):
+        monkeypatch.setattr(substrings, "HOT_SHARE", share)
+        got = {r.doc_id: r for r in substrings.near_duplicate_passages(docs).collect()}
+        assert set(got) == {1, 2, 3, 4} and {r.component_id for r in got.values()} == {1}
+        assert got[1].spans == got[2].spans == got[4].spans == "40:95" and got[3].spans == "40:94"
+    # fewer leaders at once give the same
+    monkeypatch.setattr(substrings, "MORE_LEADERS", 2)
+    again = {r.doc_id: r for r in substrings.near_duplicate_passages(docs).collect()}
+    assert {i: (r.component_id, r.spans) for i, r in again.items()} == {i: (r.component_id, r.spans) for i, r in got.items()}
+
+
 def test_repeated_and_scattered_passages_are_verified():
     rng = np.random.default_rng(12)
     token = lambda n: rng.integers(0, 1 << 30, n).astype(np.int32)
