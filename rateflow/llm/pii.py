@@ -7,7 +7,7 @@ matches in linear time. The one for cards asks for the maximal run of 16 to 19 d
 
 Information-theoretic sanitisation: the context of an entity is the text up to `REACH` characters on both sides. A term is
 a word of at least `MIN_TERM` letters or digits. Over the whole corpus, with windows of a context's length as the unit,
-p(t) comes from all occurrences of the term, p(e) from the distinct contexts of the entity and p(e, t) from those that
+p(t) comes from all occurrences of the term in distinct texts, whose lengths make the corpus, p(e) from the distinct contexts of the entity and p(e, t) from those that
 hold the term; copies of a context count once, and so do the contexts within one text. A term reveals the share PMI(e, t) / IC(e) of the entity's information IC(e) = -log2 p(e),
 where PMI(e, t) = log2(p(e, t) / (p(e) p(t))). Pairs with at least `MIN_SUPPORT` distinct contexts count. A term that
 reveals `GENERALISE` or more is replaced by its class in the entity's contexts, one that reveals `REMOVE` or more is cut.
@@ -134,9 +134,15 @@ def revealing_terms(docs, places, found, text_col="text", min_support=MIN_SUPPOR
         places.groupBy("entity", "term").agg(_seen(F.col("shown")).alias("n_both"))
         .where(F.col("n_both") >= min_support), "revealing-pairs")
     known = found.groupBy("entity").agg(_seen(F.xxhash64("before", "after")).alias("n_entity"))
-    words = docs.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0))).alias("term"))
-    n_term = words.join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
-    n_chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
+    digest = F.sha2(text, 256).alias("digest")
+    copies = stored(docs.groupBy(digest).agg(
+        F.count("*").alias("n_copies"), F.max(F.length(text)).alias("n_chars")), "revealing-texts")
+    n_chars = copies.agg(F.sum("n_chars")).first()[0] or 0
+    words = docs.select(digest, F.explode(F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0))).alias("term"))
+    # copies have equal counts: their sum is cut to that of one text
+    words = words.join(pairs.select("term").distinct(), "term", "left_semi").groupBy("digest", "term").agg(F.count("*").alias("n"))
+    words = words.join(copies.where("n_copies > 1").select("digest", "n_copies"), "digest", "left")
+    n_term = words.groupBy("term").agg(F.sum(F.expr("n div coalesce(n_copies, 1)")).alias("n_term"))
     rated = pairs.join(known, "entity").join(n_term, "term")
     total = F.greatest(F.lit(n_chars / (2 * REACH)), F.col("n_entity") + F.lit(1.0))
     rated = rated.withColumn("share", F.log2(total * F.col("n_both") / (F.col("n_entity") * F.col("n_term"))) / F.log2(

@@ -140,6 +140,18 @@ def test_terms_that_reveal_an_entity_go(spark):
     assert "[EMAIL]" in clean[0] and "Zaphod" not in clean[0] and "Arthur once" in clean[401] and clean[10] == rows[6][1]
 
 
+def test_copies_hide_no_revealing_term(spark):
+    """Exact copies of a text count once, in the term's frequency and in the corpus too."""
+    rng = random.Random(5)
+    some = lambda n: " ".join(rng.choices([f"common{i}" for i in range(30)], k=n))
+    rows = [(i, f"{some(9)} Zaphod wrote from z.b@galaxy.example.com {some(9)}", "en") for i in range(4)]
+    rows += [(10 + i, f"{some(40)} wrote from {some(20)}", "en") for i in range(60)]
+    plain = pii.find_personal_data(brute.frame(spark, rows)).select("row.doc_id", "terms").where("doc_id < 10").collect()
+    copied = pii.find_personal_data(brute.frame(spark, rows + [(1000 + i, rows[0][1], "en") for i in range(3000)]))
+    assert all(r.terms for r in plain)
+    assert brute.same(copied.select("row.doc_id", "terms").where("doc_id < 10").collect(), plain)
+
+
 @pytest.fixture(scope="module")
 def library():
     return sentencepiece.SentencePieceProcessor(model_file=PIECES)
