@@ -10,7 +10,8 @@ a word of at least `MIN_TERM` letters or digits. Over the whole corpus, with win
 p(t) comes from all occurrences of the term in distinct texts, whose lengths make the corpus, p(e) from the distinct contexts of the entity and p(e, t) from those that
 hold the term; copies of a context count once, and so do the contexts within one text. A term reveals the share PMI(e, t) / IC(e) of the entity's information IC(e) = -log2 p(e),
 where PMI(e, t) = log2(p(e, t) / (p(e) p(t))). Pairs with at least `MIN_SUPPORT` distinct contexts count. A term that
-reveals `GENERALISE` or more is replaced by its class in the entity's contexts, one that reveals `REMOVE` or more is cut.
+reveals `GENERALISE` or more is replaced by its class wherever it stands in a text that holds the entity, one that reveals
+`REMOVE` or more is cut. In writing without spaces a run of letters is one term; a name inside a longer run is none.
 Entities themselves are always replaced by their kind. A context holds a bounded number of terms, so pairs grow with the
 number of entities; they are counted before they are shuffled.
 
@@ -22,7 +23,7 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import column, stored, whole_row
+from rateflow.llm.common import column, lookup, stored, whole_row
 
 #: The kinds in order and their patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -35,7 +36,7 @@ PATTERNS = {
 _NEEDED = {"email": "@", "ip": ".", "phone": "+"}
 _PART = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})?"
 REACH = 120
-MIN_TERM = 4
+MIN_TERM = 2
 MIN_SUPPORT = 3
 GENERALISE, REMOVE = 0.6, 0.8
 _TERM = rf"[\p{{L}}\p{{N}}]{{{MIN_TERM},}}"
@@ -166,12 +167,29 @@ def find_personal_data(docs, text_col="text", min_support=MIN_SUPPORT, generalis
     bad = stored(revealing_terms(docs, places, found, text_col, min_support, generalise), "revealing-terms")
     number = F.col("term").rlike(r"^\p{N}+$")
     shown = F.when(F.col("share") >= remove, "").when(number, "[NUMBER]").otherwise("[TERM]")
-    spans = places.join(bad, ["entity", "term"]).groupBy("digest", "start", "stop").agg(F.min(shown).alias("value"))
-    spans = stored(spans.groupBy("digest").agg(F.array_sort(F.collect_list(F.struct(
-        F.lit("term").alias("kind"), "start", "stop", "value"))).alias("terms")), "revealing-spans")
+    holders = stored(found.select("digest", "entity").distinct(), "entity-texts")
+    by_entity = bad.groupBy("entity").agg(F.collect_list(F.struct("term", shown.alias("value"))).alias("revealed"))
+    by_entity = stored(by_entity.join(holders.groupBy("entity").agg(F.count("*").alias("n")), "entity"), "revealing-entities")
+    held = lookup(holders, by_entity, "entity", "n").where("revealed IS NOT NULL")
+    held = held.select("digest", F.explode("revealed").alias("t")).groupBy("digest", "t.term").agg(F.min("t.value").alias("value"))
+    held = stored(held.groupBy("digest").agg(
+        F.map_from_entries(F.collect_list(F.struct("term", "value"))).alias("revealed")), "revealing-spans")
     marked = marked.withColumn("digest", F.when(F.size("base") > 0, F.sha2("text", 256)))
-    out = marked.join(spans, "digest", "left")
-    return out.select("row", "text", "base", F.coalesce("terms", F.array().cast(_SPANS)).alias("terms"))
+    out = marked.join(held, "digest", "left")
+    return out.select("row", "text", "base", F.when(F.col("revealed").isNull(), F.array().cast(_SPANS)).otherwise(
+        _revealed_spans()).alias("terms"))
+
+
+def _revealed_spans():
+    """All places in `text` of the terms that `revealed` maps to their replacements, outside the entities in `base`."""
+    each = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(F.map_keys("revealed"), "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    values = F.regexp_extract_all(F.col("text"), each, F.lit(0))
+    gaps = F.transform(F.split(F.col("text"), each, -1), F.length)
+    spans = F.transform(_located(values, gaps, "term"), lambda s: F.struct(
+        s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"),
+        F.col("revealed")[F.lower(s["value"])].alias("value")))
+    apart = lambda s: ~F.exists("base", lambda e: (e["start"] < s["stop"]) & (s["start"] < e["stop"]))
+    return F.filter(spans, lambda s: s["value"].isNotNull() & apart(s))
 
 
 def sanitised(found):

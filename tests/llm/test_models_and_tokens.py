@@ -152,6 +152,20 @@ def test_copies_hide_no_revealing_term(spark):
     assert brute.same(copied.select("row.doc_id", "terms").where("doc_id < 10").collect(), plain)
 
 
+def test_revealing_terms_go_in_the_whole_text(spark):
+    """Far from the entity too, and short names; entities themselves hold no term."""
+    rng = random.Random(7)
+    some = lambda n: " ".join(rng.choices([f"common{i}" for i in range(30)], k=n))
+    rows = [(i, f"KIM {some(90)} Kim, 李明 wrote to kim@galaxy.example.com {some(9)} 𝒳 {some(90)} kim", "en") for i in range(5)]
+    rows += [(10 + i, f"{some(40)} wrote to {some(20)}", "en") for i in range(300)]
+    found = pii.find_personal_data(brute.frame(spark, rows)).select("row.doc_id", "terms").where("doc_id < 5").collect()
+    for i, terms in found:
+        text = rows[i][1]
+        shown = [text[s.start:s.stop] for s in terms]
+        assert [w for w in shown if w.lower() == "kim"] == ["KIM", "Kim", "kim"] and "李明" in shown
+        assert not any(text.index("kim@") <= s.start < text.index(".com") for s in terms)
+
+
 @pytest.fixture(scope="module")
 def library():
     return sentencepiece.SentencePieceProcessor(model_file=PIECES)
