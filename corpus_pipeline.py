@@ -15,8 +15,14 @@ LEAST_SHARE = 0.4
 
 
 def identify_language(spark, docs, sf_dir):
-    """Documents whose text has a main language: those without a letter, or without a share of LEAST_SHARE, go."""
-    labelled = language.label_documents(docs, language.train(docs, F.lit(True)))
+    """Documents whose text has a main language: those without a letter, or without a share of LEAST_SHARE, go.
+
+    If no row has a language to learn from, all documents with a letter stay.
+    """
+    model = language.train(docs, F.lit(True))
+    if not model.languages:
+        return docs.where(column("text").rlike(r"\p{L}"))
+    labelled = language.label_documents(docs, model)
     return labelled.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select("row.*")
 
 

@@ -7,7 +7,7 @@ together by the gradient of the chain's log-likelihood (forward-backward, Adagra
 each, training chains are put together from pieces of several texts, so that switches are learned too.
 
 Learning takes at most `max_rows` labelled rows of each language with at most `max_chars` characters, and at most
-`MAX_WORDS` words of all of these. Every other text is labelled whole: forward-backward gives each word a probability of
+`max_words` words of all of these, shared equally by the languages. Every other text is labelled whole: forward-backward gives each word a probability of
 each language; a text's language is the one with the largest sum, its score that sum's share.
 
 Workers compute the feature sums of new words in batches, keep a bounded number of them, and run all lines of a batch
@@ -89,7 +89,7 @@ def forward_backward(emission, transition, start, sizes):
 class Model:
     """Weights of features, transitions and starts for the languages found in the learned rows."""
 
-    def __init__(self, rows, seed=7):
+    def __init__(self, rows, seed=7, max_words=MAX_WORDS):
         rows = [(text, lang) for text, lang in rows if _LETTER.search(text)]
         self.languages = sorted({lang for _, lang in rows})
         n = len(self.languages)
@@ -98,9 +98,9 @@ class Model:
         self.start = np.zeros(n, np.float32)
         self.lexicon = np.zeros(0, np.uint64)
         if n > 1:
-            self._fit(rows, np.random.default_rng(seed))
+            self._fit(rows, np.random.default_rng(seed), max_words)
 
-    def _fit(self, rows, rng):
+    def _fit(self, rows, rng, max_words):
         pieces, seen = [], {}
         for text, lang in rows:
             words = [w for line in text.split("\n") for w in words_of(line)]
@@ -112,7 +112,7 @@ class Model:
                 pieces.append((self.languages.index(lang), words[at:at + size]))
                 at += size
         pieces = [pieces[i] for i in rng.permutation(len(pieces))]
-        pieces = pieces[:np.searchsorted(np.cumsum([len(p) for _, p in pieces]), MAX_WORDS) + 1]
+        pieces = self._shared(pieces, max_words)
         vocabulary = {w: i for i, w in enumerate(sorted({w for _, p in pieces for w in p}))}
         common = [w for w in vocabulary if seen[w] >= LEXICON_ROWS]
         self.lexicon = np.unique(hashed(common, (1,), BUCKETS)[2])
@@ -148,6 +148,20 @@ class Model:
                 self._step(state[1], self.transition, (target[tails - 1].T @ target[tails] - moves) / 10)
                 self._step(state[2], self.start, (target[heads].sum(0) - starts) / 10)
 
+    def _shared(self, pieces, max_words):
+        """The first pieces of each language up to an equal share of max_words; what a language leaves goes to the others."""
+        label = np.array([i for i, _ in pieces])
+        size = np.array([len(p) for _, p in pieces])
+        totals = np.bincount(label, size, len(self.languages)).astype(np.int64)
+        kept, left = np.zeros(len(pieces), bool), max_words
+        for n, i in enumerate(np.argsort(totals, kind="stable").tolist()):
+            share = left // (len(totals) - n)
+            own = np.flatnonzero(label == i)
+            own = own[:np.searchsorted(np.cumsum(size[own]), share) + 1]
+            kept[own] = True
+            left = max(left - int(size[own].sum()), 0)
+        return [pieces[i] for i in np.flatnonzero(kept)]
+
     @staticmethod
     def _step(state, weights, slope, rows=slice(None)):
         state[rows] += slope * slope
@@ -228,7 +242,8 @@ class Labeller:
         return [self.model.languages[b] if n else UNKNOWN for b, n in zip(best, count, strict=True)], np.clip(score, 0, 1)
 
 
-def train(docs, learn, id_col="doc_id", text_col="text", lang_col="lang", max_rows=MAX_ROWS, max_chars=MAX_CHARS):
+def train(docs, learn, id_col="doc_id", text_col="text", lang_col="lang", max_rows=MAX_ROWS, max_chars=MAX_CHARS,
+          max_words=MAX_WORDS):
     """A model from labelled rows. `learn` is a condition on the columns of docs.
 
     Of each language the max_rows ids of the smallest hash are taken.
@@ -237,7 +252,8 @@ def train(docs, learn, id_col="doc_id", text_col="text", lang_col="lang", max_ro
     rows = rows.where(F.expr("id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL") & (F.length("text") <= max_chars))
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
     ids = rows.select("id", "lang").distinct().withColumn("n", rank).where(F.col("n") <= max_rows).select("id", "lang")
-    return Model(sorted({(r[1], r[0]) for r in rows.join(F.broadcast(ids), ["id", "lang"]).select("lang", "text").collect()}))
+    learned = rows.join(F.broadcast(ids), ["id", "lang"]).select("lang", "text").collect()
+    return Model(sorted({(r[1], r[0]) for r in learned}), max_words=max_words)
 
 
 def label_documents(docs, model, text_col="text"):

@@ -4,6 +4,7 @@ import itertools
 import random
 import re
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -46,6 +47,22 @@ def test_chain_probabilities_equal_enumeration():
     assert np.allclose(marginal, wanted) and np.allclose(moves, all_moves) and np.allclose(starts, all_starts)
 
 
+def test_languages_share_the_learned_words(monkeypatch):
+    """A language of short texts keeps its words beside one of long texts."""
+    seen = {}
+    shared = language.Model._shared
+    monkeypatch.setattr(language.Model, "_shared", lambda self, *a: seen.setdefault("pieces", shared(self, *a)))
+    rows = [(" ".join(f"lang{i % 97}" for i in range(20_000)), "aa")] + [("ein kurzer text", "bb") for _ in range(300)]
+    language.Model(rows, max_words=2000)
+    words = [sum(len(p) for i, p in seen["pieces"] if i == n) for n in (0, 1)]
+    assert words[1] >= 900 and 1000 <= words[0] <= 1300
+
+
+def test_pipeline_keeps_texts_when_no_language_is_known(spark):
+    docs = brute.frame(spark, [(1, "some words", None), (2, "12 34", None), (3, None, None)])
+    assert [r.doc_id for r in corpus_pipeline.identify_language(spark, docs, "").collect()] == [1]
+
+
 @pytest.fixture(scope="module")
 def documents(spark):
     return spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
