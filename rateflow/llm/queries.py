@@ -3,7 +3,9 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rateflow.llm import decontaminate, fingerprints, language, line_dedup, pieces, pii, simhash, substrings, token_counts, toxicity
+from rateflow.llm import (
+    decontaminate, divergence, fingerprints, language, lexical, line_dedup, maxscore, pieces, pii, simhash, substrings,
+    token_counts, toxicity)
 
 
 def _table(spark, d, name):
@@ -75,5 +77,19 @@ def op10_simhash_near_dedup(spark, d):
     return simhash.near_duplicates(_table(spark, d, "documents"))
 
 
+def op11_top_k_search(spark, d):
+    vectors = _table(spark, d, "embeddings")
+    return maxscore.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op12_ranked_search(spark, d):
+    return lexical.rank_documents(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
+
+
+def op13_source_divergence(spark, d):
+    return divergence.audit(_table(spark, d, "documents"))
+
+
 ALL = {f.__name__: f for f in [
-    op1_line_dedup, op2_substring_dedup, op3_toxicity, op4_language_id, op5_fingerprints, op6_sentencepiece, op7_personal_data, op8_decontaminate, op9_token_counts, op10_simhash_near_dedup]}
+    op1_line_dedup, op2_substring_dedup, op3_toxicity, op4_language_id, op5_fingerprints, op6_sentencepiece, op7_personal_data, op8_decontaminate, op9_token_counts, op10_simhash_near_dedup,
+    op11_top_k_search, op12_ranked_search, op13_source_divergence]}
