@@ -2,11 +2,13 @@
 
 Counting. Texts are cut at ASCII white space into chunks, which no term crosses. A task gathers documents into pieces of
 `PIECE_BYTES`; a piece numbers its distinct chunks and keeps, for each document, the numbers and counts of its chunks.
-All pieces' chunks are shuffled by chunk, where each globally distinct one is tokenized once, and its terms go back to
-the pieces that hold it, under its number. There they are joined with the documents' counts: a term is in a document
-once, however many of its chunks hold it, so distinct documents are exact, and they add up over pieces, which share no
-document. Only (lang, source, term) with the piece's documents and occurrences leave a piece; the rest is a sum. A chunk
-is shuffled once a piece, not once a document, so a chunk, source or language that holds most rows stays small.
+The chunks are dealt by their hash into slices, a compressed list for each piece and slice, and shuffled by slice. There
+each globally distinct chunk is tokenized once, and its terms go back, under its numbers, to the pieces that hold it.
+They are joined with the documents' counts: a term is in a document once, however many of its chunks hold it, so distinct
+documents are exact, and they add up over pieces, which share no document. What leaves a piece is the documents and
+occurrences of each (lang, source, term), again in slices, by term, where they are summed. A chunk is shuffled once a
+piece, not once a document, so a chunk, source or language that holds most rows stays small; a task holds one piece, or
+the distinct chunks or terms of one slice.
 
 Comparing. A language keeps the terms of at least `MIN_DOCS` of its documents. Shares p are whole numbers, made with
 decimals where 64 bits could overflow. For pairs of sources, sources of a language are numbered and cut into blocks of `SOURCES`;
@@ -18,15 +20,17 @@ terms as well: its shares are those of count 0, and all values are 0 where a lan
 piece by itself. Equal values are ranked by the bytes of their item. Without documents there are no rows.
 """
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rateflow.llm.common import bound_batches, column, pieces, stored
 from rateflow.llm.terms import CHUNKS, LETTERS, runs
+from rateflow.llm.wordhash import LOWER
 
 PIECE_BYTES = 32 << 20
 STEP_BYTES = 4 << 20
@@ -36,11 +40,13 @@ SCALE = 1_000_000_000
 SMOOTH = 5
 #: Sources of a block, and parts that a block's row of shares at count 0 is repeated for.
 SOURCES, SALTS = 256, 64
-_ROWS = 50_000
+#: Slices at least and at most; between them, four for each shuffle partition.
+SLICES = 64, 8192
 _GROUP = pa.struct([("lang", pa.string()), ("source", pa.string())])
-_FACTORED = "piece bigint, number int, chunk binary, groups array<struct<lang:string,source:string>>, packed binary"
-_NAMES = ["piece", "number", "chunk", "groups", "packed"]
-_COUNTED = "lang string, source string, term binary, n_docs bigint, n_occurrences bigint"
+_GROUPS = "groups array<struct<lang:string,source:string>>"
+_COUNTS = "lang string, source string, term binary, n_docs bigint, n_occurrences bigint"
+#: Lower-case letters for letters, the line feed for itself and spaces for all other bytes.
+_TO_TERMS = bytes(b if b == 10 else int(LOWER[b]) if LETTERS[b] else 32 for b in range(256))
 
 
 def _labelled(docs, text_col, lang_col, source_col):
@@ -49,139 +55,236 @@ def _labelled(docs, text_col, lang_col, source_col):
     return docs.select(lang.alias("lang"), source.alias("source"), F.coalesce(column(text_col), F.lit("")).cast("binary").alias("text"))
 
 
-def _numbered(values):
-    """Distinct values of an Arrow array and the place of each element's value among them."""
-    found = values.dictionary_encode()
-    return found.dictionary, found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+def _squeeze(data):
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _unsqueeze(data):
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
+def _pack(*arrays):
+    """Some arrays of 32-bit integers of one length, ascending ones best as differences."""
+    return _squeeze(b"".join(np.asarray(a).astype("<i4").tobytes() for a in arrays))
+
+
+def _unpack(data, n):
+    return np.frombuffer(_unsqueeze(data), "<i4").astype(np.int64).reshape(n, -1)
+
+
+def _slice_of(texts, slices):
+    return np.fromiter((zlib.crc32(t) % slices for t in texts), np.int64, len(texts))
+
+
+def _rows(names, kinds, rows):
+    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+
+_FACTORED = f"piece bigint, slice int, numbers binary, body binary, {_GROUPS}"
+_FACTORED_ROW = (["piece", "slice", "numbers", "body", "groups"],
+                 [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(_GROUP)])
 
 
 class _Piece:
-    """The chunks of some documents, numbered."""
+    """The chunks of some documents, numbered as they come."""
 
     def __init__(self, name):
-        self.name, self.numbers, self.size, self.sent = name, {}, 0, 0
+        self.name, self.numbers, self.size = name, {}, 0
 
     def add(self, batch):
-        """The row that holds the documents of a batch: their groups, and per document its chunks' numbers and counts."""
+        """The row of a batch's documents: their groups, and for each the numbers and counts of its chunks."""
         chunks, sizes = runs(batch.column("text"), CHUNKS, lower=False)
-        values, place = _numbered(chunks)
+        found = chunks.dictionary_encode()
         numbers = self.numbers
-        known = np.fromiter((numbers.setdefault(c, len(numbers)) for c in values.to_pylist()), np.int64, len(values))
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        width = max(1, len(numbers))
-        both, counts = np.unique(owner * width + known[place], return_counts=True)
+        known = np.fromiter((numbers.setdefault(c, len(numbers)) for c in found.dictionary.to_pylist()), np.int64, len(found.dictionary))
+        owner, width = np.repeat(np.arange(len(sizes)), sizes), max(1, len(numbers))
+        both, counts = np.unique(owner * width + known[found.indices.to_numpy(zero_copy_only=False)], return_counts=True)
         owner, number = np.divmod(both, width)
-        labels = pa.StructArray.from_arrays([batch.column("lang"), batch.column("source")], fields=list(_GROUP))
-        names, group = {}, np.zeros(batch.num_rows, np.int32)
-        for i, x in enumerate(labels.to_pylist()):
-            group[i] = names.setdefault((x["lang"], x["source"]), len(names))
-        n_chunks = np.bincount(owner, minlength=len(sizes))
-        # differences of numbers and small counts compress well
-        steps = np.diff(number, prepend=0)
-        raw = b"".join(x.astype("<i4").tobytes() for x in ([len(sizes)], group, n_chunks, steps, counts) for x in [np.asarray(x)])
-        packed = len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+        names, group = {}, np.zeros(len(sizes), np.int64)
+        for i, name in enumerate(zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist())):
+            group[i] = names.setdefault(name, len(names))
         self.size += batch.nbytes
-        return pa.RecordBatch.from_arrays([
-            pa.array([self.name], pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()),
-            pa.array([[{"lang": a, "source": b} for a, b in names]], pa.list_(_GROUP)), pa.array([packed], pa.binary())], names=_NAMES)
+        groups = [{"lang": a, "source": b} for a, b in names]
+        per_doc = _pack(group, np.bincount(owner, minlength=len(sizes)))
+        return _rows(*_FACTORED_ROW, [(self.name, None, per_doc, _pack(np.diff(number, prepend=0), counts), groups)])
 
-    def chunks(self):
-        """Rows of all chunks with their numbers."""
+    def chunks(self, slices):
+        """Rows of all chunks, by slice."""
         texts = list(self.numbers)
-        for start in range(0, len(texts), _ROWS):
-            part = texts[start:start + _ROWS]
-            n = len(part)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(n, self.name), pa.int64()), pa.array(np.arange(start, start + n), pa.int32()),
-                pa.array(part, pa.binary()), pa.nulls(n, pa.list_(_GROUP)), pa.nulls(n, pa.binary())], names=_NAMES)
-
-
-def _factored(batches):
-    first = TaskContext.get().partitionId() << 32
-    piece, n = _Piece(first), 0
-    for batch in pieces(batches, limit=STEP_BYTES):
-        yield piece.add(batch)
-        if piece.size >= PIECE_BYTES:
-            yield from piece.chunks()
-            n += 1
-            piece = _Piece(first + n)
-    yield from piece.chunks()
+        slice_of = _slice_of(texts, slices)
+        order = np.argsort(slice_of, kind="stable")
+        for part in np.split(order, np.flatnonzero(np.diff(slice_of[order])) + 1) if texts else []:
+            body = _squeeze(b"\n".join([texts[i] for i in part]))
+            yield _rows(*_FACTORED_ROW, [(self.name, int(slice_of[part[0]]), _pack(np.diff(part, prepend=0)), body, None)])
+
+
+def _factored(slices):
+    def run(batches):
+        first = TaskContext.get().partitionId() << 32
+        piece, n = _Piece(first), 0
+        for batch in pieces(batches, limit=STEP_BYTES):
+            yield piece.add(batch)
+            if piece.size >= PIECE_BYTES:
+                yield from piece.chunks(slices)
+                n += 1
+                piece = _Piece(first + n)
+        yield from piece.chunks(slices)
+    return run
 
 
 def _tokenized(batches):
-    """The terms of each run of equal chunks, for every piece that holds it. Chunks come sorted."""
-    last, terms = None, None
+    """For every piece the terms of its chunks in a slice; rows come by slice, and each chunk of a slice is tokenized once."""
+    now, known = None, {}
     for batch in batches:
-        values, place = _numbered(batch.column("chunk"))
-        fresh = values if last is None or not len(values) or values[0].as_py() != last else values.slice(1)
-        words, counts = runs(fresh, LETTERS)
-        ends = np.concatenate([np.zeros(1, np.int32), np.cumsum(counts, dtype=np.int32)])
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words)
-        if len(fresh) < len(values):
-            lists = pa.concat_arrays([terms, lists])
-        if len(values):
-            last, terms = values[len(values) - 1].as_py(), lists.slice(len(lists) - 1)
-        out = pa.RecordBatch.from_arrays(
-            [batch.column("piece"), batch.column("number"), lists.take(pa.array(place))], names=["piece", "number", "terms"])
-        yield out.filter(pc.greater(pc.list_value_length(out.column("terms")), 0))
-
-
-def _unpacked(packed):
-    raw = np.frombuffer(pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "zstd", asbytes=True), "<i4")
-    n = int(raw[0])
-    group, n_chunks = raw[1:1 + n], raw[1 + n:1 + 2 * n]
-    steps, counts = raw[1 + 2 * n:].reshape(2, -1)
-    return group.astype(np.int64), n_chunks, np.cumsum(steps, dtype=np.int64), counts.astype(np.int64)
-
-
-def _joined(terms, documents):
-    """Distinct documents and occurrences of each (group, term) of a piece."""
-    lists = terms.column("terms").combine_chunks()
-    words, word = _numbered(lists.flatten())
-    number = terms.column("number").to_numpy()
-    sizes = np.zeros(int(number.max(initial=-1)) + 2, np.int64)
-    length = np.diff(np.asarray(lists.offsets))
-    sizes[number] = length
-    first = np.zeros_like(sizes)
-    first[number] = np.cumsum(length) - length
-    names, parts = {}, []
-    for groups, packed in zip(documents.column("groups").to_pylist(), documents.column("packed").to_pylist()):
-        group, n_chunks, chunk, counts = _unpacked(packed)
-        group = np.array([names.setdefault((g["lang"], g["source"]), len(names)) for g in groups], np.int64)[group]
-        doc = np.repeat(np.arange(len(n_chunks)), n_chunks)
-        chunk = np.minimum(chunk, len(sizes) - 1)  # the last has no terms
-        n = sizes[chunk]
-        at = np.repeat(first[chunk] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        both, inverse = np.unique(np.repeat(doc, n) * max(1, len(words)) + word[at], return_inverse=True)
-        held = np.bincount(inverse, np.repeat(counts, n), len(both)).astype(np.int64)
-        doc, term = np.divmod(both, max(1, len(words)))
-        both, inverse = np.unique(group[doc] * max(1, len(words)) + term, return_inverse=True)
-        parts.append((both, np.bincount(inverse, minlength=len(both)), np.bincount(inverse, held, len(both)).astype(np.int64)))
-    both, inverse = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    n_docs, n_held = (np.bincount(inverse, np.concatenate([p[i] for p in parts]), len(both)).astype(np.int64) for i in (1, 2))
-    group, term = np.divmod(both, max(1, len(words)))
-    names = list(names)
-    lang, source = (pa.array([n[i] for n in names], pa.string()).take(pa.array(group)) for i in (0, 1))
-    return pa.table([lang, source, words.take(pa.array(term)), pa.array(n_docs), pa.array(n_held)],
-                    names=["lang", "source", "term", "n_docs", "n_occurrences"])
-
-
-def term_counts(docs, text_col="text", lang_col="lang", source_col="source"):
-    """lang, source, term, n_docs (distinct documents), n_occurrences."""
-    factored = stored(_labelled(docs, text_col, lang_col, source_col).mapInArrow(_factored, _FACTORED), "chunk-counts")
-    chunks = factored.where("number IS NOT NULL").select("piece", "number", "chunk")
-    terms = chunks.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(
-        _tokenized, "piece bigint, number int, terms array<binary>")
-    lists = factored.where("number IS NULL").select("piece", "groups", "packed")
-    counted = terms.groupBy("piece").cogroup(lists.groupBy("piece")).applyInArrow(_joined, _COUNTED)
-    return counted.withColumn("term", F.col("term").cast("string")).groupBy("lang", "source", "term").agg(
-        F.sum("n_docs").alias("n_docs"), F.sum("n_occurrences").alias("n_occurrences"))
-
-
-def kept_terms(counts, min_docs=MIN_DOCS):
-    """lang, term, count: the terms in at least min_docs documents of their language, with all their occurrences."""
-    return counts.groupBy("lang", "term").agg(
-        F.sum("n_docs").alias("n_docs"), F.sum("n_occurrences").alias("count")).where(F.col("n_docs") >= min_docs).drop("n_docs")
+        for r in batch.to_pylist():
+            if r["slice"] != now:
+                now, known = r["slice"], {}
+            chunks = _unsqueeze(r["body"]).split(b"\n")
+            fresh = [c for c in chunks if c not in known]
+            if fresh:
+                lines = b"\n".join(fresh).translate(_TO_TERMS).split(b"\n")
+                known.update(zip(fresh, [b" ".join(line.split()) for line in lines]))
+            terms = [known[c] for c in chunks]
+            held = [i for i, t in enumerate(terms) if t]
+            if held:
+                numbers = np.cumsum(_unpack(r["numbers"], 1)[0])[held]
+                body = _squeeze(b"\n".join([terms[i] for i in held]))
+                yield _rows(["piece", "numbers", "body"], [pa.int64(), pa.binary(), pa.binary()],
+                            [(r["piece"], _pack(np.diff(numbers, prepend=0)), body)])
+
+
+class _Terms:
+    """Terms of numbered chunks."""
+
+    def __init__(self, table):
+        number, count, self.names, word = [], [], {}, []
+        for packed, body in zip(table.column("numbers").to_pylist(), table.column("body").to_pylist()):
+            number.append(np.cumsum(_unpack(packed, 1)[0]))
+            text = _unsqueeze(body)
+            count.append(np.fromiter((line.count(b" ") + 1 for line in text.split(b"\n")), np.int64, len(number[-1])))
+            names = self.names
+            word.append(np.fromiter((names.setdefault(t, len(names)) for t in text.split()), np.int64, count[-1].sum()))
+        number, count, self.word = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (number, count, word))
+        self.count, self.first = (np.zeros(int(number.max(initial=-1)) + 2, np.int64) for _ in range(2))
+        self.count[number], self.first[number] = count, np.cumsum(count) - count
+
+    def of(self, chunk):
+        """Numbers of the terms of each chunk, one chunk after the other, and how many each has."""
+        chunk = np.minimum(chunk, len(self.count) - 1)  # the last has none
+        n = self.count[chunk]
+        return self.word[np.repeat(self.first[chunk] - (np.cumsum(n) - n), n) + np.arange(n.sum())], n
+
+
+def _add_up(keys, *values):
+    """Distinct keys and the sums of their values."""
+    keys, inverse = np.unique(keys, return_inverse=True)
+    return keys, *(np.bincount(inverse, v, len(keys)).astype(np.int64) for v in values)
+
+
+_COUNTED = f"slice int, {_GROUPS}, numbers binary, body binary"
+_COUNTED_ROW = ["slice", "groups", "numbers", "body"], [pa.int32(), pa.list_(_GROUP), pa.binary(), pa.binary()]
+
+
+def _joined(slices):
+    """Distinct documents and occurrences of each (group, term) of a piece, by slice of terms."""
+    def run(term_rows, documents):
+        terms, names, parts = _Terms(term_rows), {}, []
+        width = max(1, len(terms.names))
+        for r in documents.to_pylist():
+            group, n_chunks = _unpack(r["numbers"], 2)
+            steps, counts = _unpack(r["body"], 2)
+            group = np.array([names.setdefault((g["lang"], g["source"]), len(names)) for g in r["groups"]], np.int64)[group]
+            term, n = terms.of(np.cumsum(steps))
+            doc = np.repeat(np.repeat(np.arange(len(n_chunks)), n_chunks), n)
+            both, held = _add_up(doc * width + term, np.repeat(counts, n))
+            doc, term = np.divmod(both, width)
+            parts.append(_add_up(group[doc] * width + term, np.ones(len(doc)), held))
+        parts = parts or [(np.zeros(0, np.int64),) * 3]
+        both, n_docs, held = _add_up(*(np.concatenate(x) for x in zip(*parts)))
+        group, term = np.divmod(both, width)
+        texts = list(terms.names)
+        slice_of = _slice_of(texts, slices)[term] if texts else term
+        order = np.lexsort((term, slice_of))
+        rows, names = [], list(names)
+        for part in np.split(order, np.flatnonzero(np.diff(slice_of[order])) + 1) if len(order) else []:
+            used, of_group = np.unique(group[part], return_inverse=True)
+            words, of_word = np.unique(term[part], return_inverse=True)
+            groups = [{"lang": names[i][0], "source": names[i][1]} for i in used]
+            body = _squeeze(b"\n".join([texts[i] for i in words]))
+            rows.append((int(slice_of[part[0]]), groups, _pack(of_group, np.diff(of_word, prepend=0), n_docs[part], held[part]), body))
+        if not rows:
+            return pa.table({n: pa.array([], k) for n, k in zip(*_COUNTED_ROW)})
+        return pa.Table.from_batches([_rows(*_COUNTED_ROW, rows)])
+    return run
+
+
+class _Sums:
+    """Counts of (group, term) of one slice of terms, added up."""
+
+    def __init__(self, least):
+        self.least, self.groups, self.terms, self.parts, self.held = least, {}, {}, [], 0
+
+    def add(self, r):
+        groups, terms = self.groups, self.terms
+        group = np.array([groups.setdefault((g["lang"], g["source"]), len(groups)) for g in r["groups"]], np.int64)
+        words = _unsqueeze(r["body"]).split(b"\n")
+        word = np.fromiter((terms.setdefault(w, len(terms)) for w in words), np.int64, len(words))
+        of_group, steps, n_docs, held = _unpack(r["numbers"], 4)
+        self.parts.append((group[of_group] << 32 | word[np.cumsum(steps)], n_docs, held))
+        self.held += len(held)
+        if self.held > 1 << 20:
+            self.parts = [_add_up(*(np.concatenate(x) for x in zip(*self.parts)))]
+            self.held = -2 * len(self.parts[0][0])  # the next time, when as much again has come, and more
+
+    def rows(self):
+        """The counts of terms in at least so many documents of their language."""
+        if not self.parts:
+            return
+        both, n_docs, held = _add_up(*(np.concatenate(x) for x in zip(*self.parts)))
+        group, term = both >> 32, both & 0xFFFFFFFF
+        langs = {}
+        lang = np.array([langs.setdefault(g[0], len(langs)) for g in self.groups], np.int64)[group]
+        keys, inverse = np.unique(lang << 32 | term, return_inverse=True)
+        keep = np.flatnonzero(np.bincount(inverse, n_docs, len(keys))[inverse] >= self.least)
+        groups, terms = list(self.groups), pa.array(list(self.terms), pa.binary())
+        lang, source = (pa.array([g[i] for g in groups], pa.string()).take(pa.array(group[keep])) for i in (0, 1))
+        yield pa.RecordBatch.from_arrays(
+            [lang, source, terms.take(pa.array(term[keep])), pa.array(n_docs[keep]), pa.array(held[keep])],
+            names=["lang", "source", "term", "n_docs", "n_occurrences"])
+
+
+def _summed(least):
+    def run(batches):
+        now, sums = None, _Sums(least)
+        for batch in batches:
+            for r in batch.to_pylist():
+                if r["slice"] != now:
+                    yield from sums.rows()
+                    now, sums = r["slice"], _Sums(least)
+                sums.add(r)
+        yield from sums.rows()
+    return run
+
+
+def _by_slice(df):
+    return df.repartition("slice").sortWithinPartitions("slice")
+
+
+def term_counts(docs, text_col="text", lang_col="lang", source_col="source", min_docs=1):
+    """lang, source, term, n_docs (distinct documents), n_occurrences, of terms in at least min_docs documents of the lang."""
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = min(max(SLICES[0], 4 * partitions), SLICES[1])
+    factored = stored(_labelled(docs, text_col, lang_col, source_col).mapInArrow(_factored(slices), _FACTORED), "chunk-counts")
+    terms = _by_slice(factored.where("slice IS NOT NULL").select("piece", "slice", "numbers", "body")).mapInArrow(
+        _tokenized, "piece bigint, numbers binary, body binary")
+    documents = factored.where("slice IS NULL").select("piece", "numbers", "body", "groups")
+    counted = terms.groupBy("piece").cogroup(documents.groupBy("piece")).applyInArrow(_joined(slices), _COUNTED)
+    return _by_slice(counted).mapInArrow(_summed(min_docs), _COUNTS).withColumn("term", F.col("term").cast("string"))
+
+
+def kept_terms(counts):
+    """lang, term, count: all occurrences of the counted terms in a language."""
+    return counts.groupBy("lang", "term").agg(F.sum("n_occurrences").alias("count"))
 
 
 def _share(count, n, v):
@@ -264,12 +367,10 @@ def _pairs(held, groups):
 
 def audit(docs, min_docs=MIN_DOCS, top=TOP_TERMS, text_col="text", lang_col="lang", source_col="source"):
     """lang, source, part, item, value, rank: sources by their distance, and the terms that a source has more of."""
-    counts = stored(term_counts(docs, text_col, lang_col, source_col), "term-counts")
-    kept = stored(kept_terms(counts, min_docs), "kept-terms")
+    counts = stored(term_counts(docs, text_col, lang_col, source_col, min_docs), "term-counts")
+    kept = stored(kept_terms(counts), "kept-terms")
     langs = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("count").alias("n_lang"))
-    held = counts.join(kept.select("lang", "term"), ["lang", "term"], "left_semi").select(
-        "lang", "source", "term", F.col("n_occurrences").alias("count"))
-    held = stored(held, "kept-counts")
+    held = counts.select("lang", "source", "term", F.col("n_occurrences").alias("count"))
     sums = held.groupBy("lang", "source").agg(F.sum("count").alias("n"))
     groups = _labelled(docs, text_col, lang_col, source_col).select("lang", "source").distinct()
     groups = groups.join(sums, ["lang", "source"], "left").join(langs, "lang", "left").select(
