@@ -49,13 +49,14 @@ def typed_columns(number, text):
     return columns
 
 
-def ingest(messages, payload="payload", arrival=None):
+def ingest(messages, payload="payload", arrival=None, own_id=None):
     """Decode and type messages.
 
     Every message gives one row: the wire columns, `reason` (NULL for a fact
     row) and the columns it came with. An infinite value in an unsigned field
     rejects its record. arrival names the arrival column; without it the
-    current time is taken, in whole seconds.
+    current time is taken, in whole seconds. own_id names a further column for
+    the id that the message itself has.
     """
     decoded = decode_strict(messages, payload)
     record = F.col("record")
@@ -68,7 +69,8 @@ def ingest(messages, payload="payload", arrival=None):
     typed = typed_columns(lambda c: F.col(f"_n.{c}"), lambda c: F.col(f"_t.{c}"))
     stamp = F.date_trunc("second", F.current_timestamp() if arrival is None else F.col(arrival))
     reason = F.coalesce("reason", F.when(infinite, "non_finite"))
-    return computed_once(numbers, messages.columns, {**typed, "ingestion_timestamp": stamp, "reason": reason})
+    own = {own_id: F.col("_t.id")} if own_id else {}
+    return computed_once(numbers, messages.columns, {**typed, "ingestion_timestamp": stamp, "reason": reason, **own})
 
 
 def facts(ingested):

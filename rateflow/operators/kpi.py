@@ -91,6 +91,11 @@ def overall(df):
         F.count_distinct("airport").cast("double").alias("unique_airports"),
         F.count_distinct("carrier").cast("double").alias("unique_carriers"),
     )
+    return finish_overall(sums)
+
+
+def finish_overall(sums):
+    """The overall KPI vector from one row of sums and distinct counts."""
     c = {n: F.col(n) for n in sums.columns}
     causes = _add([c[m] for m in S.CAUSE_MINUTES])
     return sums.select(

@@ -52,15 +52,35 @@ def _numbers(spark, folder, prefix, complete=False):
     return done
 
 
-def start_ingest(messages, root, payload="payload", arrival="arrival", trigger=None, context=(), pieces=None):
+def _unrepeated(messages, payload, arrival, within):
+    """Typed messages without those whose id came before, by keyed state with a watermark.
+
+    The watermark is on the time of processing, so no message is late, and an id
+    is forgotten `within` after its first arrival. A message without an id of
+    its own, or a reject, goes by its payload and arrival.
+    """
+    typed = ingest.ingest(messages, payload, arrival, own_id="_own_id")
+    named = F.when(F.col("reason").isNull(), F.concat(F.lit("i"), "_own_id"))
+    content = F.concat_ws("\u0001", F.lit("p"), F.coalesce(payload, F.lit("")), F.col(arrival).cast("string"))
+    keyed = typed.withColumns({"_id": F.coalesce(named, F.sha2(content, 256)), "_seen": F.current_timestamp()})
+    return keyed.withWatermark("_seen", within).dropDuplicatesWithinWatermark(["_id"]).drop("_id", "_seen", "_own_id")
+
+
+def start_ingest(messages, root, payload="payload", arrival="arrival", trigger=None, context=(), pieces=None,
+                 unique_within=None):
     """Decode, type and append messages; quarantine rejects; add rollup increments.
 
     A micro-batch is decoded once and kept for its four outputs. Its size is
     bounded by the source (maxOffsetsPerTrigger, maxFilesPerTrigger). pieces
-    deals a batch that comes in few pieces out to so many tasks.
+    deals a batch that comes in few pieces out to so many tasks. unique_within,
+    for instance "2 days", drops a message whose id was ingested so long ago or
+    less, also before a restart; state is one row an id. Default: none is dropped.
     """
+    if unique_within:
+        messages = _unrepeated(spread(messages, pieces), payload, arrival, unique_within)
+
     def write_batch(received, batch_id):
-        batch = ingest.ingest(spread(received, pieces), payload, arrival).persist()
+        batch = (received if unique_within else ingest.ingest(spread(received, pieces), payload, arrival)).persist()
         try:
             facts = ingest.facts(batch)
             write_partitioned(facts, _batch_path(root, FACT, batch_id), "overwrite")
@@ -114,9 +134,11 @@ _MERGES = {
 }
 
 
-def compact(spark, root, name, upto=None):
+def compact(spark, root, name, upto=None, merge=None):
     """Merge one output up to a closed batch (default: the newest) into a generation; gives that batch's number.
 
+    merge is what a state of another module adds up with.
+
     Rollups are summed, windows reduced to their newest version, facts laid out
     anew by month. Repeating it, also after a failure, writes the same again.
     """
@@ -129,7 +151,7 @@ def compact(spark, root, name, upto=None):
     if name == FACT:
         write_partitioned(rows, path, "overwrite")
     else:
-        _MERGES.get(name, lambda df: df)(rows).write.mode("overwrite").parquet(path)
+        (merge or _MERGES.get(name, lambda df: df))(rows).write.mode("overwrite").parquet(path)
     return upto
 
 

@@ -615,4 +615,15 @@ SELECT event_id, target, carrier_delay - least(carrier_delay, over) + under AS p
   greatest(security_delay - greatest(over - carrier_delay - weather_delay - nas_delay, 0), 0) AS part3,
   greatest(late_aircraft_delay - greatest(over - carrier_delay - weather_delay - nas_delay - security_delay, 0), 0) AS part4
 FROM x""",
+    "stream_rate_asof": "WITH a AS (SELECT DISTINCT date_trunc('hour', ts) + INTERVAL 1 HOUR AS as_of FROM events) SELECT as_of, " + _join([
+        f"round(count(*) FILTER (ts >= as_of - INTERVAL {w} MINUTE) / {w}.0::DOUBLE, 6) AS per_minute_{w}" for w in (1, 5, 600)])
+        + " FROM a JOIN events ON ts < as_of AND ts >= as_of - INTERVAL 600 MINUTE GROUP BY as_of",
+    "stream_mismatch": f"""WITH {DIRTY} SELECT * FROM (""" + " UNION ALL ".join(
+        f"SELECT '{c}' AS domain, {c} AS code, {c}_name AS label, d.{c}_name_c AS expected, count(*) AS n FROM d_original "
+        f"JOIN (SELECT {c} AS k, {c}_name AS {c}_name_c FROM ({_canonical('d_original', c)})) d ON k = {c} "
+        f"WHERE {c}_name <> {c}_name_c GROUP BY ALL" for c in ("airport", "carrier")) + ")",
 }
+ALL["stream_ingest_unique"] = ALL["stream_ingest"]
+ALL["stream_latest"] = ALL["latest_per_key"]
+ALL["kpi_overall_incremental"] = ALL["kpi_overall"]
+ALL["stream_canonical"] = ALL["canonical_airport"]

@@ -12,7 +12,7 @@ from rateflow.operators import (
 from rateflow.plans import validation
 from rateflow.session import settle, spread, work_path
 from rateflow.sources import files, messages, star
-from rateflow.streaming import jobs
+from rateflow.streaming import jobs, states
 
 YEAR = 2000
 MONTHS = [1, 2, 3, 6, 11]
@@ -458,7 +458,7 @@ def _stream_messages(spark, d):
 
 def _run_ingest(spark, d):
     root = work_path(spark, "ingest")
-    jobs.run_to_end(jobs.start_ingest, _stream_messages(spark, d), root, context=["event_id"])
+    jobs.run_to_end(jobs.start_ingest, _stream_messages(spark, d), root, context=["event_id"], pieces=PIECES)
     return root
 
 
@@ -498,6 +498,68 @@ def stream_sliding_rate(spark, d):
     return tidy(jobs.current_sliding_rate(spark, root))
 
 
+def _replayed(spark, rows, start, root, copies=1, files=3, **kwargs):
+    """Rows as files of a stream, a few files a batch; each copy of the files comes after a restart of the job."""
+    folder = work_path(spark, "arriving")
+    for _ in range(copies):
+        rows.repartition(files).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+        jobs.run_to_end(start, stream, root, **kwargs)
+    return root
+
+
+def stream_ingest_unique(spark, d):
+    """All messages twice, with a restart between the copies; every id is stored once."""
+    root = work_path(spark, "unique")
+    _replayed(spark, _messages(spark, d), jobs.start_ingest, root, copies=2, files=PIECES, unique_within="1 day")
+    return tidy(jobs.read_output(spark, root, jobs.FACT).select(*S.WIRE_COLUMNS))
+
+
+def stream_latest(spark, d):
+    """The newest event of every user, whose events come in no order; compacted half-way."""
+    root, by = work_path(spark, "latest"), (["user_id"], "ts", ["event_id"])
+    events = star.read_events(spark, d).select("user_id", "event_type", "event_id", "ts", "value")
+    _replayed(spark, events, lambda s, r, **k: states.start_latest(s, r, *by, **k), root)
+    states.compact_latest(spark, root, *by, upto=0)
+    return tidy(states.current_latest(spark, root, *by))
+
+
+def stream_rate_asof(spark, d):
+    """Rates before every full hour that has messages."""
+    root = work_path(spark, "seconds")
+    events = star.event_observations(star.read_events(spark, d))
+    _replayed(spark, events.select("arrival"), states.start_rate, root)
+    states.compact_rate(spark, root, upto=0)
+    hours = events.select((F.date_trunc("hour", "arrival") + F.expr("INTERVAL 1 HOUR")).alias("as_of"))
+    return tidy(states.rate_asof(spark, root, hours, "as_of", (1, 5, 600)))
+
+
+def kpi_overall_incremental(spark, d):
+    """The KPI vector from one increment per calendar half; the halves share airports and carriers."""
+    root, rows = work_path(spark, "kpi"), settle(clean.valid_records(_dirty(spark, d)), "observations")
+    states.append_kpi(rows.where("month <= 6"), root, 0)
+    states.append_kpi(rows.where("month > 6"), root, 1)
+    states.compact_kpi(spark, root, upto=0)
+    return tidy(states.current_kpi(spark, root))
+
+
+def _streamed_labels(spark, d):
+    root = work_path(spark, "labels")
+    rows = _dirty_original(spark, d).select(*S.TEXT_COLUMNS)
+    _replayed(spark, rows, states.start_labels, root, files=5, size=4)
+    states.compact_labels(spark, root, upto=0)
+    return root
+
+
+def stream_canonical(spark, d):
+    return states.current_canonical(spark, _streamed_labels(spark, d), "airport")
+
+
+def stream_mismatch(spark, d):
+    root = _streamed_labels(spark, d)
+    return tidy(states.current_mismatches(spark, root, "airport").unionByName(states.current_mismatches(spark, root, "carrier")))
+
+
 def stream_scenario(spark, d):
     root = work_path(spark, "scenario")
     jobs.run_to_end(jobs.start_scenario, _event_templates(star.stream_events(spark, d)), root, seed=SEED)
@@ -516,6 +578,7 @@ ALL = {f.__name__: f for f in [
     rollup_incremental, avg_rows_per_year, valid_counts, slicer_values, name_mismatch, name_mismatch_examples,
     canonicalize_notes, templates_stratified, live_latest, live_buffer, live_status, stream_minute_stats, live_rate,
     stream_sliding_rate, stream_rollup, stream_live, live_quarantine, stream_scenario, validation_status, dq_findings, uniform_draws,
-    apportion,
+    apportion, stream_ingest_unique, stream_latest, stream_rate_asof, kpi_overall_incremental, stream_canonical,
+    stream_mismatch,
 ]}
 ALL["scenario"] = scenario_rows
