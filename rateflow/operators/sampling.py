@@ -66,10 +66,18 @@ def stratified_templates(df, count, seed=42):
     return _stratified(df, count, seed, _sizes(df))
 
 
+def size_counts(df):
+    """Rows per year, airport and whether they are usable. Additive."""
+    usable = F.col("airport").isNotNull() & F.col("carrier").isNotNull()
+    return fill_missing_columns(df).groupBy("year", "airport", usable.alias("usable")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def _sizes(df):
     """Rows per average year, usable rows and their airports, from one scan."""
-    usable = F.col("airport").isNotNull() & F.col("carrier").isNotNull()
-    counted = fill_missing_columns(df).groupBy("year", "airport", usable.alias("usable")).agg(F.count(F.lit(1)).alias("n"))
+    return _measured(size_counts(df))
+
+
+def _measured(counted):
     rounded = F.rint(F.sum("n") / F.nullif(F.count_distinct("year"), F.lit(0))).cast("bigint")
     return counted.agg(
         F.when(rounded.isNotNull(), F.greatest(F.lit(1), rounded)).alias("per_year"),
@@ -77,18 +85,30 @@ def _sizes(df):
         F.count_distinct(F.when(F.col("usable"), F.col("airport"))).alias("airports")).first()
 
 
+def _usable(df):
+    return fill_missing_columns(df).dropna(subset=["carrier", "airport"])
+
+
 def _stratified(df, count, seed, size):
-    usable = fill_missing_columns(df).dropna(subset=["carrier", "airport"])
+    usable = _usable(df)
+    return _assembled(usable, usable, count, seed, size)
+
+
+def _first_of_airports(rows, seed):
+    by_stratum = row_digest(rows.columns, f"{seed}-stratum")
+    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("airport").orderBy(by_stratum)))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank")
+
+
+def _assembled(strata, usable, count, seed, size):
+    """The sample from rows that hold the first of every airport, and rows that hold the first of all."""
     columns = usable.columns
     if size["rows"] == 0:
         raise ValueError("No valid rows after filtering (missing carrier/airport)")
     target = min(count, size["rows"])
     by_fill = row_digest(columns, f"{seed}-fill")
     if target >= size["airports"]:
-        by_stratum = row_digest(columns, f"{seed}-stratum")
-        ranked = usable.withColumn(
-            "_rank", F.row_number().over(Window.partitionBy("airport").orderBy(by_stratum)))
-        sample = number_rows(ranked.filter(F.col("_rank") == 1).drop("_rank"), by_stratum)
+        sample = number_rows(_first_of_airports(strata, seed), row_digest(columns, f"{seed}-stratum"))
         remaining = target - size["airports"]
         if remaining > 0:
             sample = sample.unionByName(number_rows(usable, by_fill, remaining, size["airports"]))
@@ -101,3 +121,25 @@ def average_year_templates(df, default_count=2000, seed=42):
     """Templates as many as an average year has rows; the default count when no year is known."""
     size = _sizes(df)
     return _stratified(df, default_count if size["per_year"] is None else size["per_year"], seed, size)
+
+
+# The sample as a state: the first rows by digest of an airport and of all, and counts. Merging takes the first again.
+
+def strata_state(df, seed=42):
+    """The row of every airport that stands for it, of an increment or of merged states."""
+    return _first_of_airports(_usable(df), seed)
+
+
+def fill_state(df, size, seed=42):
+    """The first `size` usable rows in the order of the fill, equal rows as often as they are."""
+    rows = _usable(df)
+    return number_rows(rows, row_digest(rows.columns, f"{seed}-fill"), size).drop("template_id")
+
+
+def templates_from_states(sizes, strata, fill, size, default_count=2000, seed=42):
+    """average_year_templates of all rows, from the states of their increments, which were kept with this size."""
+    measured = _measured(sizes)
+    count = default_count if measured["per_year"] is None else measured["per_year"]
+    if min(count, measured["rows"]) > size:
+        raise ValueError(f"the states hold {size} rows, the sample needs {min(count, measured['rows'])}")
+    return _assembled(strata, fill, count, seed, measured)

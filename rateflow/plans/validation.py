@@ -170,6 +170,35 @@ def _schema_failure(spark, frames):
     return reduce(DataFrame.unionByName, lines) if lines else None
 
 
+@dataclass(frozen=True)
+class Reference:
+    """What a validation needs of the reference, computed once."""
+
+    profile: DataFrame
+    carriers: dimensions.Measured
+    airports: dimensions.Measured
+    found: DataFrame
+    kpi: DataFrame
+    index: DataFrame
+    years: object
+
+    @classmethod
+    def of(cls, original, years="all"):
+        o = settle(profile(reference_rows(original, years), ["_filled", "_clipped"]), "profile")
+        valid = o.filter("n_valid > 0")
+        return cls(
+            o, dimensions.measure(dimensions.canonical(o, "carrier", "n_rows"), "carrier"),
+            dimensions.measure(dimensions.canonical(o, "airport", "n_rows"), "airport"),
+            settle(quality.findings(quality.merge_tallies(o), "ORIGINAL"), "findings"),
+            settle(kpi.overall_long(valid), "kpi"), settle(seasonality.seasonal_index(valid), "index"), years)
+
+
+def merge_profiles(parts):
+    """Add up profiles of increments: the profile of all rows."""
+    keys = [*S.PERIOD, *S.TEXT_COLUMNS]
+    return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in parts.columns if c not in keys])
+
+
 def assess(original, generated, years="all"):
     """Evaluate the validation of `generated` against `original` (raw or typed observation rows)."""
     spark = original.sparkSession
@@ -178,19 +207,17 @@ def assess(original, generated, years="all"):
     if failed is not None:
         return Assessment(failed, None, None, None, None, None, None, None)
 
-    reference = reference_rows(original, years)
     candidate = clean.normalize(generated)
-    o = settle(profile(reference, ["_filled", "_clipped"]), "profile")
-    g = settle(profile(candidate), "profile")
-    o_valid, g_valid = o.filter("n_valid > 0"), g.filter("n_valid > 0")
+    return assess_profile(Reference.of(original, years), settle(profile(candidate), "profile"), candidate)
 
-    carriers = dimensions.measure(dimensions.canonical(o, "carrier", "n_rows"), "carrier")
-    airports = dimensions.measure(dimensions.canonical(o, "airport", "n_rows"), "airport")
 
-    o_found = settle(quality.findings(quality.merge_tallies(o), "ORIGINAL"), "findings")
+def assess_profile(reference, g, candidate=None):
+    """Evaluate a profile of generated rows against a reference."""
+    o, carriers, airports = reference.profile, reference.carriers, reference.airports
+    o_found, o_kpi, o_index, years = reference.found, reference.kpi, reference.index, reference.years
+    o_valid, g_valid = o.filter("n_valid > 0"), g.filter("n_valid > 0")
     g_found = quality.findings(quality.merge_tallies(g), "GENERATED").unionByName(quality.year_findings(g))
-    o_kpi, g_kpi = (settle(kpi.overall_long(valid), "kpi") for valid in (o_valid, g_valid))
-    o_index, g_index = seasonality.seasonal_index(o_valid), seasonality.seasonal_index(g_valid)
+    g_kpi, g_index = settle(kpi.overall_long(g_valid), "kpi"), seasonality.seasonal_index(g_valid)
     season = settle(seasonality.compare(o_index, g_index), "seasonality")
     season_long = season.select(
         F.col("seasonality_months_compared").cast("double").alias("seasonality_months_compared"),

@@ -1,7 +1,9 @@
 """File sources and sinks: CSV, line-delimited JSON, the partitioned fact table, the report."""
 
+import re
 from functools import reduce
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -9,6 +11,7 @@ from rateflow import schema as S
 from rateflow.operators.decode import with_parsed_json
 from rateflow.operators.ingest import field_text
 from rateflow.functions.scalars import trimmed
+from rateflow.session import work_path
 
 # Cell texts that mean "missing" in the historical CSV.
 MISSING_TEXTS = [
@@ -67,39 +70,51 @@ def write_csv(df, path, line_breaks=False):
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def read_json_lines(spark, path, columns=S.REQUIRED):
-    """Parsed lines: (value, bad, columns as text). Blank lines are gone, bad lines are kept and marked.
+def read_json_lines(spark, path, columns):
+    """Parsed lines: (value, bad, the named columns as text). Blank lines are gone, bad lines are kept and marked.
 
-    Naming the wanted columns saves a pass over the data. columns=None keeps every
-    field that any line has: first the required ones, then the others by name.
+    load_json_lines finds the columns by itself.
     """
     lines = spark.read.text(path).filter(trimmed(F.col("value")) != "")
     parsed = with_parsed_json(lines, "value", "_record")
-    if columns is None:
-        keys = F.explode(F.map_keys(F.try_variant_get("_record", "$", "map<string,variant>")))
-        found = {r[0] for r in parsed.select(keys.alias("key")).distinct().collect()}
-        columns = [c for c in S.REQUIRED if c in found] + sorted(found.difference(S.REQUIRED))
     return parsed.select(
         "value", F.col("_record").isNull().alias("bad"),
         *[field_text(F.col("_record"), c).alias(c) for c in columns])
 
 
-def json_records(parsed):
-    """The good lines of read_json_lines, without its helper columns."""
-    return parsed.filter(~F.col("bad")).drop("value", "bad")
+def _field_names(shown):
+    """The field names in the text of a VARIANT schema, required ones first, then by name."""
+    if shown is None or not shown.startswith("OBJECT<") or shown == "OBJECT<>":
+        return []
+    # Only the type names of objects differ from DDL; a field name in backticks is left as it is.
+    ddl = "".join(part if i % 2 else part.replace("OBJECT<", "STRUCT<").replace("STRUCT<>", "STRING")
+                  for i, part in enumerate(re.split("(`(?:[^`]|``)*`)", shown)))
+    found = T.StructType.fromDDL(f"_all {ddl}")[0].dataType.names
+    return [c for c in S.REQUIRED if c in found] + sorted(set(found).difference(S.REQUIRED))
 
 
-def json_line_counts(parsed):
-    return parsed.agg(F.count_if(~F.col("bad")).alias("good"), F.count_if("bad").alias("bad"))
+def load_json_lines(spark, path, columns=None):
+    """Good records and the number of bad lines; an error when no line is valid.
 
-
-def load_json_lines(spark, path, columns=S.REQUIRED):
-    """Good records and the number of bad lines; an error when no line is valid."""
-    parsed = read_json_lines(spark, path, columns)
-    counts = json_line_counts(parsed).first()
-    if counts["good"] == 0:
+    The lines are read once: the pass that stores the parsed records in the
+    shared folder also counts good and bad lines and finds the fields. Every field
+    that any record has becomes a column, the required ones first, unless
+    columns names the wanted ones.
+    """
+    lines = spark.read.text(path).filter(trimmed(F.col("value")) != "")
+    parsed = with_parsed_json(lines, "value", "_record").select("_record")
+    record, seen = F.col("_record"), Observation()
+    is_object = F.try_variant_get(record, "$", "map<string,variant>").isNotNull()
+    watched = parsed.observe(
+        seen, F.count_if(record.isNotNull()).alias("good"), F.count_if(record.isNull()).alias("bad"),
+        F.schema_of_variant_agg(F.when(is_object, record)).alias("fields"))
+    stored = work_path(spark, "jsonlines")
+    watched.filter(record.isNotNull()).write.parquet(stored)
+    if seen.get["good"] == 0:
         raise ValueError("No valid JSON records found in generated file")
-    return json_records(parsed), counts["bad"]
+    names = _field_names(seen.get["fields"]) if columns is None else columns
+    records = spark.read.schema(parsed.schema).parquet(stored)
+    return records.select(*[field_text(record, c).alias(c) for c in names]), seen.get["bad"]
 
 
 def write_json_lines(df, path):

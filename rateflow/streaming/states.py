@@ -7,10 +7,12 @@ carried on from batch to batch is made from the one before it, which stays until
 from pyspark.sql import functions as F
 
 from rateflow import schema as S
-from rateflow.operators import dimensions, distincts, labels, live, rollups
+from rateflow.operators import clean, dimensions, distincts, labels, live, quality, rollups, sampling
+from rateflow.plans import validation
 from rateflow.streaming import jobs
 
 LATEST, SECONDS, KPI_SUMS, KPI_SETS = "latest", "seconds", "kpi_sums", "kpi_sets"
+SIZES, STRATA, FILL, PROFILE, VERDICT = "sizes", "strata", "fill", "profile", "verdict"
 
 
 def _write(df, root, name, batch_id):
@@ -148,3 +150,63 @@ def current_mismatches(spark, root, code):
 
 def compact_labels(spark, root, upto=None):
     return {code: jobs.compact(spark, root, f"labels_{code}", upto, labels.merge_counts) for code in S.LABELS}
+
+
+# --- template sample -----------------------------------------------------
+
+def append_templates(rows, root, batch_id, size, seed=42):
+    """Add an increment to the sample's state: at most `size` rows, one row an airport, and counts."""
+    _write(sampling.size_counts(rows), root, SIZES, batch_id)
+    _write(sampling.strata_state(rows, seed), root, STRATA, batch_id)
+    _write(sampling.fill_state(rows, size, seed), root, FILL, batch_id)
+
+
+def start_templates(rows, root, size, seed=42, trigger=None):
+    """Keep a template sample of a stream; size bounds any sample that will be asked for."""
+    return jobs._start(rows, lambda batch, i: append_templates(batch, root, i, size, seed), root,
+                       trigger or {"processingTime": "5 seconds"})
+
+
+def current_templates(spark, root, size, seed=42):
+    """average_year_templates of all rows so far."""
+    return sampling.templates_from_states(*[jobs.read_output(spark, root, n) for n in (SIZES, STRATA, FILL)], size, seed=seed)
+
+
+def compact_templates(spark, root, size, seed=42, upto=None):
+    jobs.compact(spark, root, STRATA, upto, lambda df: sampling.strata_state(df, seed))
+    jobs.compact(spark, root, FILL, upto, lambda df: sampling.fill_state(df, size, seed))
+    return jobs.compact(spark, root, SIZES, upto, lambda df: rollups.merge(df, ["year", "airport", "usable"], ["n"]))
+
+
+# --- validation ----------------------------------------------------------
+
+def add_profile(rows, reference, root, batch_id):
+    """Add the profile of an increment, and judge all rows up to it against a validation.Reference."""
+    spark = rows.sparkSession
+    _write(validation.profile(clean.normalize(rows)), root, PROFILE, batch_id)
+    whole = validation.merge_profiles(jobs.read_output(spark, root, PROFILE, upto=batch_id))
+    whole = validation.settle(whole, "profile")
+    _write(validation.assess_profile(reference, whole).status(), root, VERDICT, batch_id)
+
+
+def start_validation(rows, reference, root, trigger=None):
+    """Validate a stream of generated rows as it grows. Every batch leaves the verdict over all rows so far."""
+    missing = quality.missing_columns(rows)
+    if missing:
+        raise ValueError(f"the stream lacks required columns: {missing}")
+    return jobs._start(rows, lambda batch, i: add_profile(batch, reference, root, i), root,
+                       trigger or {"processingTime": "30 seconds"})
+
+
+def verdicts(spark, root):
+    """batch, status, errors and warnings after every batch."""
+    base = f"{root}/{VERDICT}"
+    return spark.read.option("basePath", base).parquet(base).select(
+        F.col("batch_id").cast("bigint").alias("batch"), "status", "errors", "warnings")
+
+
+def current_verdict(spark, root):
+    """status, errors and warnings over all rows so far, and first_failed, the first batch whose verdict was FAIL."""
+    return verdicts(spark, root).agg(
+        F.max_by(F.struct("status", "errors", "warnings"), "batch").alias("v"),
+        F.min(F.when(F.col("status") == validation.FAIL, F.col("batch"))).alias("first_failed")).select("v.*", "first_failed")

@@ -627,3 +627,17 @@ ALL["stream_ingest_unique"] = ALL["stream_ingest"]
 ALL["stream_latest"] = ALL["latest_per_key"]
 ALL["kpi_overall_incremental"] = ALL["kpi_overall"]
 ALL["stream_canonical"] = ALL["canonical_airport"]
+ALL["templates_incremental"] = ALL["templates_stratified"]
+ALL["stream_validation"] = ALL["validation_status"]
+ALL["cube_kpi_slice"] = ALL["kpi_slice"]
+ALL["cube_top_airports"] = ALL["top_airports"]
+ALL["cube_top_carriers"] = ALL["top_carriers"]
+ALL["cube_causes"] = ALL["cause_breakdown"]
+ALL["cube_slicer_values"] = ALL["slicer_values"]
+ALL["src_ndjson_all"] = f"""WITH {EV}
+SELECT carrier, count(*) AS n, count(*) FILTER (event_id % 7 = 0) AS n_odd_name,
+  count(*) FILTER (event_id % 3 = 0) AS n_message_id, count(*) FILTER (event_id % 5 = 0) AS n_sequence_number,
+  cast(sum(event_id) FILTER (event_id % 5 = 0) AS BIGINT) AS sequence,
+  max('{{"inner":' || event_id || '}}') FILTER (event_id % 7 = 0) AS odd, cast(sum(arr_flights) AS BIGINT) AS arr_flights,
+  (SELECT count(*) FROM events WHERE event_id % 13 <> 0 AND event_id % 11 = 0) AS bad, cast(25 AS BIGINT) AS columns
+FROM evobs WHERE event_id % 13 <> 0 AND event_id % 11 <> 0 GROUP BY carrier"""

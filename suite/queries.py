@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rateflow import schema as S
 from rateflow.functions import draws, scalars
 from rateflow.operators import (
-    clean, compare, decode, dimensions, ingest, kpi, live, quality, rollups, sampling, scenario, seasonality)
+    clean, compare, cube, decode, dimensions, ingest, kpi, live, quality, rollups, sampling, scenario, seasonality)
 from rateflow.plans import validation
 from rateflow.session import settle, spread, work_path
 from rateflow.sources import files, messages, star
@@ -87,6 +87,23 @@ def src_ndjson(spark, d):
         F.count(F.lit(1)).alias("n"), F.sum(F.col("arr_flights").try_cast("bigint")).alias("arr_flights"))
 
 
+def src_ndjson_all(spark, d):
+    """Records with fields beyond the required ones, blank and bad lines among them; all fields are found in one pass."""
+    path = work_path(spark, "ndjson")
+    events, n = star.event_observations(spread(star.read_events(spark, d), PIECES)), F.col("event_id")
+    extra = F.struct(
+        "event_id", *S.REQUIRED, F.when(n % 5 == 0, n).alias("sequence_number"),
+        F.when(n % 7 == 0, F.struct(n.alias("inner"))).alias("odd name"), F.when(n % 3 == 0, F.col("id")).alias("message_id"))
+    line = F.when(n % 13 == 0, " ").when(n % 11 == 0, "{broken").otherwise(F.to_json(extra))
+    events.select(line).write.text(path)
+    records, bad = files.load_json_lines(spark, path)
+    counted = [F.count(F.col(f"`{c}`")).alias(f"n_{c.replace(' ', '_')}") for c in ("odd name", "message_id", "sequence_number")]
+    return tidy(records.groupBy("carrier").agg(
+        F.count(F.lit(1)).alias("n"), *counted, F.sum(F.col("sequence_number").cast("bigint")).alias("sequence"),
+        F.max("odd name").alias("odd"), F.sum(F.col("arr_flights").cast("bigint")).alias("arr_flights")
+    ).withColumns({"bad": F.lit(bad), "columns": F.lit(len(records.columns))}))
+
+
 def sink_partitioned(spark, d):
     path = work_path(spark, "fact")
     files.write_partitioned(_clean(spark, d), path)
@@ -551,6 +568,53 @@ def _streamed_labels(spark, d):
     return root
 
 
+def templates_incremental(spark, d):
+    """The template sample from the states of three increments, two of them merged."""
+    root, rows, size = work_path(spark, "templates"), _stored(spark, d), 100_000
+    for batch, part in enumerate(["month > 8", "month <= 4", "month BETWEEN 5 AND 8"]):
+        states.append_templates(rows.where(part), root, batch, size, SEED)
+    states.compact_templates(spark, root, size, SEED)
+    return tidy(states.current_templates(spark, root, size, SEED))
+
+
+def stream_validation(spark, d):
+    """Clean and dirty generated rows as streams of two batches; the last verdict is that over all rows."""
+    out = []
+    for run, (original, generated) in (("clean", _parts(spark, d)), ("dirty", _dirty_parts(spark, d))):
+        root, reference = work_path(spark, "running"), validation.Reference.of(original)
+        _replayed(spark, generated, lambda s, r, reference=reference, **k: states.start_validation(s, reference, r, **k), root)
+        out.append(states.current_verdict(spark, root).select(F.lit(run).alias("run"), "status", "errors", "warnings"))
+    return tidy(out[0].unionByName(out[1]))
+
+
+def _cube(spark, d, keys):
+    """A grain of the cube, which is stored from two increments."""
+    path, rows = work_path(spark, "cube"), _stored(spark, d)
+    parts = [cube.build(rows.where(p)) for p in ("month <= 6", "month > 6")]
+    cube.write(cube.merge(parts[0].unionByName(parts[1])), path)
+    return cube.read(spark, path, keys)
+
+
+def cube_kpi_slice(spark, d):
+    return tidy(kpi.overview(_cube(spark, d, ["year", "month"]), YEAR, MONTHS))
+
+
+def cube_top_airports(spark, d):
+    return tidy(kpi.top_by_delay(_cube(spark, d, ["year", "airport"]), "airport", YEAR, []))
+
+
+def cube_top_carriers(spark, d):
+    return tidy(kpi.top_by_delay(_cube(spark, d, ["year", "month", "carrier"]), "carrier", YEAR, MONTHS))
+
+
+def cube_causes(spark, d):
+    return tidy(kpi.cause_breakdown(_cube(spark, d, ["year", "month"]), YEAR, MONTHS))
+
+
+def cube_slicer_values(spark, d):
+    return tidy(clean.slicer_values(_cube(spark, d, ["year", "month"])))
+
+
 def stream_canonical(spark, d):
     return states.current_canonical(spark, _streamed_labels(spark, d), "airport")
 
@@ -579,6 +643,7 @@ ALL = {f.__name__: f for f in [
     canonicalize_notes, templates_stratified, live_latest, live_buffer, live_status, stream_minute_stats, live_rate,
     stream_sliding_rate, stream_rollup, stream_live, live_quarantine, stream_scenario, validation_status, dq_findings, uniform_draws,
     apportion, stream_ingest_unique, stream_latest, stream_rate_asof, kpi_overall_incremental, stream_canonical,
-    stream_mismatch,
+    stream_mismatch, src_ndjson_all, templates_incremental, stream_validation, cube_kpi_slice, cube_top_airports,
+    cube_top_carriers, cube_causes, cube_slicer_values,
 ]}
 ALL["scenario"] = scenario_rows

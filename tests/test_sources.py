@@ -54,6 +54,27 @@ def test_json_lines_keep_every_field(spark, tmp_path):
     assert sorted(tuple(r) for r in records.select("id", "my key").na.fill("").collect()) == [("", "1"), ("x", "")]
 
 
+def test_json_lines_are_read_once(spark, tmp_path):
+    """Odd field names, mixed types, nesting, repeated keys and lines that are no object; the file is not needed afterwards."""
+    path = tmp_path / "in.ndjson"
+    path.write_text("\n".join([
+        '{"carrier":"A","a.b":1,"with `tick`":true,"OBJECT<x":{"y":[1,{"z":2}]}}', '{"carrier":7,"a.b":"t","late":null}', "5", "[1]",
+        '{"month":1,"month":2}', "{}", "{bad", '{"empty":{}}']))
+    records, bad = files.load_json_lines(spark, str(path))
+    path.unlink()
+    assert bad == 1 and records.count() == 7
+    assert records.columns == ["month", "carrier", "OBJECT<x", "a.b", "empty", "late", "with `tick`"]
+    got = {tuple(r) for r in records.na.fill("-").collect()}
+    assert ("-", "A", '{"y":[1,{"z":2}]}', "1", "-", "-", "true") in got and ("2", "-", "-", "-", "-", "-", "-") in got
+    assert not any(str(path) in f for f in records.inputFiles())
+
+
+def test_json_lines_without_any_field(spark, tmp_path):
+    (tmp_path / "in.ndjson").write_text("{}\n5\n")
+    records, bad = files.load_json_lines(spark, str(tmp_path / "in.ndjson"))
+    assert records.columns == [] and records.count() == 2 and bad == 0
+
+
 def test_messages_are_written(spark):
     path = work_path(spark, "test")
     sent = messages.encode_messages(observations(spark, [{}, {"month": 2}]).withColumn("kafka_key", F.lit("k")))

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rateflow import schema as S
-from rateflow.operators import dimensions, distincts, ingest, kpi, labels, live, rollups
+from rateflow.operators import cube, dimensions, distincts, ingest, kpi, labels, live, rollups, sampling
+from rateflow.plans import validation
 from rateflow.session import settle, work_path
 from rateflow.sources import star
 from rateflow.streaming import jobs, states
@@ -199,3 +200,77 @@ def test_summary_never_undercounts_by_more_than_its_cut(spark):
         assert len(kept) <= 5
         for (_, label), n in true.items():
             assert n - row["cut"] <= kept.get(label, 0) <= n
+
+
+# --- template sample -----------------------------------------------------
+
+def _template_rows(spark):
+    rows = [{"airport": f"A{i % 9}" if i % 13 else None, "year": 2020 + i % 3, "month": 1 + i % 12, "arr_flights": float(i // 4)}
+            for i in range(200)]
+    return settle(observations(spark, rows + rows[:60]), "rows")
+
+
+def test_sample_states_equal_the_sample_of_all_rows(spark):
+    rows, root = _template_rows(spark), work_path(spark, "test")
+    parts = ["month > 9", "month BETWEEN 3 AND 9", "month < 3"]
+    _steps(spark, rows, states.start_templates, root, parts, lambda n: n and states.compact_templates(spark, root, 120), size=120)
+    assert same_rows(states.current_templates(spark, root, 120), sampling.average_year_templates(rows))
+
+
+def test_a_sample_beyond_the_states_is_refused(spark):
+    rows, root = _template_rows(spark), work_path(spark, "test")
+    states.append_templates(rows, root, 0, 20)
+    with pytest.raises(ValueError, match="20 rows"):
+        states.current_templates(spark, root, 20)
+
+
+# --- running validation --------------------------------------------------
+
+def test_running_validation_names_the_first_failing_batch(spark):
+    history = observations(spark, [{"year": 2024, "month": m, "arr_del15": 1.0} for m in range(1, 13)])
+    reference, root = validation.Reference.of(history), work_path(spark, "test")
+    good = observations(spark, [{"month": m, "arr_del15": 1.0} for m in range(1, 7)])
+    bad = observations(spark, [{"month": 7, "arr_delay": -1.0}])
+    late = observations(spark, [{"month": 8, "arr_del15": 2.0}])
+    steps = [good, bad, late]
+    for batch, rows in enumerate(steps):
+        states.add_profile(rows, reference, root, batch)
+        if batch == 1:  # a replay judges the same rows again
+            states.add_profile(rows, reference, root, batch)
+    assert [r["status"] for r in states.verdicts(spark, root).orderBy("batch").collect()] == ["PASS_WITH_WARNINGS", "FAIL", "FAIL"]
+    now = one(states.current_verdict(spark, root))
+    whole = one(validation.assess(history, good.unionByName(bad).unionByName(late)).status())
+    assert now["first_failed"] == 1 and tuple(now)[:3] == tuple(whole)
+    with pytest.raises(ValueError, match="month"):
+        states.start_validation(good.drop("month"), reference, root)
+
+
+def test_merged_profiles_equal_the_profile_of_all_rows(spark, sf_dir):
+    rows = settle(star.dirty(spark, sf_dir).drop("is_generated"), "rows")
+    parts = [validation.profile(rows.where(c)) for c in ("pmod(hash(airport), 2) = 0", "pmod(hash(airport), 2) = 1")]
+    merged, whole = validation.merge_profiles(parts[0].unionByName(parts[1])), validation.profile(rows)
+    rounded = [F.round(c, 6).alias(c) if c in S.MEASURES else F.col(c) for c in whole.columns]
+    assert same_rows(merged.select(*rounded), whole.select(*rounded))
+
+
+# --- cube ----------------------------------------------------------------
+
+def test_cube_grains_equal_direct_sums_and_are_read_alone(spark, sf_dir):
+    rows = settle(star.dirty(spark, sf_dir).drop("is_generated"), "rows")  # with missing keys
+    path = work_path(spark, "cube")
+    cube.write(cube.build(rows), path)
+    for keys in cube.SETS:
+        got = cube.read(spark, path, keys)
+        direct = rows.groupBy(*keys).agg(*[F.round(F.coalesce(F.sum(c), F.lit(0)), 6).cast("double").alias(c) for c in cube.SUMMED])
+        assert same_rows(got.select(*keys, *[F.round(c, 6).cast("double").alias(c) for c in cube.SUMMED]), direct)
+        assert "PartitionFilters: [isnotnull(grouping" in got._jdf.queryExecution().executedPlan().toString()
+        assert got.where(" OR ".join([f"{S.LABELS[c]} IS NOT NULL" for c in S.LABELS if c not in keys]) or "false").isEmpty()
+
+
+def test_cube_of_increments_and_missing_grains(spark):
+    rows = observations(spark, [{"month": 1 + i % 3, "airport": f"A{i % 4}", "airport_name": f"n{i % 5}"} for i in range(60)])
+    merged = cube.merge(cube.build(rows.where("month = 1")).unionByName(cube.build(rows.where("month > 1"))))
+    assert same_rows(merged.select(sorted(merged.columns)), cube.build(rows).select(sorted(merged.columns)))
+    assert cube.covering(["airport", "year"]) == ("year", "airport") and cube.covering(["month"]) == ("year", "month")
+    with pytest.raises(ValueError, match="day"):
+        cube.covering(["day"])
