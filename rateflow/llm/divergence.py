@@ -118,13 +118,13 @@ class _Piece:
             yield _rows(*_FACTORED_ROW, [(self.name, int(slice_of[part[0]]), _pack(np.diff(part, prepend=0)), body, None)])
 
 
-def _factored(slices):
+def _factored(slices, piece_bytes, step_bytes):
     def run(batches):
         first = TaskContext.get().partitionId() << 32
         piece, n = _Piece(first), 0
-        for batch in pieces(batches, limit=STEP_BYTES):
+        for batch in pieces(batches, limit=step_bytes):
             yield piece.add(batch)
-            if piece.size >= PIECE_BYTES:
+            if piece.size >= piece_bytes:
                 yield from piece.chunks(slices)
                 n += 1
                 piece = _Piece(first + n)
@@ -274,7 +274,7 @@ def term_counts(docs, text_col="text", lang_col="lang", source_col="source", min
     """lang, source, term, n_docs (distinct documents), n_occurrences, of terms in at least min_docs documents of the lang."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slices = min(max(SLICES[0], 4 * partitions), SLICES[1])
-    factored = stored(_labelled(docs, text_col, lang_col, source_col).mapInArrow(_factored(slices), _FACTORED), "chunk-counts")
+    factored = stored(_labelled(docs, text_col, lang_col, source_col).mapInArrow(_factored(slices, PIECE_BYTES, STEP_BYTES), _FACTORED), "chunk-counts")
     terms = _by_slice(factored.where("slice IS NOT NULL").select("piece", "slice", "numbers", "body")).mapInArrow(
         _tokenized, "piece bigint, numbers binary, body binary")
     documents = factored.where("slice IS NULL").select("piece", "numbers", "body", "groups")
@@ -294,8 +294,8 @@ def _share(count, n, v):
     return F.call_function("div", top, wide(n) + F.lit(SMOOTH).cast("decimal(1,0)") * wide(v)) + 1
 
 
-def _add_tiles(batches):
-    """Sums over terms of |p - q| less that at count 0, for the pairs of sources of two blocks."""
+def _add_tiles(width, batches):
+    """Sums over terms of |p - q| less that at count 0, for the pairs of sources of two blocks of `width`."""
     sums = {}
     for batch in batches:
         tiles = {}
@@ -321,25 +321,26 @@ def _add_tiles(batches):
                 a, b = (x[start:start + step] for x in dense)
                 total += np.abs(a[:, :, None] - b[:, None, :]).sum(0) - len(a) * apart
         if len(sums) > 64:
-            yield from _tile_rows(sums)
+            yield from _tile_rows(sums, width)
             sums = {}
-    yield from _tile_rows(sums)
+    yield from _tile_rows(sums, width)
 
 
-def _tile_rows(sums):
+def _tile_rows(sums, width):
     for (lang, i, j), total in sums.items():
         a, b = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([
-            pa.array([lang] * len(a), pa.string()), pa.array(a + i * SOURCES, pa.int64()), pa.array(b + j * SOURCES, pa.int64()),
+            pa.array([lang] * len(a), pa.string()), pa.array(a + i * width, pa.int64()), pa.array(b + j * width, pa.int64()),
             pa.array(total[a, b])], names=["lang", "a", "b", "part"])
 
 
 def _pairs(held, groups):
     """lang, source, item, value for every two sources of a language."""
+    width = SOURCES
     no = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     numbered = stored(groups.select(
         "lang", "source", "v", no.cast("bigint").alias("no"), _share(F.lit(0), F.col("n"), F.col("v")).alias("none")), "numbered-sources")
-    block = F.expr(f"no div {SOURCES}")
+    block = F.expr(f"no div {width}")
     blocks = numbered.groupBy("lang", block.alias("i")).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("no", "none"))), lambda s: s["none"]).alias("base_i"))
     last = F.max("i").over(Window.partitionBy("lang"))
@@ -350,13 +351,13 @@ def _pairs(held, groups):
     rows = held.join(numbered.select("lang", "source", "no"), ["lang", "source"]).join(
         blocks.groupBy("lang").agg(F.max("last").alias("last")), "lang")
     rows = rows.withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), "last")))
-    entry = F.struct(F.col("own").alias("side"), F.pmod("no", F.lit(SOURCES)).alias("at"), F.col("p").alias("p"))
+    entry = F.struct(F.col("own").alias("side"), F.pmod("no", F.lit(width)).alias("at"), F.col("p").alias("p"))
     rows = rows.groupBy("lang", "term", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).agg(
         F.collect_list(entry).alias("entries"))
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("term"), F.lit(SALTS)).cast("int")).join(tiles, ["lang", "i", "j", "salt"])
     parts = rows.select("lang", "i", "j", "entries", "base_i", "base_j").mapInArrow(
-        _add_tiles, "lang string, a bigint, b bigint, part bigint").groupBy("lang", "a", "b").agg(F.sum("part").alias("part"))
-    both = parts.unionByName(parts.where(F.expr(f"a div {SOURCES} < b div {SOURCES}")).select(
+        lambda batches: _add_tiles(width, batches), "lang string, a bigint, b bigint, part bigint").groupBy("lang", "a", "b").agg(F.sum("part").alias("part"))
+    both = parts.unionByName(parts.where(F.expr(f"a div {width} < b div {width}")).select(
         "lang", F.col("b").alias("a"), F.col("a").alias("b"), "part"))
     mine = numbered.select("lang", "source", "v", F.col("no").alias("a"), F.col("none").alias("none_a"))
     others = numbered.select("lang", F.col("source").alias("item"), F.col("no").alias("b"), F.col("none").alias("none_b"))

@@ -192,14 +192,14 @@ class _Bucket:
         return sums[ends] - sums[ends - sizes]
 
 
-def _search(items, theta, n_terms, k, batches):
+def _search(items, theta, n_terms, k, size, batches):
     """The k best documents of each item (an array of term numbers) among the vectors of a task, longest first."""
     theta = np.array(theta, np.int64)
     length = np.sqrt([len(i) for i in items])
     found = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in items]
     for batch in batches:
-        for start in range(0, batch.num_rows, BUCKET_ROWS):
-            bucket = _Bucket(batch.slice(start, BUCKET_ROWS), n_terms)
+        for start in range(0, batch.num_rows, size):
+            bucket = _Bucket(batch.slice(start, size), n_terms)
             longest = bucket.lengths.max() * _SLACK
             for i in np.flatnonzero(length * longest >= theta):
                 hit = bucket.search(items[i], theta[i])
@@ -236,7 +236,8 @@ def _block(docs, items, vocabulary, k, id_col, text_col):
     weights = term_weights(document_counts(counted, len(vocabulary)), n_docs)
     vectors = impact_vectors(counted, weights, n_docs, n_words)
     share = F.abs(F.xxhash64("doc_id")) % F.lit(1_000_000) < F.lit(1_000_000 * SAMPLE_ROWS // max(1, n_docs))
-    search = lambda theta: lambda batches: _search(items, theta, len(vocabulary), k, batches)
+    size = BUCKET_ROWS
+    search = lambda theta: lambda batches: _search(items, theta, len(vocabulary), k, size, batches)
     first = _best(vectors.where(share).mapInArrow(search([1] * len(items)), _FOUND), k)
     theta = [1] * len(items)
     for r in first.where(F.col("rank") == k).select("item", "score").collect():

@@ -150,17 +150,17 @@ class Best:
         self.theta[q[last]] = np.maximum(self.theta[q[last]], score[last])
 
 
-def _slices(batches):
+def _slices(batches, size):
     for batch in batches:
-        for start in range(0, batch.num_rows, SHARD_ROWS):
-            part = batch.slice(start, SHARD_ROWS)
+        for start in range(0, batch.num_rows, size):
+            part = batch.slice(start, size)
             yield part, part.column("vec_id").to_numpy(), part.column("v").to_pylist()
 
 
-def _search(block, k, batches):
+def _search(block, k, shard, batches):
     numbers, ids, packed, theta = block
     best = Best(ids, packed, theta, k)
-    for _, rows, vectors in _slices(batches):
+    for _, rows, vectors in _slices(batches, shard):
         best.add(rows, vectors)
     q, score, found = best.found
     reach = score >= np.asarray(theta, np.int64)[q]
@@ -172,7 +172,7 @@ def _search(block, k, batches):
 
 def _start(seed, k, batches):
     ids, packed = seed
-    for part, rows, vectors in _slices(batches):
+    for part, rows, vectors in _slices(batches, SHARD_ROWS):
         best = Best(rows, vectors, None, k)
         if len(ids):
             best.add(np.asarray(ids, np.int64), packed)
@@ -182,7 +182,7 @@ def _start(seed, k, batches):
 
 def top_k(df, queries, id_col="vec_id", vector_col="embedding", k=TOP, scale=SCALE):
     """query_id, rank, vec_id, score: the k best rows of df for each of `queries`, a frame with the same two columns."""
-    spark = df.sparkSession
+    spark, shard = df.sparkSession, SHARD_ROWS
     rows = stored(whole_vectors(df, id_col, vector_col, scale), "whole-vectors")
     asked = whole_vectors(queries, id_col, vector_col, scale).distinct()
     longest = rows.agg(F.max(F.octet_length("v"))).first()[0] or 8
@@ -198,7 +198,7 @@ def top_k(df, queries, id_col="vec_id", vector_col="embedding", k=TOP, scale=SCA
         block = dealt.where(F.col("_block") == b).orderBy("vec_id", "v").collect()
         numbers = [b << 32 | i for i in range(len(block))]
         packed = numbers, [r["vec_id"] for r in block], [bytes(r["v"]) for r in block], [r["theta"] for r in block]
-        rows.mapInArrow(lambda batches, packed=packed: _search(packed, k, batches), _FOUND).write.parquet(f"{path}/block={b}")
+        rows.mapInArrow(lambda batches, packed=packed: _search(packed, k, shard, batches), _FOUND).write.parquet(f"{path}/block={b}")
     found = spark.read.schema(_FOUND).option("basePath", path).parquet(f"{path}/block=*")
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc("vec_id"))
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(

@@ -167,9 +167,8 @@ def test_buckets_and_rows_out_of_reach_are_skipped(monkeypatch):
     items = [np.array([1, 5, 9, 30]), np.array([2, 44])]
     seen = []
     original = lexical._Bucket.scores
-    monkeypatch.setattr(lexical, "BUCKET_ROWS", 20)
     monkeypatch.setattr(lexical._Bucket, "scores", lambda self, rows, item: seen.extend(rows) or original(self, rows, item))
-    out, = lexical._search(items, [1, 1], 50, 2, [batch])
+    out, = lexical._search(items, [1, 1], 50, 2, 20, [batch])
     wanted = []
     for n, item in enumerate(items):
         scored = sorted((-int(r[3][np.isin(r[2], item)].sum()), r[0]) for r in rows)[:2]
