@@ -13,7 +13,7 @@ where PMI(e, t) = log2(p(e, t) / (p(e) p(t))). Pairs with at least `MIN_SUPPORT`
 reveals `GENERALISE` or more is replaced by its class wherever it stands in a text that holds the entity, one that reveals
 `REMOVE` or more is cut. In writing without spaces a run of letters is one term; a name inside a longer run is none.
 Entities themselves are always replaced by their kind. A context holds a bounded number of terms, so pairs grow with the
-number of entities; they are counted before they are shuffled.
+number of entities. Terms are counted over distinct texts, which are shuffled once; a task sends one sum for each term.
 
 Nulls and odd rows: a null text is an empty one and has no spans. Repeated texts have equal spans. Extra columns are
 carried in a struct.
@@ -135,15 +135,12 @@ def revealing_terms(docs, places, found, text_col="text", min_support=MIN_SUPPOR
         places.groupBy("entity", "term").agg(_seen(F.col("shown")).alias("n_both"))
         .where(F.col("n_both") >= min_support), "revealing-pairs")
     known = found.groupBy("entity").agg(_seen(F.xxhash64("before", "after")).alias("n_entity"))
-    digest = F.sha2(text, 256).alias("digest")
-    copies = stored(docs.groupBy(digest).agg(
-        F.count("*").alias("n_copies"), F.max(F.length(text)).alias("n_chars")), "revealing-texts")
-    n_chars = copies.agg(F.sum("n_chars")).first()[0] or 0
-    words = docs.select(digest, F.explode(F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0))).alias("term"))
-    # copies have equal counts: their sum is cut to that of one text
-    words = words.join(pairs.select("term").distinct(), "term", "left_semi").groupBy("digest", "term").agg(F.count("*").alias("n"))
-    words = words.join(copies.where("n_copies > 1").select("digest", "n_copies"), "digest", "left")
-    n_term = words.groupBy("term").agg(F.sum(F.expr("n div coalesce(n_copies, 1)")).alias("n_term"))
+    sizes = docs.groupBy(F.sha2(text, 256).alias("digest")).agg(F.max(F.length(text)).alias("n_chars"))
+    n_chars = sizes.agg(F.sum("n_chars")).first()[0] or 0
+    # Distinct texts, copies of a task going first; then a task sends one row for each of its terms.
+    texts = docs.select(text.alias("text")).distinct()
+    words = texts.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0))).alias("term"))
+    n_term = words.groupBy("term").agg(F.count("*").alias("n_term"))
     rated = pairs.join(known, "entity").join(n_term, "term")
     total = F.greatest(F.lit(n_chars / (2 * REACH)), F.col("n_entity") + F.lit(1.0))
     rated = rated.withColumn("share", F.log2(total * F.col("n_both") / (F.col("n_entity") * F.col("n_term"))) / F.log2(
@@ -174,7 +171,8 @@ def find_personal_data(docs, text_col="text", min_support=MIN_SUPPORT, generalis
     held = held.select("digest", F.explode("revealed").alias("t")).groupBy("digest", "t.term").agg(F.min("t.value").alias("value"))
     held = stored(held.groupBy("digest").agg(
         F.map_from_entries(F.collect_list(F.struct("term", "value"))).alias("revealed")), "revealing-spans")
-    marked = marked.withColumn("digest", F.when(F.size("base") > 0, F.sha2("text", 256)))
+    # A text without entities meets nothing in `held`; its short hash only spreads such rows, should the join be a shuffle.
+    marked = marked.withColumn("digest", F.when(F.size("base") > 0, F.sha2("text", 256)).otherwise(F.xxhash64("text").cast("string")))
     out = marked.join(held, "digest", "left")
     return out.select("row", "text", "base", F.when(F.col("revealed").isNull(), F.array().cast(_SPANS)).otherwise(
         _revealed_spans()).alias("terms"))
