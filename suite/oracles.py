@@ -641,3 +641,93 @@ SELECT carrier, count(*) AS n, count(*) FILTER (event_id % 7 = 0) AS n_odd_name,
   max('{{"inner":' || event_id || '}}') FILTER (event_id % 7 = 0) AS odd, cast(sum(arr_flights) AS BIGINT) AS arr_flights,
   (SELECT count(*) FROM events WHERE event_id % 13 <> 0 AND event_id % 11 = 0) AS bad, cast(25 AS BIGINT) AS columns
 FROM evobs WHERE event_id % 13 <> 0 AND event_id % 11 <> 0 GROUP BY carrier"""
+
+
+_RULE_ORDER = {"missing_values": 1, "unexpected_years": 3, **{r[0]: 2 if i == 0 else i + 3 for i, r in enumerate(_RULES)}}
+_ORDER = "CASE rule " + " ".join(f"WHEN '{r}' THEN {n}" for r, n in _RULE_ORDER.items()) + " END"
+_TOLERANCES = [("delay_rate", "0.02"), ("cancel_rate", "0.01"), ("divert_rate", "0.005"), ("avg_delay_per_flight", "2.0")]
+
+
+#: Rows without a period are in no group; a group without a delayed count has none.
+_DATED = "(SELECT * REPLACE (coalesce(arr_del15, 0) AS arr_del15) FROM {} WHERE year IS NOT NULL AND month IS NOT NULL)"
+
+
+def _line(section, stage, order, key="NULL", value="NULL", message="NULL"):
+    return f"SELECT '{section}' AS section, {stage} AS stage, {order} AS ord, {key} AS key, {value} AS value, {message} AS message"
+
+
+def _examples(code, table):
+    """Number and first ten codes of a table of codes, as they are written in messages."""
+    return f"""SELECT count(*) AS n, '[' || string_agg('''' || code || '''', ', ' ORDER BY code) FILTER (r <= 10) || ']' AS shown
+  FROM (SELECT code, row_number() OVER (ORDER BY code) AS r FROM {table} WHERE domain = '{code}') HAVING count(*) > 0"""
+
+
+def _report_lines(run, raw, o, g, year_note=""):
+    """The report of a validation in long form: o is the cleaned reference, raw the reference before cleaning."""
+    parts = [f"SELECT severity AS section, 1 AS stage, {_ORDER} AS ord, NULL AS key, NULL::DOUBLE AS value, message FROM gf",
+             f"SELECT 'note', 2, {_ORDER}, NULL, NULL, message FROM of WHERE severity = 'warning'",
+             f"SELECT 'reference_error', 1, {_ORDER}, NULL, NULL, message FROM of WHERE severity = 'error'"]
+    for i, code in enumerate(("airport", "carrier")):
+        parts.append(_line("error", 2, i, message=f"'GENERATED: ' || n || ' {code} codes not in original dataset (e.g. ' || shown || ')'")
+                     + f" FROM ({_examples(code, 'unknown')})")
+        parts.append(_line("warning", 2, i, message=f"'GENERATED: ' || n || ' {code}s have multiple {code}_name values (e.g. ' || shown || ')'")
+                     + f" FROM ({_examples(code, 'noisy')})")
+    for i, code in enumerate(("carrier", "airport")):
+        shown = (f"'{{''{code}'': ''' || code || ''', ''{code}_name'': ''' || label || ''', "
+                 f"''{code}_name_expected'': ''' || expected || '''}}'")
+        parts.append(_line("warning", 3, i, message=(
+            f"'GENERATED: ' || n || ' rows have {code}_name not matching canonical mapping (examples: [' || shown || '])'"))
+            + f""" FROM (SELECT cast(sum(n) AS BIGINT) AS n, string_agg({shown}, ', ' ORDER BY r) FILTER (r <= 8) AS shown FROM (
+  SELECT *, row_number() OVER (ORDER BY code, label) AS r FROM named WHERE domain = '{code}') HAVING count(*) > 0)""")
+        parts.append(_line("canonicalization", 0, i, message=f"'Canonicalized {code}_name for ' || format('{{:,}}', n) || ' rows'")
+                     + f" FROM (SELECT cast(sum(n) AS BIGINT) AS n FROM named WHERE domain = '{code}' HAVING count(*) > 0)")
+    for i, (metric, limit) in enumerate(_TOLERANCES):
+        parts.append(_line("warning", 4, i, message=(
+            f"printf('KPI {metric}: generated=%.4f vs original=%.4f (abs diff=%.4f > {limit})', g.{metric}, o.{metric}, "
+            f"abs(g.{metric} - o.{metric}))")) + f" FROM k_o o, k_g g WHERE abs(g.{metric} - o.{metric}) > {limit}")
+    for i, (what, least) in enumerate((("airport", 50), ("carrier", 10))):
+        parts.append(_line("warning", 4, 4 + i, message=f"'Low {what} coverage in generated: ' || cast(unique_{what}s AS BIGINT)")
+                     + f" FROM k_g WHERE unique_{what}s < {least}")
+    parts += [
+        _line("warning", 5, 0, message="'Monthly seasonality check: only ' || months || "
+              "'/12 months comparable; correlation may be unreliable'") + " FROM season WHERE months < 10",
+        _line("warning", 5, 2, message="printf('Monthly delay_rate seasonal-index correlation is low: corr=%.2f "
+              "(expected >= 0.70)', r)") + " FROM season WHERE months >= 10 AND r < 0.70",
+        _line("warning", 5, 3, message="printf('Monthly delay_rate seasonal-index mean abs diff is high: %.3f "
+              "(expected <= 0.10)', mad)") + " FROM season WHERE months >= 10 AND mad > 0.10",
+        _line("seasonality", 0, 0, "'seasonality_months_compared'", "months::DOUBLE") + " FROM season",
+        _line("seasonality", 0, 0, "'seasonality_corr'", "round(r, 6)") + " FROM season WHERE months >= 10 AND r IS NOT NULL",
+        _line("seasonality", 0, 0, "'seasonality_mad'", "round(mad, 6)") + " FROM season WHERE months >= 10"]
+    for section, table in (("original", "k_o"), ("generated", "k_g")):
+        parts += [_line(section, 0, 0, f"'{m}'", f"round({m}, 6)") + f" FROM {table} WHERE {m} IS NOT NULL" for m in OVERALL]
+    filled = _join([f"count(*) FILTER ({c} IS NULL)" for c in MEASURES], " + ")
+    clipped = _join([f"count(*) FILTER ({c} < 0)" for c in MEASURES], " + ")
+    for i, (before, after, cells) in enumerate((("Filled", "numeric nulls with 0", filled), ("Clipped", "negative numeric values to 0", clipped))):
+        parts.append(_line("note", 1, i, message=f"'{before} ' || n || ' {after} in ORIGINAL'")
+                     + f" FROM (SELECT {cells} AS n FROM {raw}) WHERE n > 0")
+    if year_note:
+        parts.append(_line("note", 0, 0, message=year_note) + f" FROM {o}")
+    union = "\nUNION ALL ".join(parts)
+    wrong = " UNION ALL ".join(
+        f"""SELECT '{c}' AS domain, g.{c} AS code, g.{c}_name AS label, d.{c}_name AS expected, count(*) AS n
+  FROM {g} g JOIN ({_canonical(o, c)}) d ON g.{c} = d.{c} WHERE g.{c}_name <> d.{c}_name GROUP BY ALL""" for c in ("carrier", "airport"))
+    codes = " UNION ALL ".join(
+        f"""SELECT DISTINCT '{c}' AS domain, {c} AS code FROM {g} WHERE {c} IS NOT NULL
+  AND {c} NOT IN (SELECT {c} FROM {o} WHERE {c} IS NOT NULL)""" for c in ("airport", "carrier"))
+    several = " UNION ALL ".join(
+        f"""SELECT '{c}' AS domain, {c} AS code FROM {g} WHERE {c} IS NOT NULL AND {c}_name IS NOT NULL
+  GROUP BY {c} HAVING count(DISTINCT {c}_name) > 1""" for c in ("airport", "carrier"))
+    return f"""gf AS ({_findings(g, "GENERATED")}), of AS ({_findings(o, "ORIGINAL")}), unknown AS ({codes}), noisy AS ({several}),
+named AS ({wrong}), ok_o AS (SELECT * FROM {o} WHERE {_VALID}), ok_g AS (SELECT * FROM {g} WHERE {_VALID}),
+k_o AS ({_overall("ok_o", None)}), k_g AS ({_overall("ok_g", None)}),
+{_index(_DATED.format("ok_o"), "i_o")}, {_index(_DATED.format("ok_g"), "i_g")}, season AS (
+  SELECT count(*) AS months, corr(o.seasonal_index, g.seasonal_index) AS r, avg(abs(o.seasonal_index - g.seasonal_index)) AS mad
+  FROM i_o o JOIN i_g g USING (month) WHERE o.seasonal_index IS NOT NULL AND g.seasonal_index IS NOT NULL)
+SELECT '{run}' AS run, section, cast(stage AS BIGINT) AS stage, cast(ord AS BIGINT) AS ord, cast(key AS VARCHAR) AS key,
+  cast(value AS DOUBLE) AS value, cast(message AS VARCHAR) AS message FROM ({union})"""
+
+
+ALL["validation_lines"] = f"""SELECT * FROM (WITH {CELLS}, g AS (SELECT * FROM obs WHERE year = 2001),
+  o AS (SELECT * FROM obs WHERE year < 2001 AND year >= (SELECT max(year) - 4 FROM obs WHERE year < 2001)),
+{_report_lines("clean", "o", "o", "g", "'Filtered ORIGINAL to last 5 years: ' || (max(year) - 4) || '-' || max(year)")})
+UNION ALL SELECT * FROM (WITH {DIRTY}, {_report_lines("dirty", "d_original", "d_cleaned", "d_generated")})"""

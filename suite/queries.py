@@ -418,6 +418,13 @@ def validation_report(spark, d):
     return validation.assess(original, generated, "last5").report()
 
 
+def validation_lines(spark, d):
+    """All lines of the reports of a clean run over the last five years and of a dirty run, in long form."""
+    clean_run = validation.assess(*_parts(spark, d), "last5").lines
+    dirty_run = validation.assess(*_dirty_parts(spark, d)).lines
+    return tidy(clean_run.select(F.lit("clean").alias("run"), "*").unionByName(dirty_run.select(F.lit("dirty").alias("run"), "*")))
+
+
 # --- sampling and scenario -----------------------------------------------
 
 def avg_rows_per_year(spark, d):
@@ -644,6 +651,6 @@ ALL = {f.__name__: f for f in [
     stream_sliding_rate, stream_rollup, stream_live, live_quarantine, stream_scenario, validation_status, dq_findings, uniform_draws,
     apportion, stream_ingest_unique, stream_latest, stream_rate_asof, kpi_overall_incremental, stream_canonical,
     stream_mismatch, src_ndjson_all, templates_incremental, stream_validation, cube_kpi_slice, cube_top_airports,
-    cube_top_carriers, cube_causes, cube_slicer_values,
+    cube_top_carriers, cube_causes, cube_slicer_values, validation_lines,
 ]}
 ALL["scenario"] = scenario_rows
