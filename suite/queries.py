@@ -132,6 +132,34 @@ def encode_messages(spark, d):
     return tidy(decoded.filter(F.col("reason").isNull()).select("key", *S.WIRE_COLUMNS))
 
 
+def sink_report(spark, d):
+    """The written report of a dirty run, read back."""
+    path = work_path(spark, "report")
+    files.write_report(validation.assess(*_dirty_parts(spark, d)).report(), path)
+    report = spark.read.json(path)
+    return tidy(report.select("status", F.size("errors").alias("errors"), F.size("generated_warnings").alias("warnings"),
+                              F.col("powerbi_outputs.dim_carrier_csv").isNull().alias("stopped"), "original.total_flights"))
+
+
+def decode_bytes(spark, d):
+    """Message bytes, some of them no UTF-8: strict reading leaves those missing, lenient reading replaces what is wrong."""
+    n = F.col("event_id")
+    text = F.concat(F.lit("é-"), n.cast("string"))
+    odd = F.when(n % 3 == 0, F.unhex(F.lit("FF"))).when(n % 3 == 1, F.unhex(F.lit("C328"))).otherwise(F.unhex(F.lit("E282AC")))
+    read = star.read_events(spark, d).select("event_id", F.concat(F.encode(text, "UTF-8"), odd).alias("value"))
+    return tidy(read.select("event_id", messages.decoded_text(F.col("value")).alias("strict"),
+                            messages.decoded_text(F.col("value"), strict=False).alias("lenient")))
+
+
+def ingest_clock(spark, d):
+    """Without an arrival column, facts get the time of ingestion in whole seconds."""
+    now = F.date_trunc("second", F.current_timestamp())
+    facts = ingest.facts(ingest.ingest(_messages(spark, d)))
+    stamp = F.col("ingestion_timestamp")
+    return tidy(facts.groupBy((stamp == now).alias("now"), (stamp == F.date_trunc("second", stamp)).alias("whole")).agg(
+        F.count(F.lit(1)).alias("n")))
+
+
 # --- decoding and typing -------------------------------------------------
 
 def ingest_strict(spark, d):
@@ -652,5 +680,6 @@ ALL = {f.__name__: f for f in [
     apportion, stream_ingest_unique, stream_latest, stream_rate_asof, kpi_overall_incremental, stream_canonical,
     stream_mismatch, src_ndjson_all, templates_incremental, stream_validation, cube_kpi_slice, cube_top_airports,
     cube_top_carriers, cube_causes, cube_slicer_values, validation_lines,
+    sink_report, decode_bytes, ingest_clock,
 ]}
 ALL["scenario"] = scenario_rows

@@ -1,5 +1,6 @@
 """Files and messages: what is written reads back, odd input is handled as specified."""
 
+import gzip
 import json
 
 import pytest
@@ -47,6 +48,22 @@ def test_csv_line_breaks(spark):
     assert same_rows(clean.normalize(files.read_csv(spark, path, multi_line=True)), df)
 
 
+def test_csv_heads_are_read_alone(spark, tmp_path):
+    """Files with several headers, one compressed, one empty, in a folder whose name has a space."""
+    folder = tmp_path / "some files"
+    folder.mkdir()
+    (folder / "a.csv").write_text("year,carrier\n2001,A\n")
+    (folder / "b.csv").write_text("carrier,extra,year\n\"B, b\",x,2002\n")
+    (folder / "c.csv.gz").write_bytes(gzip.compress(b"year,carrier\n2003,C\n"))
+    (folder / "d.csv").write_text("")
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    heads = files._files_by_header(spark, str(folder))
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+    assert {h: len(f) for h, f in heads.items()} == {"year,carrier": 2, "carrier,extra,year": 1}
+    rows = files.read_csv(spark, str(folder), ["year", "carrier", "extra"])
+    assert sorted(tuple(r) for r in rows.na.fill("-").collect()) == [("2001", "A", "-"), ("2002", "B, b", "x"), ("2003", "C", "-")]
+
+
 def test_json_lines_keep_every_field(spark, tmp_path):
     (tmp_path / "in.ndjson").write_text('{"carrier":"A","my key":1}\n{"id":"x","month":2}\n')
     records, _ = files.load_json_lines(spark, str(tmp_path / "in.ndjson"), None)
