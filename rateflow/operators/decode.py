@@ -31,13 +31,17 @@ def with_parsed_json(df, text, into):
     boxed = boxed.withColumn("_boxed", F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), F.col("_end"), F.lit('"]'))))
     maps = F.from_json(
         F.concat(F.lit("["), text, F.lit(",null]")), "array<map<string,string>>", {"allowSingleQuotes": "false"})
-    boxed = boxed.withColumn("_maps", F.when(F.col("_boxed").isNull(), maps))
-    only_map = (F.size("_maps") == 2) & F.get("_maps", F.lit(1)).isNull() & F.get("_maps", F.lit(0)).isNotNull()
-    bare = F.transform_values(
-        F.get("_maps", F.lit(0)), lambda k, v: F.when(v.isin(_BARE_NUMBERS), F.btrim(v, F.lit('"'))).otherwise(v))
+
+    def from_map(found):
+        alone = (F.size(found) == 2) & F.get(found, F.lit(1)).isNull() & F.get(found, F.lit(0)).isNotNull()
+        bare = F.transform_values(
+            F.get(found, F.lit(0)), lambda k, v: F.when(v.isin(_BARE_NUMBERS), F.btrim(v, F.lit('"'))).otherwise(v))
+        return F.when(alone, _object(F.map_entries(bare)))
+
     alone = (F.try_variant_get("_boxed", "$[1]", "string") == F.col("_end")) & F.try_variant_get(
         "_boxed", "$[2]", "variant").isNull()
-    value = F.when(alone, F.try_variant_get("_boxed", "$[0]", "variant")).when(only_map, _object(F.map_entries(bare)))
+    value = F.when(alone, F.try_variant_get("_boxed", "$[0]", "variant")).when(
+        F.col("_boxed").isNull(), _let(maps, from_map))
     return computed_once(boxed, df.columns, {into: value})
 
 
@@ -132,8 +136,10 @@ def _parsed(df, payload):
     out = with_parsed_json(df, payload, "_value").withColumn("_shape", _first_character(F.col(payload)))
     out = out.withColumn("_items", F.when(shape == "[", F.try_variant_get(value, "$", "array<variant>")))
     maps = F.from_json(F.col(payload), "array<map<string,string>>", {"allowSingleQuotes": "false"})
-    out = out.withColumn("_texts", F.when(F.exists("_items", lambda i: _kind(i).startswith("OBJECT")), maps))
-    return out.withColumn("_objects", F.transform("_items", lambda item, i: _entries(item, F.get("_texts", i))))
+    texts = F.when(F.exists("_items", lambda i: _kind(i).startswith("OBJECT")), maps)
+    # The texts are read once, not once for each item.
+    return out.withColumn("_objects", F.when(shape == "[", _let(texts, lambda known: F.transform(
+        "_items", lambda item, i: _entries(item, F.get(known, i))))))
 
 
 def decode_strict(df, payload="payload"):
