@@ -189,8 +189,7 @@ class Reference:
         return cls(
             o, dimensions.measure(dimensions.canonical(o, "carrier", "n_rows"), "carrier"),
             dimensions.measure(dimensions.canonical(o, "airport", "n_rows"), "airport"),
-            settle(quality.findings(quality.merge_tallies(o), "ORIGINAL"), "findings"),
-            settle(kpi.overall_long(valid), "kpi"), settle(seasonality.seasonal_index(valid), "index"), years)
+            quality.findings(quality.merge_tallies(o), "ORIGINAL"), kpi.overall_long(valid), seasonality.seasonal_index(valid), years)
 
 
 def merge_profiles(parts):
@@ -217,16 +216,15 @@ def assess_profile(reference, g, candidate=None):
     o_found, o_kpi, o_index, years = reference.found, reference.kpi, reference.index, reference.years
     o_valid, g_valid = o.filter("n_valid > 0"), g.filter("n_valid > 0")
     g_found = quality.findings(quality.merge_tallies(g), "GENERATED").unionByName(quality.year_findings(g))
-    g_kpi, g_index = settle(kpi.overall_long(g_valid), "kpi"), seasonality.seasonal_index(g_valid)
-    season = settle(seasonality.compare(o_index, g_index), "seasonality")
+    g_kpi, g_index = kpi.overall_long(g_valid), seasonality.seasonal_index(g_valid)
+    season = seasonality.compare(o_index, g_index)
     season_long = season.select(
         F.col("seasonality_months_compared").cast("double").alias("seasonality_months_compared"),
         "seasonality_corr", "seasonality_mad",
     ).unpivot([], ["seasonality_months_compared", "seasonality_corr", "seasonality_mad"], "metric", "value").filter(
         F.col("value").isNotNull())
 
-    wrong = {dim.code: settle(dimensions.mismatches(g, dim.frame, dim.code, "n_rows"), "mismatches")
-             for dim in (carriers, airports)}
+    wrong = {dim.code: dimensions.mismatches(g, dim.frame, dim.code, "n_rows") for dim in (carriers, airports)}
     changed = {code: rows.groupBy("domain").agg(F.sum("n").alias("n")) for code, rows in wrong.items()}
     cells = o.agg(total("_filled").alias("filled"), total("_clipped").alias("clipped"))
     reference_errors = o_found.filter(F.col("severity") == quality.ERROR)

@@ -241,7 +241,7 @@ def current_sliding_rate(spark, root):
 
 def start_scenario(templates, root, replicas=1, seed=42, trigger=None):
     """Project template rows as they arrive."""
-    rows = scenario.scenario(templates, replicas, seed)
+    rows = scenario.scenario(templates, replicas, seed, envelope=False)
     return (
         rows.writeStream.outputMode("append").format("parquet").option("path", f"{root}/scenario")
         .option("checkpointLocation", f"{root}/checkpoint")

@@ -546,7 +546,6 @@ def live_quarantine(spark, d):
 def stream_sliding_rate(spark, d):
     root = work_path(spark, "rate")
     jobs.run_to_end(jobs.start_sliding_rate, star.event_observations(star.stream_events(spark, d)), root)
-    jobs.compact(spark, root, jobs.WINDOWS, upto=0)
     return tidy(jobs.current_sliding_rate(spark, root))
 
 

@@ -86,7 +86,7 @@ def test_scenario_stream(spark, sf_dir):
     rows = spark.read.parquet(f"{root}/scenario")
     assert rows.count() == 2 * star.read_events(spark, sf_dir).count()
     assert rows.filter(F.col("arr_delay") != sum(F.col(c) for c in S.CAUSE_MINUTES)).isEmpty()
-    assert rows.select("id").distinct().count() == rows.count()
+    assert rows.select("template_id", "replica").distinct().count() == rows.count()
 
 
 def test_compaction_between_batches_and_after_a_replay(spark, sf_dir):
