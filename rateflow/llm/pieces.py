@@ -7,8 +7,8 @@ its new words together, and a worker keeps a bounded number of encoded words.
 
 In a round every word finds its best pair, by the score of the joined piece (a segmented minimum of ranks), and merges
 it. Merging is what the library's queue does: best score first, leftmost first. All leftmost non-overlapping places of the
-best pair are merged at once where no piece that begins or ends with the new one has a better score; else the first
-place alone. Words without a pair leave the arrays, and the arrays are compacted after every round.
+best pair are merged at once, up to the first where the new piece and its neighbour join to a piece of as good a score, which
+the queue would take next. Words without a pair leave the arrays, and the arrays are compacted after every round.
 
 A character without a piece is encoded as the bytes of its UTF-8 form. Decoding joins the pieces, turns U+2581 into
 spaces, drops the leading space, and reads byte pieces as UTF-8 with U+FFFD for each invalid byte.
@@ -144,7 +144,7 @@ class Model:
                     break
                 best, sizes = best[~over], sizes[~over]
             at = np.flatnonzero(rank == np.repeat(best, sizes))
-            at = at[self._chosen(at, word[at], joined[at])]
+            at = self._chosen(at, symbol, word, joined)
             symbol[at] = joined[at]
             keep = np.ones(len(symbol), bool)
             keep[at + 1] = False
@@ -167,14 +167,28 @@ class Model:
     def _joined(self, symbol, word):
         return self._joined_at(symbol, word, np.arange(len(symbol)))
 
-    def _chosen(self, at, word, piece):
-        """Of the places of the best pairs: in each word the first, and those on whose merge nothing better depends."""
-        new_word = np.diff(word, prepend=-1) != 0
-        take = new_word | self.safe[piece]
+    def _chosen(self, at, symbol, word, joined):
+        """Of the places of the best pairs: in each word those up to the first whose merge gives a pair that is as good."""
+        start = (np.diff(word[at], prepend=-1) != 0) | (np.diff(at, prepend=-2) != 1)
         # an overlap is a row of neighbouring places, of which every second is merged, from the left
-        start = new_word | (np.diff(at, prepend=-2) != 1)
         nth = np.arange(len(at)) - np.maximum.accumulate(np.where(start, np.arange(len(at)), 0))
-        return take & (nth % 2 == 0)
+        at = at[nth % 2 == 0]
+        piece, owner = joined[at], word[at]
+        check = np.flatnonzero(~self.safe[piece])
+        if len(check):
+            p, own, new = at[check], owner[check], piece[check]
+            # the places before are merged already, those behind are not
+            last = np.maximum(check - 1, 0)
+            left, right = np.maximum(p - 1, 0), np.minimum(p + 2, len(symbol) - 1)
+            before = np.where((check > 0) & (at[last] == p - 2), piece[last], symbol[left])
+            risky = np.zeros(len(at), np.int64)
+            for a, b, beside in ((before, new, (p > 0) & (word[left] == own)), (new, symbol[right], (right == p + 2) & (word[right] == own))):
+                made = self.pairs(a, b)
+                risky[check] |= beside & (made >= 0) & (self.rank[made] <= self.rank[new])
+            seen = np.cumsum(risky) - risky
+            first = np.flatnonzero(np.diff(owner, prepend=-1) != 0)
+            at = at[seen == np.repeat(seen[first], np.diff(np.append(first, len(at))))]
+        return at
 
     def _with_bytes(self, word, symbol, n_words):
         odd = np.flatnonzero(symbol >= self.size)

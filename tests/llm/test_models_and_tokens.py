@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import corpus_pipeline
@@ -241,6 +242,32 @@ def library():
     return sentencepiece.SentencePieceProcessor(model_file=PIECES)
 
 
+@pytest.mark.parametrize("part, size", [("th", 500_000), ("ing", 500_000), ("aab", 500_000), ("é", 200_000), ("thein", 60_000)])
+def test_a_very_long_word_is_encoded_in_time(library, part, size):
+    """Repeats, and with the last part random letters: time grows with the length, not its square."""
+    rng = random.Random(1)
+    word = "".join(rng.choices("abcdefghinorst", k=size)) if part == "thein" else part * (size // len(part))
+    with open(PIECES, "rb") as file:
+        encoder = pieces.Encoder(pieces.Model(file.read()))
+    started = time.process_time()
+    ids, _ = encoder.encode([word])
+    assert time.process_time() - started < 20
+    assert ids.tolist() == library.encode(word)
+
+
+def test_texts_of_few_letters_equal_the_library(library):
+    """Overlaps, repeats and pairs whose merge makes a better pair, thousands of short texts in one batch and alone."""
+    rng = random.Random(4)
+    letters = ["thein", "aab", "theringo ", "aeiou lnst", "▁a b", "éèa ", "0123 .", "_-= "]
+    texts = ["".join(rng.choices(rng.choice(letters), k=rng.randint(1, 60))) for _ in range(4000)]
+    with open(PIECES, "rb") as file:
+        model = pieces.Model(file.read())
+    ids, sizes = pieces.Encoder(model).encode(texts)
+    wanted = [library.encode(t) for t in texts]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == wanted
+    assert all(pieces.Encoder(model).encode([t])[0].tolist() == w for t, w in zip(texts[:300], wanted))
+
+
 def test_encoding_equals_the_library(library):
     with open(PIECES, "rb") as file:
         table = pieces.Model(file.read())
