@@ -4,11 +4,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from rateflow.session import settle
 
 #: A key with more than one row in this many is joined by broadcast; there are at most so many of these keys.
 HOT_SHARE = 1000
+#: A hash range that holds so many times the rows that are wanted on average holds them.
+SPARE = 4
 #: Bytes of text that a Python worker holds at once, apart from a single longer text.
 PIECE_BYTES = 2 << 20
 #: Bytes of an Arrow batch, apart from a single longer row.
@@ -107,6 +110,21 @@ def stored(df, name):
     return settle(df, name)
 
 
+def first_of_labels(ids, label, limit):
+    """Of each label the `limit` rows of (id, label) whose id has the smallest hash. Rows are distinct.
+
+    Counts come first: of a label with more than a few times `limit` rows only the part of the hash range that
+    surely holds those is ranked, so no task gets all rows of a frequent label. A row for each label goes to the driver.
+    """
+    counts = {r[0]: r[1] for r in ids.groupBy(label).agg(F.count("*").alias("n")).collect()}
+    place = F.xxhash64("id") / F.lit(2.0**64) + F.lit(0.5)
+    parts = [(F.col(label) == F.lit(v)) & (place >= F.lit(SPARE * limit / n)) for v, n in counts.items() if n > SPARE * limit]
+    for far in parts:
+        ids = ids.where(~far)
+    rank = F.row_number().over(Window.partitionBy(label).orderBy(F.xxhash64("id"), "id"))
+    return ids.withColumn("_n", rank).where(F.col("_n") <= limit).drop("_n")
+
+
 def search_buckets(members, bucket, item, limit, search, schema):
     """Run `search` on the rows of every bucket with at least two rows, never on more than about 2 x limit rows at once.
 

@@ -23,10 +23,9 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import by_piece, column, row_and_text, worker_store
+from rateflow.llm.common import by_piece, column, first_of_labels, row_and_text, worker_store
 from rateflow.llm.ngrams import hashed
 
 MAX_ROWS = 300
@@ -246,13 +245,13 @@ def train(docs, learn, id_col="doc_id", text_col="text", lang_col="lang", max_ro
           max_words=MAX_WORDS):
     """A model from labelled rows. `learn` is a condition on the columns of docs.
 
-    Of each language the max_rows ids of the smallest hash are taken.
+    Of each language the max_rows ids of the smallest hash are taken, of a repeated id the smallest text.
     """
     rows = docs.where(learn).select(column(id_col).alias("id"), column(lang_col).alias("lang"), column(text_col).alias("text"))
     rows = rows.where(F.expr("id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL") & (F.length("text") <= max_chars))
-    rank = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    ids = rows.select("id", "lang").distinct().withColumn("n", rank).where(F.col("n") <= max_rows).select("id", "lang")
-    learned = rows.join(F.broadcast(ids), ["id", "lang"]).select("lang", "text").collect()
+    ids = first_of_labels(rows.select("id", "lang").distinct(), "lang", max_rows)
+    # One text an id, so that a repeated id does not bring more rows to the driver than there are ids.
+    learned = rows.join(F.broadcast(ids), ["id", "lang"]).groupBy("id", "lang").agg(F.min("text").alias("text")).select("lang", "text").collect()
     return Model(sorted({(r[1], r[0]) for r in learned}), max_words=max_words)
 
 

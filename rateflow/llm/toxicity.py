@@ -21,10 +21,9 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import by_piece, column, row_and_text, worker_store
+from rateflow.llm.common import by_piece, column, first_of_labels, row_and_text, worker_store
 from rateflow.llm.ngrams import hashed
 
 MAX_ROWS = 1000
@@ -157,15 +156,16 @@ class Scorer:
 def train(docs, labels, learn, id_col="doc_id", text_col="text", label_col="toxic", max_rows=MAX_ROWS, max_chars=MAX_CHARS):
     """A model from labelled rows. `learn` is a condition on the id column; labels other than 0 and 1 don't count.
 
-    Of each label the max_rows ids of the smallest hash are taken, so the sample depends on the ids only.
+    Of each label the max_rows ids of the smallest hash are taken, so the sample depends on the ids only; of a repeated
+    id the smallest text.
     """
-    rank = F.row_number().over(W.partitionBy("label").orderBy(F.xxhash64("id"), "id"))
     known = labels.where(learn).select(column(id_col).alias("id"), column(label_col).alias("label"))
     known = known.where("id IS NOT NULL AND label IN (0, 1)").distinct()
-    known = known.withColumn("n", rank).where(F.col("n") <= max_rows).select("id", "label")
+    known = first_of_labels(known, "label", max_rows)
     texts = docs.select(column(id_col).alias("id"), column(text_col).alias("text"))
     texts = texts.where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-    rows = sorted(set(map(tuple, texts.join(F.broadcast(known), "id").select("id", "label", "text").collect())))
+    texts = texts.join(F.broadcast(known), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+    rows = sorted(map(tuple, texts.select("id", "label", "text").collect()))
     return Model([r[2] for r in rows], [r[1] for r in rows])
 
 

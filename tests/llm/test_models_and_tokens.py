@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rateflow.llm import language, pieces, pii, token_counts, toxicity
+from rateflow.llm.common import first_of_labels
 from tests.llm import brute
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -122,6 +123,25 @@ def test_held_out_toxicity(spark):
     assert known > misspelt > 0.3 > plain
 
 
+def test_the_first_ids_of_frequent_and_rare_labels(spark):
+    rows = spark.range(40_000).select("id", F.when(F.col("id") % 3 > 0, "often").when(F.col("id") % 1000 == 0, "rare").otherwise("some").alias("label"))
+    got = first_of_labels(rows, "label", 50).groupBy("label").agg(F.sort_array(F.collect_list("id")).alias("ids")).collect()
+    hashed = {}
+    for r in rows.select("label", F.xxhash64("id").alias("h"), "id").collect():
+        hashed.setdefault(r.label, []).append((r.h, r.id))
+    assert {r.label: r.ids for r in got} == {k: sorted(i for _, i in sorted(v)[:50]) for k, v in hashed.items()}
+
+
+def test_a_repeated_id_brings_one_text_to_the_driver(spark):
+    """2,000 rows of one id and language, and of one id and label."""
+    rows = [(1, f"der hund und die katze {i}", "de") for i in range(2000)] + [(2, "the dog and the cat", "en")]
+    docs = brute.frame(spark, rows)
+    model = language.train(docs, F.lit(True))
+    assert model.languages == ["de", "en"]
+    labels = spark.createDataFrame([(1, 0, 0), (2, 0, 1)], "doc_id bigint, quality int, toxic int")
+    assert toxicity.score(docs, toxicity.train(docs, labels, F.lit(True))).count() == len(rows)
+
+
 def test_toxicity_of_odd_rows(spark):
     docs = brute.frame(spark, brute.odd_rows())
     labels = spark.createDataFrame([(5, 1, 0), (16, 1, 1), (1, 0, 1), (None, 0, 1), (9, 0, None), (99, 0, 1), (7, 0, 2), (5, 1, 0)],
