@@ -5,8 +5,8 @@ w * ((10**9 * tf) div (1000 * tf + 20 * m)) by the contract's integers, with the
 from the document's length. An item is the vector with a one at each of its terms, and its score the inner product.
 
 Documents are read once: words are cut in flat byte arrays and looked up in the items' vocabulary; a document keeps the
-numbers and counts of its known terms. Vectors are then ordered by length, longest first (a range shuffle, where the id's
-hash splits equal lengths), and each task cuts its run into buckets of `BUCKET_ROWS`. With theta, an item's least score that still counts:
+numbers and counts of its known terms. Vectors are then ordered by length, longest first (a range shuffle, where the row's
+number splits equal lengths), and each task cuts its run into buckets of `BUCKET_ROWS`. With theta, an item's least score that still counts:
 
 * a bucket whose greatest length times the item's length is under theta is skipped (Cauchy-Schwarz), and so is one where
   the greatest coordinates at the item's terms add up to less;
@@ -235,7 +235,7 @@ def _block(docs, items, vocabulary, k, id_col, text_col):
     n_docs, n_words = counted.agg(F.count_if(F.col("n") > 0), F.coalesce(F.sum("n"), F.lit(0))).first()
     weights = term_weights(document_counts(counted, len(vocabulary)), n_docs)
     vectors = impact_vectors(counted, weights, n_docs, n_words)
-    share = F.abs(F.xxhash64("doc_id")) % F.lit(1_000_000) < F.lit(1_000_000 * SAMPLE_ROWS // max(1, n_docs))
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(1_000_000 * SAMPLE_ROWS // max(1, n_docs))
     size = BUCKET_ROWS
     search = lambda theta: lambda batches: _search(items, theta, len(vocabulary), k, size, batches)
     first = _best(vectors.where(share).mapInArrow(search([1] * len(items)), _FOUND), k)
@@ -243,8 +243,10 @@ def _block(docs, items, vocabulary, k, id_col, text_col):
     for r in first.where(F.col("rank") == k).select("item", "score").collect():
         theta[r["item"]] = max(1, r["score"])
     spread = max(1, math.ceil(n_docs / PARTITION_ROWS), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ordered = vectors.repartitionByRange(spread, F.desc("length"), F.xxhash64("doc_id")).sortWithinPartitions(F.desc("length"))
-    return _best(ordered.mapInArrow(search(theta), _FOUND), k)
+    # The row's number splits equal lengths, also those of rows that repeat an id.
+    ordered = vectors.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(
+        spread, F.desc("length"), "_row").sortWithinPartitions(F.desc("length"))
+    return _best(ordered.drop("_row").mapInArrow(search(theta), _FOUND), k)
 
 
 def rank_documents(docs, items, k=TOP, id_col="doc_id", text_col="text", item_col="item_id", item_text_col="text"):
