@@ -130,15 +130,24 @@ def _reason(text, has_record, value, shape, items, broken):
     )
 
 
-def _parsed(df, payload):
-    """Add _value, its first character _shape, and for an array its _items and the _objects among them."""
+def _may_have_braces(payload):
+    """False only if no key of the JSON text is a brace between blanks: such a key stands so in the text, or is escaped there."""
+    return F.contains(payload, F.lit("\\")) | payload.rlike(f'"[{BLANKS}]*[{{}}][{BLANKS}]*"')
+
+
+def _parsed(df, payload, wanted=None):
+    """Add _value, its first character _shape, and for an array its _items and the _objects among them.
+
+    wanted is a condition on messages; _objects is NULL in others.
+    """
     value, shape = F.col("_value"), F.col("_shape")
     out = with_parsed_json(df, payload, "_value").withColumn("_shape", _first_character(F.col(payload)))
     out = out.withColumn("_items", F.when(shape == "[", F.try_variant_get(value, "$", "array<variant>")))
     maps = F.from_json(F.col(payload), "array<map<string,string>>", {"allowSingleQuotes": "false"})
     texts = F.when(F.exists("_items", lambda i: _kind(i).startswith("OBJECT")), maps)
+    needed = shape == "[" if wanted is None else (shape == "[") & wanted
     # The texts are read once, not once for each item.
-    return out.withColumn("_objects", F.when(shape == "[", _let(texts, lambda known: F.transform(
+    return out.withColumn("_objects", F.when(needed, _let(texts, lambda known: F.transform(
         "_items", lambda item, i: _entries(item, F.get(known, i))))))
 
 
@@ -149,7 +158,7 @@ def decode_strict(df, payload="payload"):
     """
     entries, tokens = F.col("_entries"), F.col("_tokens")
     value, shape = F.col("_value"), F.col("_shape")
-    out = _parsed(df, payload)
+    out = _parsed(df, payload, _may_have_braces(F.col(payload)))
     out = out.withColumn("_entries", F.filter(
         F.flatten(_present(F.col("_objects"))), lambda e: _is_brace(e["key"])))
     out = out.withColumn("_broken", F.exists(entries, lambda e: _unsplittable(e["value"])))

@@ -67,7 +67,9 @@ def ingest(messages, payload="payload", arrival=None, own_id=None):
     boolean = reduce(lambda a, b: a | b, [F.col(f"_t.{c}").isin("true", "false") for c in names])
     plain = F.struct(*[number_from_text(F.col(f"_t.{c}")).alias(c) for c in names])
     asked = F.struct(*[field_number(F.col(f"_t.{c}"), record, c).alias(c) for c in names])
-    numbers = computed_once(texts, [*kept, "_t"], {"_n": F.when(boolean, asked).otherwise(plain)})
+    # A reject has no numbers; its fields are not looked at one by one.
+    numbers = computed_once(texts, [*kept, "_t"], {
+        "_n": F.when(F.col("_t").isNotNull(), F.when(boolean, asked).otherwise(plain))})
     infinite = reduce(lambda a, b: a | b, [
         F.coalesce(is_infinite(F.col(f"_n.{c}")), F.lit(False)) for c in S.UNSIGNED])
     typed = typed_columns(lambda c: F.col(f"_n.{c}"), lambda c: F.col(f"_t.{c}"))

@@ -131,3 +131,12 @@ def test_filter_is_not_copied_into_the_decoder(spark):
     accepted = ingest.facts(ingest.ingest(lit_rows(spark, ["{}"])))
     plan = accepted._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parseJson") <= 4
+
+
+@pytest.mark.parametrize("payload, record", [
+    (r'[{"\u007b":"a:1"}]', '{"a":"1"}'), (r'[{"\t}":"a:1"}]', '{"a":"1"}'), ('[{" {  ":"a:1"}]', '{"a":"1"}'),
+    ('[{"x{":"a:1"}]', None), ('[{"x":"{"}]', None), ('[{"x":{"{":"a:1"}}]', None)])
+def test_keys_that_are_braces(spark, payload, record):
+    """Escaped or with blanks around; texts without such a key are not taken apart."""
+    got = decode.decode_strict(lit_rows(spark, [payload])).select(F.to_json("record").alias("r"), "reason").first()
+    assert (got.r, got.reason) == (record, None if record else "no_tokens")
