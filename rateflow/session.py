@@ -50,6 +50,18 @@ def work_path(spark, name):
     return f"{shared_folder(spark)}/rateflow/{name}-{uuid.uuid4().hex}"
 
 
+#: Rows for one task of costly work per row.
+ROWS_PER_PIECE = 50_000
+
+
+def pieces_for(df, least, rows=ROWS_PER_PIECE):
+    """Tasks for a table's rows: at least `least`, and so many that each has about `rows` rows or fewer.
+
+    Counts the rows, which Parquet files tell without being read.
+    """
+    return max(least, -(-df.count() // rows))
+
+
 def spread(df, pieces):
     """For costly work per row on an input that comes in few pieces: rows are dealt out to so many tasks.
 

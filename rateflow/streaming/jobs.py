@@ -19,6 +19,7 @@ from rateflow.sources.files import write_partitioned
 
 FACT, QUARANTINE, SUMMARY, MINUTES, WINDOWS = "fact", "quarantine", "summary", "minutes", "windows"
 LIVE, LIVE_QUARANTINE, HISTORY = "live", "live_quarantine", "history"
+_SHOWN = ["id", "year", "month", "carrier", "airport"]
 
 
 def _batch_path(root, name, batch_id):
@@ -70,9 +71,10 @@ def start_ingest(messages, root, payload="payload", arrival="arrival", trigger=N
                  unique_within=None):
     """Decode, type and append messages; quarantine rejects; add rollup increments.
 
-    A micro-batch is decoded once and kept for its four outputs. Its size is
-    bounded by the source (maxOffsetsPerTrigger, maxFilesPerTrigger). pieces
-    deals a batch that comes in few pieces out to so many tasks. unique_within,
+    A micro-batch is decoded once and kept for its four outputs, with the payloads
+    of rejects only. Its size is bounded by the source (maxOffsetsPerTrigger,
+    maxFilesPerTrigger). pieces deals a batch that comes in few pieces out to so
+    many tasks; it should grow with that bound (session.pieces_for). unique_within,
     for instance "2 days", drops a message whose id was ingested so long ago or
     less, also before a restart; state is one row an id. Default: none is dropped.
     """
@@ -80,7 +82,8 @@ def start_ingest(messages, root, payload="payload", arrival="arrival", trigger=N
         messages = _unrepeated(spread(messages, pieces), payload, arrival, unique_within)
 
     def write_batch(received, batch_id):
-        batch = (received if unique_within else ingest.ingest(spread(received, pieces), payload, arrival)).persist()
+        batch = received if unique_within else ingest.ingest(spread(received, pieces), payload, arrival)
+        batch = batch.withColumn(payload, F.when(F.col("reason").isNotNull(), F.col(payload))).persist()
         try:
             facts = ingest.facts(batch)
             write_partitioned(facts, _batch_path(root, FACT, batch_id), "overwrite")
@@ -175,23 +178,27 @@ def current_minute_stats(spark, root):
     return rollups.minute_stats(read_output(spark, root, MINUTES))
 
 
-def start_live(messages, root, payload="payload", arrival="arrival", trigger=None, history=live.BUFFER_ROWS, context=()):
+def start_live(messages, root, payload="payload", arrival="arrival", trigger=None, history=live.BUFFER_ROWS, context=(),
+               pieces=None):
     """Append every record of every message, stamped with its arrival; quarantine messages without a record.
 
     Each batch also leaves the `history` newest records so far, made from the
     history before it and its own records, so the live view reads a bounded table.
+    pieces deals out a batch as in start_ingest.
     """
     def write_batch(received, batch_id):
         spark = received.sparkSession
-        decoded = decode.decode_lenient(received, payload).persist()
+        decoded = decode.decode_lenient(spread(received, pieces), payload).persist()
         try:
-            shown = decode.explode_records(decoded).select(
+            shown = decode.explode_records(decoded).withColumn("_t", ingest.field_texts(F.col("record"), _SHOWN)).select(
                 F.col(arrival).alias("received_at"),
-                *[ingest.field_text(F.col("record"), c).alias(c) for c in ("id", "year", "month", "carrier", "airport")],
+                *[F.col(f"_t.{c}").alias(c) for c in _SHOWN],
                 F.to_json("record").alias("record"),
                 F.col(payload).alias("raw"),
             )
             shown.write.mode("overwrite").parquet(_batch_path(root, LIVE, batch_id))
+            # The history is picked from what is written, so records become text once.
+            shown = spark.read.schema(shown.schema).parquet(_batch_path(root, LIVE, batch_id))
             decoded.filter(F.size("records") == 0).select(
                 F.col(arrival).alias("received_at"), *context, payload, "reason").write.mode("overwrite").parquet(
                 _batch_path(root, LIVE_QUARANTINE, batch_id))

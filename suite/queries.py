@@ -10,14 +10,14 @@ from rateflow.functions import draws, scalars
 from rateflow.operators import (
     clean, compare, cube, decode, dimensions, ingest, kpi, live, quality, rollups, sampling, scenario, seasonality)
 from rateflow.plans import validation
-from rateflow.session import settle, spread, work_path
+from rateflow.session import pieces_for, settle, spread, work_path
 from rateflow.sources import files, messages, star
 from rateflow.streaming import jobs, states
 
 YEAR = 2000
 MONTHS = [1, 2, 3, 6, 11]
 SEED = 7
-#: Tasks for the events table, whose rows become messages at a cost far above their size.
+#: The least tasks for the events table, whose rows become messages at a cost far above their size.
 PIECES = 8
 
 
@@ -66,8 +66,16 @@ def _events(spark, d):
     return star.event_observations(star.read_events(spark, d))
 
 
+def _pieces(spark, d):
+    return pieces_for(star.read_events(spark, d), PIECES)
+
+
+def _dealt_events(spark, d):
+    return spread(star.read_events(spark, d), _pieces(spark, d))
+
+
 def _messages(spark, d):
-    return star.event_messages(spread(star.read_events(spark, d), PIECES))
+    return star.event_messages(_dealt_events(spark, d))
 
 
 # --- files ---------------------------------------------------------------
@@ -90,7 +98,7 @@ def src_ndjson(spark, d):
 def src_ndjson_all(spark, d):
     """Records with fields beyond the required ones, blank and bad lines among them; all fields are found in one pass."""
     path = work_path(spark, "ndjson")
-    events, n = star.event_observations(spread(star.read_events(spark, d), PIECES)), F.col("event_id")
+    events, n = star.event_observations(_dealt_events(spark, d)), F.col("event_id")
     extra = F.struct(
         "event_id", *S.REQUIRED, F.when(n % 5 == 0, n).alias("sequence_number"),
         F.when(n % 7 == 0, F.struct(n.alias("inner"))).alias("odd name"), F.when(n % 3 == 0, F.col("id")).alias("message_id"))
@@ -125,7 +133,7 @@ def sink_ndjson(spark, d):
 
 
 def encode_messages(spark, d):
-    events = star.event_observations(spread(star.read_events(spark, d), PIECES))
+    events = star.event_observations(_dealt_events(spark, d))
     keyed = events.withColumn("kafka_key", messages.message_key(F.col("arrival")))
     encoded = messages.encode_messages(keyed.drop("event_id", "arrival"))
     decoded = ingest.ingest(encoded, "value")
@@ -474,7 +482,7 @@ def _event_templates(events):
 
 
 def scenario_rows(spark, d):
-    return tidy(scenario.scenario(_event_templates(spread(star.read_events(spark, d), PIECES)), 2, SEED, envelope=False))
+    return tidy(scenario.scenario(_event_templates(_dealt_events(spark, d)), 2, SEED, envelope=False))
 
 
 def apportion(spark, d):
@@ -510,7 +518,7 @@ def _stream_messages(spark, d):
 
 def _run_ingest(spark, d):
     root = work_path(spark, "ingest")
-    jobs.run_to_end(jobs.start_ingest, _stream_messages(spark, d), root, context=["event_id"], pieces=PIECES)
+    jobs.run_to_end(jobs.start_ingest, _stream_messages(spark, d), root, context=["event_id"], pieces=_pieces(spark, d))
     return root
 
 
@@ -530,7 +538,7 @@ def stream_minute_stats(spark, d):
 
 def _run_live(spark, d):
     root = work_path(spark, "live")
-    jobs.run_to_end(jobs.start_live, _stream_messages(spark, d), root, context=["event_id"])
+    jobs.run_to_end(jobs.start_live, _stream_messages(spark, d), root, context=["event_id"], pieces=_pieces(spark, d))
     return root
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from rateflow import schema as S
 from rateflow.operators import decode, ingest, live, rollups
-from rateflow.session import settle, work_path
+from rateflow.session import pieces_for, settle, work_path
 from rateflow.sources import star
 from rateflow.streaming import jobs
 from tests.helpers import same_rows
@@ -135,3 +135,29 @@ def test_history_is_trimmed(spark, sf_dir):
     history = jobs.current_history(spark, root)
     whole = jobs.read_output(spark, root, jobs.LIVE)
     assert history.count() == 40 and same_rows(history, live.latest(whole, "received_at", "record", 40))
+
+
+def test_rows_are_dealt_out_by_their_number(spark, sf_dir):
+    """Tasks grow with the table, and results do not depend on their number."""
+    events = star.read_events(spark, sf_dir)
+    n = events.count()
+    assert pieces_for(events, 8) == 8 and pieces_for(events, 8, 1) == n and pieces_for(events.limit(0), 8) == 8
+    assert pieces_for(events, 1, n - 1) == 2 and pieces_for(events, 1, n) == 1
+
+
+def test_pieces_of_a_batch(spark, sf_dir):
+    """Both jobs deal a batch out to as many tasks as asked, and keep all rows, the payloads of rejects and the history."""
+    one, many = work_path(spark, "test"), work_path(spark, "test")
+    folder = work_path(spark, "messages")
+    messages = star.event_messages(star.read_events(spark, sf_dir)).where("event_id < 300")
+    messages.coalesce(1).write.parquet(folder)
+    stream = spark.readStream.schema(messages.schema).parquet(folder)
+    for root, pieces in ((one, None), (many, 7)):
+        jobs.run_to_end(jobs.start_ingest, stream, f"{root}/i", context=["event_id"], pieces=pieces)
+        jobs.run_to_end(jobs.start_live, stream, f"{root}/l", context=["event_id"], history=40, pieces=pieces)
+    for job, name in (("i", jobs.FACT), ("i", jobs.QUARANTINE), ("l", jobs.LIVE), ("l", jobs.LIVE_QUARANTINE)):
+        a, b = (jobs.read_output(spark, f"{root}/{job}", name) for root in (one, many))
+        assert a.count() > 0 and same_rows(a, b)
+    assert same_rows(jobs.current_history(spark, f"{one}/l"), jobs.current_history(spark, f"{many}/l"))
+    assert jobs.read_output(spark, f"{many}/i", jobs.QUARANTINE).where("payload IS NULL").isEmpty()
+    assert len(jobs.read_output(spark, f"{many}/l", jobs.LIVE).inputFiles()) == 7
