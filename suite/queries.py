@@ -570,7 +570,9 @@ def _replayed(spark, rows, start, root, copies=1, files=3, **kwargs):
 def stream_ingest_unique(spark, d):
     """All messages twice, with a restart between the copies; every id is stored once."""
     root = work_path(spark, "unique")
-    _replayed(spark, _messages(spark, d), jobs.start_ingest, root, copies=2, files=PIECES, unique_within="1 day")
+    messages = settle(_messages(spark, d), "messages")
+    pieces = max(PIECES, _pieces(spark, d) * 2 // PIECES)  # a batch is two of the files
+    _replayed(spark, messages, jobs.start_ingest, root, copies=2, files=PIECES, unique_within="1 day", pieces=pieces)
     return tidy(jobs.read_output(spark, root, jobs.FACT).select(*S.WIRE_COLUMNS))
 
 
