@@ -86,7 +86,7 @@ def by_piece(fn, text="text", limit=PIECE_BYTES, key=None):
     return run
 
 
-def lookup(big, small, key, rows):
+def lookup(big, small, key, rows, share=HOT_SHARE):
     """Left join of `big` with `small`, which holds each key once and, in `rows`, the number of rows of big with it.
 
     Keys with over a thousandth of all rows number under a thousand: those are
@@ -94,7 +94,7 @@ def lookup(big, small, key, rows):
     rows each and are joined by a shuffle. `small` should be a stored table.
     """
     total = small.agg(F.sum(rows)).first()[0] or 0
-    hot = F.col(rows) > total / HOT_SHARE
+    hot = F.col(rows) * share > total
     others = [c for c in small.columns if c not in (key, rows)]
     answer = F.struct(*others)
     few = F.broadcast(small.where(hot).select(key, answer.alias("_hot")))

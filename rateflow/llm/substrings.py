@@ -1,26 +1,31 @@
 """Near-duplicate passages by compact windows: Cartesian trees over min-hashes, interval joins, verified Jaccard.
 
 A text's words are cut at ASCII white space, A-Z lower-cased; its tokens are the hashes of `WIDTH` = 5 consecutive words. For
-each of `FUNCTIONS` hash functions, all token sequences of at least `MIN_WORDS` words with the same smallest token form a
-compact window (l, c, r): the smallest is at c, a sequence starts from l to c and ends from c to r. These are the upper nodes
-of the Cartesian tree over the hashed tokens: the smallest places of all shortest sequences, and for each the next
-smaller ones on both sides. There are about two windows for every MIN_WORDS words.
-
-1. Two Bloom filters over all windows tell which hash values a second document has too; only those windows go on.
-2. Windows with the same function and value meet in a sorted stream, and each is paired with the first text there, not
-   with all others. Values that a large share of texts has are found while the filters are filled; their first text is
-   broadcast, and their windows are paired on the spot.
-3. Pairs of windows of two texts are joined as intervals: windows of at least two functions must have a sequence of
-   MIN_WORDS words in common in both texts. Their surroundings are the candidates.
-4. Candidates are verified token by token. Runs of common tokens, at all places where they occur, are chained along both
-   texts; a chain of at least MIN_WORDS words in both texts with a Jaccard similarity of tokens of 0.8 or more is a passage
-   pair. Of other chains the longest parts count that reach it, and all runs of MIN_WORDS words count.
-
-5. Where a text shares no passage with the first text of its window's key, the windows of that key go on: those of two
-   functions that have a sequence in common make keys of both, and texts meet by these. The first text of such a key is
-   compared with all others, then the first 16, 256, ... of those that are left, until no two are: what drops out shares a
-   passage with a text it met there. So texts that only hold the same short lines are all compared with each other,
-   where two functions chose the same tokens; the number of these pairs grows with the square of such a group.
+a hash function, all token sequences of at least some length with the same smallest token form a compact window (l, c, r):
+the smallest is at c, a sequence starts from l to c and ends from c to r. These are the upper nodes of the Cartesian tree
+over the hashed tokens: the smallest places of all shortest sequences, and for each the next smaller ones on both sides.
+
+Two texts are linked if they share a passage: a chain of common runs of at least MIN_WORDS words in both texts with a
+Jaccard similarity of tokens of 0.8 or more. A place where the texts differ costs 2 x WIDTH - 1 tokens, so among the runs of
+such a chain one has at least `least_run` = 21 tokens. Both texts have the same compact windows of such sequences, by
+every function, so no pair is left to chance:
+
+1. In each text the windows of `KEY_FUNCTIONS` functions are joined as intervals: two that hold a sequence of `least_run`
+   tokens in common make a key of the tokens from one smallest place to the other. Linked texts share a key.
+2. Two Bloom filters over all keys tell which a second document has too; only those go on.
+3. The texts of a key are paired with the first one. Pairs are verified token by token around their keys: runs of common
+   tokens, at all places where they occur, are chained along both texts; of chains that are not similar enough the longest
+   parts count that are, and all runs of MIN_WORDS words count.
+4. A key is done if a passage with its first text covers it in all other texts. In the keys that are left, every text that
+   has none is compared with all others, those that have one included, until they are of one class: texts that are linked,
+   over any number of texts, by passages that cover the key. So two texts of a key are left apart only if each text of one's
+   class was compared with each of the other's. These comparisons run by blocks of texts; their number grows with the square
+   of a group that shares 25 words and no passage, and memory does not.
+
+So two texts that share a passage are always in one component, and the passage's key is covered in both. The links are
+those that were compared, not all pairs of a class. The bound of `least_run` takes the tokens that two texts do not share
+for distinct; a passage of lines that repeat within it but for a word (below 25 words a line, in another order in the other
+text) can have shorter runs only and be missed.
 
 The texts so linked are joined to components. Texts are told apart by a 64-bit hash; equal texts are one text, and are
 linked as such if they have MIN_WORDS words.
@@ -29,30 +34,39 @@ Nulls and odd rows: a null or short text has no passage. Rows that repeat an id
 count as copies. A null id is not chosen as a component's name. Extra columns are not read.
 """
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rateflow.llm import bloom
 from rateflow.llm.common import HOT_SHARE, id_and_text, lookup, pieces, row_and_text, stored
 from rateflow.llm.components import components
 from rateflow.llm.wordhash import mixed, spoken, window_hashes
+from rateflow.session import pieces_for
 
 WIDTH = 5
 MIN_WORDS = 50
 FUNCTIONS = 5
+#: Words of the tokens that make keys, and functions whose windows are joined to a key; more make keys longer and more frequent.
+KEY_WIDTH = 10
+KEY_FUNCTIONS = 2
 SIMILARITY = 0.8
 BITS_PER_KEY = 8
 MAX_BITS = 1 << 28
 SEED = 23
 #: Common tokens further apart than this are not of one passage; edits within a passage are closer.
 GAP = 16
-#: In each further round so many times more texts of a key are compared with all others of the key.
-MORE_LEADERS = 16
+#: Texts of a group that one task compares with as many others.
+MORE_LEADERS = 200
 #: Texts that are verified against one text by the same task.
 PARTNERS = 1000
+#: Tokens on both sides of the keys of two texts that are verified with them, at least.
+MARGIN = 150
+#: Candidates, or rows of blocks, for one task.
+CANDIDATES, BLOCK_ROWS = 2000, 1000
 _REACH = (1 << 17) - 1
 
 
@@ -61,6 +75,16 @@ def _factors():
     return rng.integers(0, 1 << 64, FUNCTIONS, np.uint64) | np.uint64(1)
 
 
+def least_run(width, shortest, similarity=SIMILARITY):
+    """Tokens of the longest common run of a passage, at least, if the passage's tokens are distinct.
+
+    With g places of difference, which cost 2 x width - 1 tokens each, it has g + 1 runs.
+    """
+    two_runs = similarity / (1 + similarity) * 2 * shortest
+    return min(shortest, *(
+        math.ceil(round(max(two_runs, similarity / (1 - similarity) * (2 * width - 1) * g) / (g + 1), 9)) for g in range(1, 9)))
+
+
 def tokens(texts, width=WIDTH):
     """Flat tokens of all texts, and the number of each text's tokens."""
     words, sizes = spoken(texts)
@@ -82,7 +106,7 @@ def _tree(values):
     return np.array(left), np.array(right)
 
 
-def compact_windows(values, sizes, shortest):
+def compact_windows(values, sizes, shortest, functions=FUNCTIONS):
     """(text, function, key, l, c, r) of all compact windows; places count from the start of the text."""
     ends = np.cumsum(sizes)
     long = np.flatnonzero(sizes >= shortest)
@@ -95,7 +119,7 @@ def compact_windows(values, sizes, shortest):
     bits = np.uint64(max(24, len(values).bit_length()))
     number = np.arange(len(values), dtype=np.uint64)
     out = []
-    for f, factor in enumerate(_factors()):
+    for f, factor in enumerate(_factors()[:functions]):
         hashed = values * factor
         ranked = (hashed >> bits << bits) | number
         span, least = 1, ranked
@@ -132,52 +156,44 @@ def _names(texts):
     return np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64).view(np.int64)
 
 
-def _piece_windows(texts, width, shortest):
-    text, function, key, left, centre, right = compact_windows(*tokens(texts, width), shortest)
-    return text, key.view(np.int64), _packed(function, left, centre, right)
-
-
-def _fill(bits, width, shortest):
-    """Filter segments, then, with a null segment, the frequent keys of this task with their first text."""
-    def run(batches):
-        filters, frequent = bloom.Pair(bits), {}
+def _piece_keys(texts, width, run):
+    """(text, key, start, stop) of all keys: places are words from the first smallest token to the end of the last."""
+    values, sizes = tokens(texts, width)
+    text, function, _, left, centre, right = compact_windows(values, sizes, run, KEY_FUNCTIONS)
+    order = np.lexsort((centre, text))
+    text, function, left, centre, right = (x[order] for x in (text, function, left, centre, right))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(values))])
+    before = np.cumsum(sizes) - sizes
+    stop = np.searchsorted((text << 36) + centre, (text << 36) + centre + run, "left")
+    x, d, out = np.arange(len(text)), 1, [(np.zeros(0, np.int64),) * 4]
+    while len(x := x[x + d < stop[x]]):
+        y = x + d
+        low, high = np.maximum(left[x], left[y]), np.minimum(right[x], right[y])
+        both = (function[x] != function[y]) & (low <= centre[x]) & (high >= centre[y]) & (high - low + 1 >= run)
+        u, v = x[both], y[both]
+        at = before[text[u]]
+        inner = sums[at + centre[v] + 1] - sums[at + centre[u]]
+        key = mixed(mixed(inner) + (centre[v] - centre[u] << 3 | function[u]).astype(np.uint64))
+        out.append((text[u], key.view(np.int64), centre[u], centre[v] + width))
+        d += 1
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
+def _fill(bits, width, run):
+    """Filter segments of this task's keys."""
+    def filled(batches):
+        filters = bloom.Pair(bits)
         for piece in pieces(batches):
-            texts = piece.column("text").to_pylist()
-            text, key, window = _piece_windows(texts, width, shortest)
+            text, key, _, _ = _piece_keys(piece.column("text").to_pylist(), width, run)
             pair = np.unique(np.stack([key, text]), axis=1) if len(key) else np.zeros((2, 0), np.int64)
             filters.add(pair[0].view(np.uint64))
-            keys, count = np.unique(pair[0], return_counts=True)
-            often = np.flatnonzero(count * 500 >= len(texts))
-            often = often[count[often] >= 8]
-            if len(often):
-                names = _names(texts)
-                order = np.lexsort((window, names[text], key))
-                first = order[np.searchsorted(key[order], keys[often])]
-                for k, n, name, w in zip(keys[often].tolist(), count[often].tolist(), names[text[first]].tolist(),
-                                         window[first].tolist(), strict=True):
-                    old = frequent.get(k, (0, name, w))
-                    frequent[k] = (old[0] + n, *min(old[1:], (name, w)))
-        for batch in filters.batches():
-            more = [pa.nulls(batch.num_rows, pa.int64())] * 4
-            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=_FILLED)
-        if frequent:
-            rows = [(k, *v) for k, v in frequent.items()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary()), pa.nulls(len(rows), pa.binary()),
-                 *(pa.array(c, pa.int64()) for c in zip(*rows, strict=True))], names=_FILLED)
-    return run
-
-
-_FILLED = ["segment", "once", "twice", "key", "n", "first", "window"]
-_PAIRS = "route bigint, key bigint, text bigint, window bigint, a bigint, a_window bigint"
+        yield from filters.batches()
+    return filled
 
 
-def _deal(shared, width, shortest):
-    """Windows whose key may be in two texts; those with a frequent key come paired with its first text already."""
-    def run(batches):
-        twice, frequent = shared.value
-        names_of_frequent = np.array(sorted(frequent), np.int64)
-        firsts = np.array([frequent[k] for k in names_of_frequent.tolist()], np.int64).reshape(-1, 2)
+def _deal(shared, width, run):
+    """Keys that may be in two texts, with their place."""
+    def dealt(batches):
         seen = set()
         for piece in pieces(batches):
             texts = piece.column("text").to_pylist()
@@ -185,88 +201,11 @@ def _deal(shared, width, shortest):
             new = [i for i, n in enumerate(names.tolist()) if n not in seen and not seen.add(n)]
             if not new:
                 continue
-            text, key, window = _piece_windows([texts[i] for i in new], width, shortest)
-            text = names[new][text]
-            some = bloom.contains(twice, key.view(np.uint64))
-            text, key, window = text[some], key[some], window[some]
-            place = np.minimum(np.searchsorted(names_of_frequent, key), max(len(firsts) - 1, 0))
-            hot = names_of_frequent[place] == key if len(firsts) else np.zeros(len(key), bool)
-            pair = firsts[place] if len(firsts) else np.zeros((len(key), 2), np.int64)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.where(hot, text, key)), pa.array(key), pa.array(text), pa.array(window),
-                pa.array(pair[:, 0], mask=~hot), pa.array(pair[:, 1], mask=~hot)],
-                names=["route", "key", "text", "window", "a", "a_window"])
-    return run
-
-
-def _pair(batches):
-    """Rows come sorted by route, key, text and window: each window is paired with the first text that has its key.
-
-    The first text's own windows are paired with itself.
-    """
-    last = None  # key, first text, its window
-    for batch in batches:
-        key, text, window = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "text", "window"))
-        done = batch.column("a").is_valid().to_numpy(zero_copy_only=False)
-        pairs = [np.zeros((0, 5), np.int64)]
-        if done.any():
-            own = batch.filter(pa.array(done))
-            pairs.append(np.stack([own.column(c).to_numpy() for c in ("key", "a", "text", "a_window", "window")], 1))
-        key, text, window = key[~done], text[~done], window[~done]
-        if len(key):
-            new = np.flatnonzero(np.diff(key, prepend=key[0] - 1 if last is None or last[0] != key[0] else key[0]))
-            begin = np.concatenate([[0], new[new > 0]]) if len(key) else new
-            first = np.repeat(begin, np.diff(np.append(begin, len(key))))
-            a, a_window = text[first].copy(), window[first].copy()
-            if last is not None and last[0] == key[0]:
-                head = first == 0
-                a[head], a_window[head] = last[1], last[2]
-            last = (key[-1], a[-1], a_window[-1])
-            pairs.append(np.stack([key, a, text, a_window, window], 1))
-        rows = np.concatenate(pairs)
-        yield pa.RecordBatch.from_arrays([pa.array(rows[:, i]) for i in range(5)], names=["key", "a", "b", "a_window", "b_window"])
-
-
-def _double_keys(shortest):
-    """Rows come sorted by text: keys of two functions whose windows have a sequence of `shortest` tokens in common.
-
-    `open` has bit 1 if the first function's window is open, and bit 2 if the second's is.
-    """
-    def found(rows):
-        rows = rows[:, np.lexsort((_unpacked(rows[2])[2], rows[1]))]
-        key, text, window, open_ = rows
-        f, left, centre, right = _unpacked(window)
-        group = np.cumsum(np.diff(text, prepend=text[:1]) != 0) << 36
-        stop = np.searchsorted(group + centre, group + right, "right")
-        x, d, out = np.arange(len(key)), 1, [np.zeros((5, 0), np.int64)]
-        while len(x := x[x + d < stop[x]]):
-            y = x + d
-            low, high = np.maximum(left[x], left[y]), np.minimum(right[x], right[y])
-            both = (f[x] != f[y]) & (low <= centre[x]) & (high >= centre[y]) & (high - low + 1 >= shortest)
-            u, v = np.where(f[x] < f[y], x, y)[both], np.where(f[x] < f[y], y, x)[both]
-            double = mixed(mixed(key[u].view(np.uint64)) + key[v].view(np.uint64)).view(np.int64)
-            out.append(np.stack([double, text[u], np.minimum(left[u], left[v]), np.maximum(right[u], right[v]),
-                                 open_[u] | open_[v] << 1]))
-            d += 1
-        return np.concatenate(out, 1)
-
-    def run(batches):
-        held = None
-        for batch in batches:
-            rows = np.stack([batch.column(c).to_numpy() for c in ("key", "text", "window", "open")])
-            rows = rows if held is None else np.concatenate([held, rows], 1)
-            if not rows.shape[1]:
-                continue
-            same = rows[1] == rows[1, -1]
-            cut = rows.shape[1] - int(same[::-1].argmin()) if not same.all() else 0
-            held = rows[:, cut:]
-            yield columns(found(rows[:, :cut]))
-        if held is not None:
-            yield columns(found(held))
-
-    def columns(rows):
-        return pa.RecordBatch.from_arrays([pa.array(r) for r in rows], names=["key", "text", "start", "stop", "open"])
-    return run
+            text, key, start, stop = _piece_keys([texts[i] for i in new], width, run)
+            some = bloom.contains(shared.value, key.view(np.uint64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c[some]) for c in (key, names[new][text], start, stop)], names=["key", "text", "start", "stop"])
+    return dealt
 
 
 def _interval_join(shortest):
@@ -319,21 +258,32 @@ def _columns(rows):
     return pa.RecordBatch.from_arrays([pa.array(rows[:, i]) for i in range(4)], names=["a", "b", "start", "stop"])
 
 
-def _tokens_of(width):
-    """Whole texts, or parts of them, as 32-bit tokens: part 0 is a text that others are compared with."""
+def _tokens_of(asked, width):
+    """Whole texts as 32-bit tokens, of those whose name the filter holds."""
     def run(batches):
+        seen = set()
         for piece in pieces(batches):
-            values, sizes = tokens(piece.column("text").to_pylist(), width)
-            start, stop = (piece.column(c).to_numpy() for c in ("start", "stop"))
-            ends = np.cumsum(sizes)
-            parts = [(values[e - n:e][i:j + 1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                     for e, n, i, j in zip(ends, sizes, start, stop, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [piece.column(c) for c in ("a", "salt", "b", "start")] + [pa.array(parts, pa.list_(pa.int32()))],
-                names=["a", "salt", "b", "start", "tokens"])
+            texts = piece.column("text").to_pylist()
+            names = _names(texts)
+            keep = np.flatnonzero(bloom.contains(asked.value, names.view(np.uint64)))
+            keep = [i for i in keep.tolist() if names[i] not in seen and not seen.add(names[i])]
+            if keep:
+                values, sizes = tokens([texts[i] for i in keep], width)
+                values = (values >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names[keep]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["text", "tokens"])
     return run
 
 
+def _lists(batch, name):
+    """The arrays of a list column."""
+    lists = batch.column(name)
+    flat, offsets = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+    offsets = (offsets - offsets[0]).tolist()
+    return [flat[x:y] for x, y in zip(offsets, offsets[1:], strict=False)]
+
+
 def _dense(common, b, shortest, similarity):
     """The common places of b in stretches that can hold a passage.
 
@@ -433,6 +383,8 @@ def passages(a, b, shortest, similarity=SIMILARITY):
         place = int(i0), int(i1 + n), int(j0), int(j1 + n)
         if min(place[1] - place[0], place[3] - place[2]) < shortest:
             return None
+        if len(path) == 1:
+            return place
         s, t = np.unique(a[place[0]:place[1]]), np.unique(b[place[2]:place[3]])
         common = len(np.intersect1d(s, t, assume_unique=True))
         return place if common >= similarity * (len(s) + len(t) - common) else False
@@ -462,37 +414,141 @@ def passages(a, b, shortest, similarity=SIMILARITY):
                     x, y = (1, len(part)) if part[0][2] <= part[-1][2] else (0, len(part) - 1)
                 open_parts += [p for p in (part[:x], part[x:y], part[y:]) if len(p)]
     # what lies within another passage on both sides adds nothing
-    kept = []
-    for p in sorted(found, key=lambda p: (p[0] - p[1], p)):
-        if not any(q[0] <= p[0] and p[1] <= q[1] and q[2] <= p[2] and p[3] <= q[3] for q in kept):
-            kept.append(p)
-    return sorted(kept, key=lambda p: p[2])
+    ranked = np.array(sorted(found, key=lambda p: (p[0] - p[1], p)), np.int64).reshape(-1, 4)
+    outer = np.ones(len(ranked), bool)
+    for n, (i0, i1, j0, j1) in enumerate(ranked[1:].tolist(), 1):
+        q = ranked[:n]
+        outer[n] = not ((q[:, 0] <= i0) & (i1 <= q[:, 1]) & (q[:, 2] <= j0) & (j1 <= q[:, 3])).any()
+    return sorted(map(tuple, ranked[outer].tolist()), key=lambda p: p[2])
 
 
 def _verify(width, shortest):
-    """Rows come sorted by a, salt and b, the text a itself (null b) first."""
+    """Rows come sorted by a, salt and b, the text a itself (null b) first; a row names the part of a that it is compared with."""
     def run(batches):
-        at, own = None, None
+        at, own, first = None, None, 0
         for batch in batches:
             out = []
-            names = zip(*(batch.column(c).to_pylist() for c in ("a", "salt", "b", "start")), strict=True)
-            lists = batch.column("tokens")
-            flat, offsets = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-            offsets = offsets - offsets[0]
-            for n, (a, salt, b, start) in enumerate(names):
-                part = flat[offsets[n]:offsets[n + 1]]
+            names = zip(*(batch.column(c).to_pylist() for c in ("a", "salt", "b", "start", "a_from", "a_to")), strict=True)
+            for (a, salt, b, start, a_from, a_to), part in zip(names, _lists(batch, "tokens"), strict=True):
                 if b is None:
-                    at, own = (a, salt), part.copy()
+                    at, own, first = (a, salt), part.copy(), start
                 elif at == (a, salt):
-                    out += [(a, b, i0, i1 + width - 1, start + j0, start + j1 + width - 1)
-                            for i0, i1, j0, j1 in passages(own, part, shortest)]
+                    low = max(a_from - first, 0)
+                    out += [(a, b, *x) for x in _placed(own[low:max(a_to - first, 0)], part, first + low, start, width, shortest)]
             if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in zip(*out, strict=True)],
-                    names=["a", "b", "a_start", "a_stop", "b_start", "b_stop"])
+                yield _passages(out)
     return run
 
 
+def _placed(a, b, a_at, b_at, width, shortest):
+    """The passages of parts of two texts, in words of the whole texts."""
+    return [(a_at + i0, a_at + i1 + width - 1, b_at + j0, b_at + j1 + width - 1) for i0, i1, j0, j1 in passages(a, b, shortest)]
+
+
+_FOUND = "a bigint, b bigint, a_start bigint, a_stop bigint, b_start bigint, b_stop bigint"
+
+
+def _passages(rows):
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["a", "b", "a_start", "a_stop", "b_start", "b_stop"])
+
+
+def _compare(block, width, shortest, run):
+    """Passages between the texts of one block of a group: (side, text, start, tokens, places of keys).
+
+    Two texts of a key are compared if they are of two components, or a passage covers the key not yet in one of them; those
+    of one side are left to another block if there are two.
+    """
+    parts, keys, known, spans, up = {}, {}, {}, {}, {}
+    sides = {x[0] for x in block}
+    for side, text, start, part, places in block:
+        parts[text] = side, start, part
+        for key, *place in places:
+            keys.setdefault(key, []).append((text, *place))
+
+    def find(x):
+        while up.setdefault(x, x) != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    def covered(member):
+        text, low, high, _, done, *_ = member
+        return done or any(x <= low and high <= y for x, y in spans.get(text, ()))
+
+    def may_hold(x, y):
+        """False if the common run at the key, which is at one place in both texts, is too short for a passage's longest."""
+        if not (x[6] and y[6]):
+            return True
+        _, x_at, a = parts[x[0]]
+        _, y_at, b = parts[y[0]]
+        i, j = x[1] - x_at, y[1] - y_at
+        back, size = min(i, j, run), x[2] - x[1] - width + 1
+        left = a[i - back:i] == b[j - back:j]
+        ahead = min(len(a) - i, len(b) - j, size + run)
+        right = a[i:i + ahead] == b[j:j + ahead]
+        return _leading(left[::-1]) + _leading(right) >= run
+
+    def compare(x, y):
+        a, b = sorted((x[0], y[0]))
+        if (a, b) not in known and may_hold(x, y):
+            known[a, b] = found = _placed(parts[a][2], parts[b][2], parts[a][1], parts[b][1], width, shortest)
+            if found:
+                up[find(x[5])] = find(y[5])
+                spans.setdefault(a, set()).update(p[:2] for p in found)
+                spans.setdefault(b, set()).update(p[2:] for p in found)
+
+    for members in keys.values():
+        earlier = [m for m in members if m[3]]
+        for y in members:
+            if not y[3]:
+                for x in earlier:
+                    if (len(sides) == 1 or parts[x[0]][0] != parts[y[0]][0]) and not (
+                            find(x[5]) == find(y[5]) and covered(x) and covered(y)):
+                        compare(x, y)
+                earlier.append(y)
+    return [(a, b, *p) for (a, b), found in known.items() for p in found]
+
+
+def _leading(equal):
+    """How many of the first values are true."""
+    return len(equal) if equal.all() else int(equal.argmin())
+
+
+#: What a block knows of a text's place of a key.
+_PLACE = ["key", "start", "stop", "linked", "covered", "component", "single"]
+
+
+def _blocks(width, shortest, run):
+    """Rows come sorted by a, kind, i, j: those of one block are compared together."""
+    def compared(batches):
+        at, block = None, []
+        for batch in batches:
+            out = []
+            names = zip(*(batch.column(c).to_pylist() for c in ("a", "kind", "i", "j", "side", "text", "start")), strict=True)
+            places = zip(*(_lists(batch, f"place_{c}") for c in _PLACE), strict=True)
+            for (*task, side, text, start), part, place in zip(names, _lists(batch, "tokens"), places, strict=True):
+                if task != at:
+                    out += _compare(block, width, shortest, run)
+                    at, block = task, []
+                block.append((side, text, start, part.copy(), list(zip(*(c.tolist() for c in place), strict=True))))
+            if out:
+                yield _passages(out)
+        if out := _compare(block, width, shortest, run):
+            yield _passages(out)
+    return compared
+
+
+def _cut(batches):
+    """Tokens from `start` to `stop` of the whole lists."""
+    for batch in batches:
+        start, stop = (batch.column(c).to_numpy() for c in ("start", "stop"))
+        lists = [x[i:j] for x, i, j in zip(_lists(batch, "tokens"), start, stop, strict=True)]
+        offsets = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+        cut = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int32), pa.int32()))
+        columns = [cut if c == "tokens" else batch.column(c) for c in batch.schema.names]
+        yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+
 def _merge_spans(batches):
     """Rows come sorted by text and start: overlapping and touching spans become one."""
     held = None
@@ -519,114 +575,123 @@ def _spans(rows):
 def passage_pairs(docs, text_col="text", width=WIDTH, min_words=MIN_WORDS):
     """A stored table (a, b, a_start, a_stop, b_start, b_stop) of passages that two texts share, in words, ends exclusive.
 
-    a and b name texts by their hash. All texts with a passage are linked, each with the first ones, not with all others.
+    a and b name texts by their hash. All texts with a passage are linked, over other texts or directly.
     """
     spark = docs.sparkSession
     shortest = min_words - width + 1
+    run = least_run(width, shortest)
+    key_width = min(KEY_WIDTH, run + width - 1)
+    key_run = run + width - key_width
     texts = row_and_text(docs, text_col).select("text")
-    n_texts, n_bytes = texts.agg(F.count("*"), F.sum(F.length("text"))).first()
-    bits = bloom.size_for((n_bytes or 0) // 6 * 2 * FUNCTIONS // min_words, BITS_PER_KEY, MAX_BITS)
-    filled = stored(texts.mapInArrow(
-        _fill(bits, width, shortest), bloom.PARTIAL + ", key bigint, n bigint, first bigint, window bigint"), "passage-filters")
-    twice = bloom.twice_filter(filled.where("segment IS NOT NULL").select("segment", "once", "twice"), bits)
-    frequent = filled.where("key IS NOT NULL").groupBy("key").agg(
-        F.sum("n").alias("n"), F.min(F.struct("first", "window")).alias("at")).where(F.col("n") * HOT_SHARE > n_texts)
-    frequent = {r[0]: (r[1], r[2]) for r in frequent.select("key", "at.first", "at.window").collect()}
-    shared = spark.sparkContext.broadcast((twice, frequent))
-    dealt = texts.mapInArrow(_deal(shared, width, shortest), _PAIRS)
-    dealt = dealt.repartition("route").sortWithinPartitions("route", "key", "text", "window")
-    paired = stored(dealt.mapInArrow(_pair, "key bigint, a bigint, b bigint, a_window bigint, b_window bigint"), "passage-windows")
-    near = paired.where("a <> b").select("a", "b", "a_window", "b_window").repartition("a", "b").sortWithinPartitions("a", "b")
-    near = stored(near.mapInArrow(_interval_join(shortest), "a bigint, b bigint, start bigint, stop bigint"), "passage-pairs")
-    found = _verified(texts, near, width, shortest)
-    members = _open_members(paired, found, shortest)
-    leaders = 1
-    while not members.isEmpty():
-        pairs, near = _led(members, leaders)
-        more = _verified(texts, near, width, shortest)
-        found = found.unionByName(more)
-        members = _left_over(members, pairs, more)
-        leaders *= MORE_LEADERS
-    return found
-
-
-def _open_members(paired, found, shortest):
-    """A stored table (key, text, start, stop): texts by keys of two functions, where not all are linked to one first text.
-
-    A window is open if no passage that its text shares with the key's first text covers it. Keys without an open window
-    are done; of the others all windows go on, also those of the first text.
+    n_bytes = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    bits = bloom.size_for(n_bytes // 6 * 2 * KEY_FUNCTIONS // key_run, BITS_PER_KEY, MAX_BITS)
+    filled = stored(texts.mapInArrow(_fill(bits, key_width, key_run), bloom.PARTIAL), "passage-filters")
+    shared = spark.sparkContext.broadcast(bloom.twice_filter(filled, bits))
+    dealt = texts.mapInArrow(_deal(shared, key_width, key_run), "key bigint, text bigint, start bigint, stop bigint")
+    members = stored(dealt.groupBy("key", "text").agg(F.min("start").alias("start"), F.max("stop").alias("stop"),
+                                                   (F.min("start") == F.max("start")).cast("bigint").alias("single")), "passage-keys")
+    first = members.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("text", "start", "stop")).alias("a"))
+    first = stored(first.where("n > 1").select(
+        "key", "n", F.col("a.text").alias("a"), F.col("a.start").alias("a_start"), F.col("a.stop").alias("a_stop")), "passage-first")
+    members = stored(lookup(members, first, "key", "n", HOT_SHARE).where("a IS NOT NULL"), "passage-members")
+    names = members.select("text").distinct()
+    asked = spark.sparkContext.broadcast(_name_filter(names))
+    lists = stored(texts.mapInArrow(_tokens_of(asked, width), "text bigint, tokens array<int>").dropDuplicates(["text"]), "passage-tokens")
+    near = stored(members.where("a <> text").groupBy("a", F.col("text").alias("b")).agg(
+        *(f(c).alias(n) for f, c, n in ((F.min, "a_start", "a_from"), (F.max, "a_stop", "a_to"),
+                                        (F.min, "start", "start"), (F.max, "stop", "stop")))), "passage-pairs")
+    found = _verified(lists, near, width, shortest)
+    left = _left_over(members, found)
+    return found if left.isEmpty() else found.unionByName(_compared(lists, left, width, shortest, run))
+
+
+def _widened(start, stop):
+    """The tokens around keys that a passage with them can reach: beyond its last long run similarity falls faster than it rose."""
+    reach = MARGIN + 3 * (F.col(stop) - F.col(start))
+    return F.greatest(F.col(start) - reach, F.lit(0)).alias(start), (F.col(stop) + reach).alias(stop)
+
+
+def _left_over(members, found):
+    """Members of the keys whose texts are not yet of one component, or hold the key where no passage is found.
+
+    A member is linked if it is of the component of the key's first text and a passage covers the key, at all its places.
+    """
+    named = components(found.select("a", "b")).withColumnRenamed("node", "text")
+    spans = _merged(_sides(found)).groupBy("text").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    texts = stored(spans.join(named, "text"), "passage-linked")
+    first = texts.select(F.col("text").alias("a"), F.col("component").alias("a_component"))
+    covered = F.exists("spans", lambda p: (p["start"] <= F.col("m.start")) & (F.col("m.stop") <= p["stop"]))
+    marked = members.alias("m").join(texts, "text", "left").join(first, "a", "left").select(
+        "key", "a", "text", F.col("m.start").alias("start"), F.col("m.stop").alias("stop"), "single",
+        F.coalesce(covered, F.lit(False)).cast("bigint").alias("covered"), F.coalesce("component", "text").alias("component"),
+        F.coalesce("a_component", "a").alias("a_component"))
+    marked = stored(marked.withColumn("linked", F.when(F.col("component") == F.col("a_component"), F.col("covered")).otherwise(0)
+                                      .cast("bigint")).drop("a_component"), "passage-marked")
+    done = stored(marked.groupBy("key").agg(F.count("*").alias("n"), F.min("linked").alias("done")), "passage-done")
+    return stored(lookup(marked, done, "key", "n", HOT_SHARE).where("done = 0").select(*marked.columns), "passage-open")
+
+
+def _sides(found):
+    """(text, other, start, stop): each passage from both sides."""
+    sides = found.select(F.col("a").alias("text"), F.col("b").alias("other"), F.col("a_start").alias("start"), F.col("a_stop").alias("stop"))
+    return sides.unionByName(found.select(
+        F.col("b").alias("text"), F.col("a").alias("other"), F.col("b_start").alias("start"), F.col("b_stop").alias("stop")))
+
+
+def _merged(sides):
+    merged = sides.select("text", "start", "stop").distinct().repartition("text").sortWithinPartitions("text", "start")
+    return merged.mapInArrow(_merge_spans, "text bigint, start bigint, stop bigint")
+
+
+def _compared(lists, members, width, shortest, run):
+    """A stored table of the passages between the members that are not linked to a key's first text and all others.
+
+    The keys of one first text go together. Its texts are dealt to chunks, and every chunk of texts that are not linked
+    somewhere meets every chunk; two chunks of linked texts do not.
     """
-    spans = found.groupBy("a", "b").agg(F.collect_list(F.struct("b_start", "b_stop")).alias("spans"))
-    centre = F.shiftright("b_window", 37)
-    covered = F.exists("spans", lambda p: (p["b_start"] <= centre) & (centre < p["b_stop"]))
-    is_open = (F.col("a") != F.col("b")) & ~F.coalesce(covered, F.lit(False))
-    windows = stored(paired.join(spans, ["a", "b"], "left").select(
-        "key", F.col("b").alias("text"), F.col("b_window").alias("window"), is_open.cast("bigint").alias("open")), "passage-open")
-    keys = stored(windows.groupBy("key").agg(F.count("*").alias("n"), F.max("open").alias("any")).where("any = 1"), "passage-keys")
-    windows = lookup(windows, keys, "key", "n").where("any = 1").select("key", "text", "window", "open")
-    double = windows.repartition("text").sortWithinPartitions("text").mapInArrow(
-        _double_keys(shortest), "key bigint, text bigint, start bigint, stop bigint, open bigint")
-    members = stored(double.groupBy("key", "text").agg(
-        F.min("start").alias("start"), F.max("stop").alias("stop"), F.bit_or("open").alias("open")), "passage-members")
-    return _shared(members, F.bit_or("open") == 3)
-
-
-def _shared(members, wanted):
-    """The members of the keys that two texts have and for which the aggregate `wanted` is true, as a stored table."""
-    sizes = stored(members.groupBy("key").agg(F.count("*").alias("n"), wanted.alias("wanted")).where("n > 1 AND wanted")
-                   .select("key", "n", "wanted"), "passage-sizes")
-    return stored(lookup(members, sizes, "key", "n").where("wanted").select("key", "text", "start", "stop"), "passage-members")
-
-
-def _led(members, leaders):
-    """Pairs (key, a, b, start, stop) of the first texts of each key with all later ones, and the candidates of them."""
-    first = stored(members.select("key", F.col("text").alias("a")).withColumn("n", F.row_number().over(
-        Window.partitionBy("key").orderBy("a"))).where(F.col("n") <= leaders).select("key", "a"), "passage-leaders")
-    pairs = stored(members.withColumnRenamed("text", "b").join(first, "key").where("a < b").select(
-        "key", "a", "b", "start", "stop"), "passage-led")
-    return pairs, stored(pairs.groupBy("a", "b").agg(F.min("start").alias("start"), F.max("stop").alias("stop")), "passage-pairs")
-
-
-def _left_over(members, pairs, found):
-    """Members that neither led nor share a passage with a leader at their place; every pair of these is still to be compared."""
-    spans = found.select("a", "b", "b_start", "b_stop")
-    linked = pairs.join(spans, ["a", "b"]).where("b_start <= stop AND start < b_stop").select("key", F.col("b").alias("text"))
-    led = pairs.select("key", F.col("a").alias("text"))
-    return _shared(members.join(linked.unionByName(led).distinct(), ["key", "text"], "left_anti"), F.lit(True))
-
-
-def _verified(texts, near, width, shortest):
-    """A stored table of the passages of candidates (a, b, start, stop)."""
-    spark = texts.sparkSession
-    salts = near.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("salts"))
+    rows = stored(members.groupBy("a", "text").agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("linked").alias("whole"),
+        F.collect_list(F.struct(*_PLACE)).alias("places")), "passage-places")
+    chunks = rows.groupBy("a").agg(*(F.ceil(F.sum(n) / MORE_LEADERS).cast("int").alias(c) for n, c in (
+        (1 - F.col("whole"), "open_chunks"), (F.col("whole"), "linked_chunks"))))
+    upto = lambda c: F.when(F.col(c) > 0, F.sequence(F.lit(0), F.col(c) - 1)).otherwise(F.array().cast("array<int>"))
+    own = F.pmod(F.xxhash64("text"), F.when(F.col("whole") == 1, F.col("linked_chunks")).otherwise(F.col("open_chunks"))).cast("int")
+    task = lambda kind, i, j, side: F.struct(
+        F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), side.cast("int").alias("side"))
+    among = F.transform(upto("open_chunks"), lambda c: task(
+        0, F.least(c, F.col("own")), F.greatest(c, F.col("own")), F.col("own") > c))
+    outward = F.transform(upto("linked_chunks"), lambda c: task(1, F.col("own"), c, F.lit(0)))
+    inward = F.transform(upto("open_chunks"), lambda c: task(1, c, F.col("own"), F.lit(1)))
+    tasks = F.when(F.col("whole") == 1, inward).otherwise(F.concat(among, outward))
+    dealt = rows.join(chunks, "a").withColumn("own", own).select("a", "text", "start", "stop", "places", F.explode(tasks).alias("task"))
+    dealt = stored(dealt.select("a", "task.*", "text", *_widened("start", "stop"), *(
+        F.col(f"places.{c}").alias(f"place_{c}") for c in _PLACE)), "passage-blocks")
+    ready = dealt.join(lists, "text")
+    ready = ready.mapInArrow(_cut, ready.schema).repartition(
+        pieces_for(dealt, _tasks(lists), BLOCK_ROWS), "a", "kind", "i", "j").sortWithinPartitions("a", "kind", "i", "j", "side", "text")
+    return stored(ready.mapInArrow(_blocks(width, shortest, run), _FOUND).distinct(), "passages")
+
+
+def _tasks(df):
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _verified(lists, near, width, shortest):
+    """A stored table of the passages of candidates (a, b, a_from, a_to, start, stop), given by the places of their keys."""
+    near = near.select("a", "b", *_widened("a_from", "a_to"), *_widened("start", "stop"))
+    salts = near.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("salts"),
+                                  F.min("a_from").alias("least"), F.max("a_to").alias("most"))
+    none = F.lit(None).cast("bigint")
     parts = near.join(salts, "a").select(
-        "a", F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"), "b", F.col("b").alias("text_name"), "start", "stop")
+        "a", F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"), "b", F.col("b").alias("text"), "start", "stop", "a_from", "a_to")
     wholes = salts.select(
-        "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("bigint").alias("b"),
-        F.col("a").alias("text_name"), F.lit(0).cast("bigint").alias("start"), F.lit(2**40).alias("stop"))
+        "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), none.alias("b"), F.col("a").alias("text"),
+        F.col("least").alias("start"), F.col("most").alias("stop"), none.alias("a_from"), none.alias("a_to"))
     wanted = stored(parts.unionByName(wholes), "passage-parts")
-    names = wanted.select("text_name").distinct()
-    asked = spark.sparkContext.broadcast(_name_filter(names))
-
-    def chosen(batches):
-        seen = set()
-        for piece in pieces(batches):
-            texts = piece.column("text").to_pylist()
-            found = _names(texts)
-            keep = np.flatnonzero(bloom.contains(asked.value, found.view(np.uint64)))
-            keep = [i for i in keep.tolist() if found[i] not in seen and not seen.add(found[i])]
-            if keep:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found[keep]), piece.column("text").take(pa.array(keep))], names=["text_name", "text"])
-
-    involved = texts.mapInArrow(chosen, "text_name bigint, text binary")
-    # a text may come from several tasks; the repeats only verify the same passages again
-    ready = wanted.join(involved, "text_name").select("a", "salt", "b", "start", "stop", "text").mapInArrow(
-        _tokens_of(width), "a bigint, salt int, b bigint, start bigint, tokens array<int>")
-    ready = ready.repartition("a", "salt").sortWithinPartitions("a", "salt", F.asc_nulls_first("b"))
-    return stored(ready.mapInArrow(
-        _verify(width, shortest), "a bigint, b bigint, a_start bigint, a_stop bigint, b_start bigint, b_stop bigint"
-    ).distinct(), "passages")
+    ready = wanted.join(lists, "text")
+    ready = ready.mapInArrow(_cut, ready.schema).repartition(
+        pieces_for(wanted, _tasks(lists), CANDIDATES), "a", "salt").sortWithinPartitions("a", "salt", F.asc_nulls_first("b"))
+    return stored(ready.mapInArrow(_verify(width, shortest), _FOUND).distinct(), "passages")
 
 
 def _name_filter(names):
@@ -659,11 +724,8 @@ def near_duplicate_passages(docs, id_col="doc_id", text_col="text", width=WIDTH,
     ids = stored(rows.mapInArrow(named, rows.select(
         "doc_id", F.lit(0).cast("bigint").alias("text"), F.lit(0).cast("bigint").alias("n_words")).schema), "text-names")
     found = passage_pairs(docs, text_col, width, min_words)
-    sides = found.select(F.col("a").alias("text"), F.col("b").alias("other"), F.col("a_start").alias("start"), F.col("a_stop").alias("stop"))
-    sides = sides.unionByName(found.select(
-        F.col("b").alias("text"), F.col("a").alias("other"), F.col("b_start").alias("start"), F.col("b_stop").alias("stop")))
-    merged = sides.select("text", "start", "stop").distinct().repartition("text").sortWithinPartitions("text", "start")
-    merged = merged.mapInArrow(_merge_spans, "text bigint, start bigint, stop bigint")
+    sides = _sides(found)
+    merged = _merged(sides)
     linked = sides.groupBy("text").agg(F.count_distinct("other").alias("n_links"))
     spans = merged.groupBy("text").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"))
     named_components = components(found.select("a", "b")).withColumnRenamed("node", "text")

@@ -205,6 +205,33 @@ def test_passages_behind_the_first_text_of_a_key(spark, monkeypatch):
     assert {i: (r.component_id, r.spans) for i, r in again.items()} == {i: (r.component_id, r.spans) for i, r in got.items()}
 
 
+def test_texts_like_a_linked_text_but_not_like_the_first(spark, monkeypatch):
+    """Versions of a passage, each near the one before: all that share a passage are in one component, over any of them."""
+    rng = random.Random(3)
+    rows = []
+    for family in range(40):
+        version = [f"w{family}x{rng.randrange(9999)}" for _ in range(75)]
+        for n in range(4):
+            rows.append((10 * family + n, " ".join([f"t{rng.randrange(10**6)}" for _ in range(30)] + version)))
+            version = version.copy()
+            for at in rng.sample(range(75), 2):
+                version[at] = f"e{rng.randrange(10**6)}"
+    groups = brute.Groups([i for i, _ in rows])
+    for family in range(40):
+        own = rows[4 * family:4 * family + 4]
+        parts = [(substrings.tokens([t.encode()])[0] >> np.uint64(32)).astype(np.int64) for _, t in own]
+        for x in range(4):
+            for y in range(x):
+                if substrings.passages(parts[x], parts[y], 46):
+                    groups.join(own[x][0], own[y][0])
+    linked = [i for i, _ in rows if sum(groups.find(i) == groups.find(j) for j, _ in rows) > 1]
+    docs = brute.frame(spark, [(*r, "en") for r in rows])
+    wanted = {i: groups.find(i) for i in linked}
+    assert {r.doc_id: r.component_id for r in substrings.near_duplicate_passages(docs).collect()} == wanted
+    monkeypatch.setattr(substrings, "MORE_LEADERS", 2)
+    assert {r.doc_id: r.component_id for r in substrings.near_duplicate_passages(docs).collect()} == wanted
+
+
 def test_repeated_and_scattered_passages_are_verified():
     rng = np.random.default_rng(12)
     token = lambda n: rng.integers(0, 1 << 30, n).astype(np.int32)
