@@ -335,7 +335,7 @@ def _joined(i, j, length):
 
 
 def _paths(i, j, length):
-    """Chains of runs with steps of at most GAP along both texts; each run follows the one that shifts it least."""
+    """Chains of several runs with steps of at most GAP along both texts; each run follows the one that shifts it least."""
     order = np.lexsort((i, j))
     i, j, length = (x[order].tolist() for x in (i, j, length))
     ending, before, last = {}, [-1] * len(i), [True] * len(i)
@@ -352,6 +352,8 @@ def _paths(i, j, length):
         own = ending.setdefault(i[n] + length[n], [])
         own[:] = [m for m in own if j[n] - j[m] - length[m] < GAP] + [n]
     for n in np.flatnonzero(last).tolist():
+        if before[n] < 0:  # a run by itself
+            continue
         path = []
         while n >= 0:
             path.append((i[n], j[n], length[n]))
@@ -457,9 +459,10 @@ def _compare(block, width, shortest, run):
     """Passages between the texts of one block of a group: (side, text, start, tokens, places of keys).
 
     Two texts of a key are compared if they are of two components, or a passage covers the key not yet in one of them; those
-    of one side are left to another block if there are two.
+    of one side are left to another block if there are two. They are compared around the key: a chain that is similar enough
+    has a part that is, holds a key of its own and is shorter than MARGIN, so a passage shows at one of the keys.
     """
-    parts, keys, known, spans, up = {}, {}, {}, {}, {}
+    parts, keys, known, spans, up, out = {}, {}, {}, {}, {}, set()
     sides = {x[0] for x in block}
     for side, text, start, part, places in block:
         parts[text] = side, start, part
@@ -472,12 +475,13 @@ def _compare(block, width, shortest, run):
         return x
 
     def covered(member):
-        text, low, high, _, done, *_ = member
-        return done or any(x <= low and high <= y for x, y in spans.get(text, ()))
+        text, low, high, _, done, _, size = member
+        own = spans.get(text, ())
+        return done or any(x <= low and low + size <= y for x, y in own) and any(x <= high - size and high <= y for x, y in own)
 
     def may_hold(x, y):
         """False if the common run at the key, which is at one place in both texts, is too short for a passage's longest."""
-        if not (x[6] and y[6]):
+        if x[2] - x[1] != x[6] or y[2] - y[1] != y[6]:
             return True
         _, x_at, a = parts[x[0]]
         _, y_at, b = parts[y[0]]
@@ -489,13 +493,22 @@ def _compare(block, width, shortest, run):
         return _leading(left[::-1]) + _leading(right) >= run
 
     def compare(x, y):
-        a, b = sorted((x[0], y[0]))
-        if (a, b) not in known and may_hold(x, y):
-            known[a, b] = found = _placed(parts[a][2], parts[b][2], parts[a][1], parts[b][1], width, shortest)
-            if found:
-                up[find(x[5])] = find(y[5])
-                spans.setdefault(a, set()).update(p[:2] for p in found)
-                spans.setdefault(b, set()).update(p[2:] for p in found)
+        x, y = (x, y) if x[0] < y[0] else (y, x)
+        seen = known.setdefault((x[0], y[0]), [])
+        if any(i <= x[1] and x[2] <= j and k <= y[1] and y[2] <= m for i, j, k, m in seen) or not may_hold(x, y):
+            return
+        (_, x_at, a), (_, y_at, b) = parts[x[0]], parts[y[0]]
+        i, k = max(x[1] - x_at - MARGIN, 0), max(y[1] - y_at - MARGIN, 0)
+        a, b = a[i:x[2] - x_at + MARGIN], b[k:y[2] - y_at + MARGIN]
+        # keys so close to this one have nearly the same surroundings
+        near = MARGIN - 2 * shortest - GAP
+        seen.append((x[1] - near, x[2] + near, y[1] - near, y[2] + near))
+        found = _placed(a, b, x_at + i, y_at + k, width, shortest)
+        if found:
+            up[find(x[5])] = find(y[5])
+            spans.setdefault(x[0], set()).update(p[:2] for p in found)
+            spans.setdefault(y[0], set()).update(p[2:] for p in found)
+            out.update((x[0], y[0], *p) for p in found)
 
     for members in keys.values():
         earlier = [m for m in members if m[3]]
@@ -506,7 +519,7 @@ def _compare(block, width, shortest, run):
                             find(x[5]) == find(y[5]) and covered(x) and covered(y)):
                         compare(x, y)
                 earlier.append(y)
-    return [(a, b, *p) for (a, b), found in known.items() for p in found]
+    return list(out)
 
 
 def _leading(equal):
@@ -515,7 +528,7 @@ def _leading(equal):
 
 
 #: What a block knows of a text's place of a key.
-_PLACE = ["key", "start", "stop", "linked", "covered", "component", "single"]
+_PLACE = ["key", "start", "stop", "linked", "covered", "component", "size"]
 
 
 def _blocks(width, shortest, run):
@@ -589,7 +602,7 @@ def passage_pairs(docs, text_col="text", width=WIDTH, min_words=MIN_WORDS):
     shared = spark.sparkContext.broadcast(bloom.twice_filter(filled, bits))
     dealt = texts.mapInArrow(_deal(shared, key_width, key_run), "key bigint, text bigint, start bigint, stop bigint")
     members = stored(dealt.groupBy("key", "text").agg(F.min("start").alias("start"), F.max("stop").alias("stop"),
-                                                   (F.min("start") == F.max("start")).cast("bigint").alias("single")), "passage-keys")
+                                                   (F.min("stop") - F.min("start")).alias("size")), "passage-keys")
     first = members.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("text", "start", "stop")).alias("a"))
     first = stored(first.where("n > 1").select(
         "key", "n", F.col("a.text").alias("a"), F.col("a.start").alias("a_start"), F.col("a.stop").alias("a_stop")), "passage-first")
@@ -614,15 +627,18 @@ def _widened(start, stop):
 def _left_over(members, found):
     """Members of the keys whose texts are not yet of one component, or hold the key where no passage is found.
 
-    A member is linked if it is of the component of the key's first text and a passage covers the key, at all its places.
+    A member is linked if it is of the component of the key's first text and a passage covers the key, at its
+    first and last place.
     """
     named = components(found.select("a", "b")).withColumnRenamed("node", "text")
     spans = _merged(_sides(found)).groupBy("text").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     texts = stored(spans.join(named, "text"), "passage-linked")
     first = texts.select(F.col("text").alias("a"), F.col("component").alias("a_component"))
-    covered = F.exists("spans", lambda p: (p["start"] <= F.col("m.start")) & (F.col("m.stop") <= p["stop"]))
+    first_stop, last_start = F.col("m.start") + F.col("size"), F.col("m.stop") - F.col("size")
+    covered = F.exists("spans", lambda p: (p["start"] <= F.col("m.start")) & (first_stop <= p["stop"]))
+    covered &= F.exists("spans", lambda p: (p["start"] <= last_start) & (F.col("m.stop") <= p["stop"]))
     marked = members.alias("m").join(texts, "text", "left").join(first, "a", "left").select(
-        "key", "a", "text", F.col("m.start").alias("start"), F.col("m.stop").alias("stop"), "single",
+        "key", "a", "text", F.col("m.start").alias("start"), F.col("m.stop").alias("stop"), "size",
         F.coalesce(covered, F.lit(False)).cast("bigint").alias("covered"), F.coalesce("component", "text").alias("component"),
         F.coalesce("a_component", "a").alias("a_component"))
     marked = stored(marked.withColumn("linked", F.when(F.col("component") == F.col("a_component"), F.col("covered")).otherwise(0)
