@@ -16,14 +16,13 @@ every function, so no pair is left to chance:
 3. The texts of a key are paired with the first one. Pairs are verified token by token around their keys: runs of common
    tokens, at all places where they occur, are chained along both texts; of chains that are not similar enough the longest
    parts count that are, and all runs of MIN_WORDS words count.
-4. A key is done if a passage with its first text covers it in all other texts. In the keys that are left, every text that
-   has none is compared with all others, those that have one included, until they are of one class: texts that are linked,
-   over any number of texts, by passages that cover the key. So two texts of a key are left apart only if each text of one's
-   class was compared with each of the other's. These comparisons run by blocks of texts; their number grows with the square
-   of a group that shares 25 words and no passage, and memory does not.
-
-So two texts that share a passage are always in one component, and the passage's key is covered in both. The links are
-those that were compared, not all pairs of a class. The bound of `least_run` takes the tokens that two texts do not share
+4. A key is done if its texts are of one component and a passage covers it in each. In the keys that are left, two texts
+   are compared around the key if they are of two components, or no passage covers the key yet in one of them. These
+   comparisons run by blocks of texts; their number grows with the square of a group that shares 25 words and no passage,
+   and memory does not.
+
+So two texts that share a passage are in one component. The links and the edges of passages are those of the texts that
+were compared, not of all pairs of a component. The bound of `least_run` takes the tokens that two texts do not share
 for distinct; a passage of lines that repeat within it but for a word (below 25 words a line, in another order in the other
 text) can have shorter runs only and be missed.
 
