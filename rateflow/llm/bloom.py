@@ -39,7 +39,9 @@ def _pack(segment):
     """A segment's bits as a bitmap, or as 16-bit numbers where that is shorter."""
     if int(np.bitwise_count(segment).sum()) * 2 >= len(segment):
         return segment.tobytes()
-    return np.flatnonzero(np.unpackbits(segment, bitorder="little")).astype("<u2").tobytes()
+    some = np.flatnonzero(segment)
+    at, bit = np.nonzero(np.unpackbits(segment[some, None], axis=1, bitorder="little").view(bool))
+    return (some[at] * 8 + bit).astype("<u2").tobytes()
 
 
 def _unpack(data, size):

@@ -34,6 +34,8 @@ count as copies. A null id is not chosen as a component's name. Extra columns ar
 """
 
 import math
+from bisect import bisect_left
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -184,8 +186,10 @@ def _fill(bits, width, run):
         filters = bloom.Pair(bits)
         for piece in pieces(batches):
             text, key, _, _ = _piece_keys(piece.column("text").to_pylist(), width, run)
-            pair = np.unique(np.stack([key, text]), axis=1) if len(key) else np.zeros((2, 0), np.int64)
-            filters.add(pair[0].view(np.uint64))
+            order = np.lexsort((text, key))
+            text, key = text[order], key[order]
+            new = np.append(True, (key[1:] != key[:-1]) | (text[1:] != text[:-1]))[:len(key)]
+            filters.add(key[new].view(np.uint64))
         yield from filters.batches()
     return filled
 
@@ -283,47 +287,81 @@ def _lists(batch, name):
     return [flat[x:y] for x, y in zip(offsets, offsets[1:], strict=False)]
 
 
-def _dense(common, b, shortest, similarity):
+def _least_distinct(values, size):
+    """The least number of distinct tokens among `size` in a row."""
+    order = np.argsort(values, kind="stable")
+    ranked = values[order]
+    same = np.flatnonzero(ranked[1:] == ranked[:-1])
+    if not len(same):
+        return size
+    # the last place of each token counts in all windows that hold it and not the next one
+    place, starts = np.arange(len(values)), len(values) - size + 1
+    after = np.full(len(values), 2 * len(values))
+    after[order[same]] = order[same + 1]
+    first, last = np.maximum(place - size + 1, 0), np.minimum(np.minimum(place, after - size), starts - 1)
+    held = first <= last
+    return int(np.cumsum(np.bincount(first[held], minlength=starts + 1) - np.bincount(last[held] + 1, minlength=starts + 1))[:starts].min())
+
+
+def _dense(common, a, b, shortest, similarity):
     """The common places of b in stretches that can hold a passage.
 
     A passage of distinct tokens is common at `similarity` of its places, so some `shortest` places in a row have at least
-    2 x similarity - 1 of theirs; repeated tokens are allowed for. Chains do not leave a stretch.
+    2 x similarity - 1 of theirs; repeated tokens are allowed for. And a stretch has all distinct tokens that a passage
+    shares, which has on both sides those of some `shortest` places. Chains do not leave a stretch.
     """
     out = np.zeros(len(b), bool)
     places = np.flatnonzero(common)
     if not len(places):
         return out
-    cuts = np.flatnonzero(np.diff(places) > GAP) + 1
-    for x, y in zip(np.append(0, cuts).tolist(), np.append(cuts, len(places)).tolist(), strict=True):
-        low, high = int(places[x]), int(places[y - 1]) + 1
+    own = None
+    cuts = np.flatnonzero(places[1:] - places[:-1] > GAP)
+    for low, high in zip([int(places[0]), *places[cuts + 1].tolist()], [*places[cuts].tolist(), int(places[-1])], strict=True):
+        high += 1
         if high - low >= shortest:
-            sums = np.concatenate([[0], np.cumsum(common[low:high])])
-            repeats = high - low - len(np.unique(b[low:high]))
-            if (sums[shortest:] - sums[:-shortest]).max() >= (2 * similarity - 1) * shortest - repeats - 1:
+            sums = np.zeros(high - low + 1, np.int64)
+            np.cumsum(common[low:high], out=sums[1:])
+            least = (2 * similarity - 1) * shortest - 1 - int((sums[shortest:] - sums[:-shortest]).max())
+            part = b[low:high]
+            if least > 0 and high - low - len(np.unique(part)) < least:
+                continue
+            if own is None:
+                own = _least_distinct(a, shortest)
+            shared = len(set(part[common[low:high]].tolist()))
+            if shared * (1 + similarity) >= similarity * (own + _least_distinct(part, shortest)) - 1e-9:
                 out[low:high] = common[low:high]
     return out
 
 
-def _runs(a, b, wanted, limit=1 << 21):
+def _runs(order, ranked, b, low, wanted, limit=1 << 21):
     """(start in a, start in b, length) of the maximal runs of equal tokens on a diagonal, for all places of a token in a.
 
-    Only the places of b that `wanted` marks are looked at.
+    `ranked` is a in order, `low` has the first place there for each token of b. Only the places of b that `wanted` marks
+    are looked at. Runs come by their start in b, then in a.
     """
-    order = np.argsort(a, kind="stable")
-    ranked = a[order]
-    low, high = np.searchsorted(ranked, b, "left"), np.searchsorted(ranked, b, "right")
-    high = np.where(wanted, high, low)
-    ends = np.cumsum(high - low)
+    j = np.flatnonzero(wanted)
+    first = low[j]
+    if (ranked[1:] != ranked[:-1]).all():  # one place in a for each of b
+        i = order[first]
+        new = np.flatnonzero(np.append(True, (j[1:] - j[:-1] != 1) | (i[1:] - i[:-1] != 1)))
+        return i[new], j[new], np.diff(new, append=len(j))
+    size = np.searchsorted(ranked, b[j], "right") - first
+    ends = np.cumsum(size)
     at, out = 0, []
-    while at < len(b):  # so many places of b at once that their pairs of places fit into memory
+    while at < len(j):  # so many places of b at once that their pairs of places fit into memory
         before = ends[at - 1] if at else 0
         stop = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
-        size = (high - low)[at:stop]
-        j = np.repeat(np.arange(at, stop), size)
-        i = order[np.arange(size.sum()) + np.repeat(low[at:stop] - np.cumsum(size) + size, size)]
-        out.append(_joined(i, j, np.ones(len(i), np.int64)))
+        some = size[at:stop]
+        i = order[np.arange(some.sum()) + np.repeat(first[at:stop] - np.cumsum(some) + some, some)]
+        both = np.repeat(j[at:stop], some)
+        key = np.sort((i - both + len(low) << 32) + both)  # by diagonal: the next place of a run is the next number
+        new = np.flatnonzero(np.append(True, key[1:] - key[:-1] != 1))
+        key, length = key[new], np.diff(new, append=len(key))
+        out.append(np.stack([(key >> 32) + (key & 0xFFFFFFFF) - len(low), key & 0xFFFFFFFF, length]))
         at = stop
-    return _joined(*np.concatenate(out, 1)) if len(out) > 1 else out[0] if out else np.zeros((3, 0), np.int64)
+    i, j, length = _joined(*np.concatenate(out, 1)) if len(out) > 1 else out[0]
+    by_place = np.argsort((j << 32) + i)
+    return i[by_place], j[by_place], length[by_place]
 
 
 def _joined(i, j, length):
@@ -333,43 +371,71 @@ def _joined(i, j, length):
     return np.stack([i[new], j[new], np.add.reduceat(length, new) if len(new) else length])
 
 
-def _paths(i, j, length):
-    """Chains of several runs with steps of at most GAP along both texts; each run follows the one that shifts it least."""
-    order = np.lexsort((i, j))
-    i, j, length = (x[order].tolist() for x in (i, j, length))
-    ending, before, last = {}, [-1] * len(i), [True] * len(i)
-    for n in range(len(i)):
-        best = None
-        for end in range(i[n] - GAP + 1, i[n] + 1):
-            for m in ending.get(end, ()):
-                step = j[n] - j[m] - length[m]
-                if 0 <= step < GAP:
-                    best = min(best or (1 << 60, 0), (abs(i[n] - j[n] - i[m] + j[m]), -m))
-        if best:
-            before[n] = -best[1]
-            last[before[n]] = False
-        own = ending.setdefault(i[n] + length[n], [])
-        own[:] = [m for m in own if j[n] - j[m] - length[m] < GAP] + [n]
-    for n in np.flatnonzero(last).tolist():
-        if before[n] < 0:  # a run by itself
-            continue
-        path = []
-        while n >= 0:
-            path.append((i[n], j[n], length[n]))
-            n = before[n]
-        yield np.array(path[::-1])
+def _followed(runs, few=24, limit=1 << 20):
+    """For each run the one that it follows in a chain, or -1: steps are below GAP along both texts and shift least."""
+    i, j, length = runs
+    if len(i) <= few:
+        before, ends = [-1] * len(i), list(zip((i + length).tolist(), (j + length).tolist(), strict=True))
+        for n, (x, y) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
+            least = GAP
+            for m in range(n):
+                p, q = x - ends[m][0], y - ends[m][1]
+                if 0 <= p < GAP and 0 <= q < GAP and abs(p - q) <= least:
+                    least, before[n] = abs(p - q), m
+        return before
+    before = np.full(len(i), -1)
+    by_end = np.argsort(j + length, kind="stable")
+    end_i, end_j = (i + length)[by_end], (j + length)[by_end]
+    low, high = np.searchsorted(end_j, j - GAP, "right"), np.searchsorted(end_j, j, "right")
+    ends = np.cumsum(high - low)
+    at = 0
+    while at < len(i):  # so many runs at once that those that end near them along b fit into memory
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, "right")))
+        size = (high - low)[at:stop]
+        n = np.repeat(np.arange(at, stop), size)
+        m = np.arange(size.sum()) + np.repeat(low[at:stop] - np.cumsum(size) + size, size)
+        p = i[n] - end_i[m]
+        near = np.flatnonzero((p >= 0) & (p < GAP))
+        n, m, p = n[near], m[near], p[near]
+        if len(n):
+            rank = (np.abs(p - j[n] + end_j[m]) << 32) - by_end[m]
+            new = np.flatnonzero(np.append(True, n[1:] != n[:-1]))
+            best = np.minimum.reduceat(rank, new)
+            before[n[new]] = -best & 0xFFFFFFFF
+        at = stop
+    return before.tolist()
 
 
 def _longest(gain):
-    """(first, last) of the longest stretch whose sum is not negative, or None."""
-    sums = np.concatenate([[0], np.cumsum(gain)])
-    lows = np.flatnonzero(sums < np.concatenate([[np.inf], np.minimum.accumulate(sums)[:-1]]))
-    # for each end the first start whose sum is no larger; the sums at `lows` fall
-    place = np.searchsorted(-sums[lows], -sums - 1e-9)
-    start = np.where(place < len(lows), lows[np.minimum(place, len(lows) - 1)], len(sums))
-    size = np.arange(len(sums)) - start
-    end = int(size.argmax())
-    return (int(start[end]), end - 1) if size[end] > 0 else None
+    """(first, last) of the longest stretch whose sum is not negative."""
+    total, lows, at, best, found = 0.0, [0.0], [0], 0, None
+    for end, value in enumerate(gain, 1):
+        total += value
+        # the first start whose sum is no larger; the lowest sums so far, negative, rise
+        if -total > lows[-1]:
+            lows.append(-total)
+            at.append(end)
+        place = bisect_left(lows, -total - 1e-9)
+        if place < len(at) and end - at[place] > best:
+            best, found = end - at[place], (at[place], end - 1)
+    return found
+
+
+def _outermost(found, few=16, rows=512):
+    """Without what lies within another passage on both sides."""
+    ranked = sorted(found, key=lambda p: (p[0] - p[1], p))
+    if len(ranked) <= few:
+        outer = [p for n, p in enumerate(ranked) if not any(
+            q[0] <= p[0] and p[1] <= q[1] and q[2] <= p[2] and p[3] <= q[3] for q in ranked[:n])]
+        return sorted(outer, key=lambda p: p[2])
+    ranked = np.array(ranked, np.int64)
+    outer = np.ones(len(ranked), bool)
+    for at in range(0, len(ranked), rows):
+        own = ranked[at:at + rows, None]
+        q = ranked[:at + rows]
+        within = (q[:, 0] <= own[..., 0]) & (own[..., 1] <= q[:, 1]) & (q[:, 2] <= own[..., 2]) & (own[..., 3] <= q[:, 3])
+        outer[at:at + rows] = ~np.tril(within, at - 1).any(1)
+    return sorted(map(tuple, ranked[outer].tolist()), key=lambda p: p[2])
 
 
 def passages(a, b, shortest, similarity=SIMILARITY):
@@ -377,50 +443,88 @@ def passages(a, b, shortest, similarity=SIMILARITY):
 
     A chain counts whole if its tokens are similar enough, else by its longest parts that are; so do all equal stretches.
     """
-    found = set()
-
-    def judged(path):
-        (i0, j0, _), (i1, j1, n) = path[0], path[-1]
-        place = int(i0), int(i1 + n), int(j0), int(j1 + n)
-        if min(place[1] - place[0], place[3] - place[2]) < shortest:
-            return None
-        if len(path) == 1:
-            return place
-        s, t = np.unique(a[place[0]:place[1]]), np.unique(b[place[2]:place[3]])
-        common = len(np.intersect1d(s, t, assume_unique=True))
-        return place if common >= similarity * (len(s) + len(t) - common) else False
-
-    def gain(path):
+    if min(len(a), len(b)) < shortest:
+        return []
+    order = np.argsort(a, kind="stable")
+    ranked = a[order]
+    low = np.searchsorted(ranked, b)
+    common = ranked[np.minimum(low, len(a) - 1)] == b
+    wanted = _dense(common, a, b, shortest, similarity)
+    if not wanted.any():
+        return []
+    runs = np.stack(_runs(order, ranked, b, low, wanted))
+    i, j, length = runs.tolist()
+    found = {(x, x + n, y, y + n) for x, y, n in zip(i, j, length, strict=True) if n >= shortest}
+    if len(i) == 1:
+        return sorted(found)
+    before = _followed(runs)
+    root = list(range(len(i)))
+    for n, m in enumerate(before):
+        if m >= 0:
+            root[n] = root[m]
+
+    def place_of(x, y):
+        """From the start of run x to the end of run y, if that is long enough."""
+        place = i[x], i[y] + length[y], j[x], j[y] + length[y]
+        return place if min(place[1] - place[0], place[3] - place[2]) >= shortest else None
+
+    def drop(counts, tokens):
+        for x in tokens:
+            if counts[x] == 1:
+                del counts[x]
+            else:
+                counts[x] -= 1
+
+    def gain(part):
         """By places: of a stretch of items (run, way to the next, run, ...) the sum tells if it is similar enough."""
-        own = path[:, 2] * (1 - similarity)
-        way = -similarity * (np.diff(path[:, 0]) + np.diff(path[:, 1]) - 2 * path[:-1, 2])
-        items = np.zeros(2 * len(path) - 1)
-        items[::2], items[1::2] = own, way
+        items, last = [], None
+        for n in part:
+            if last is not None:
+                items.append(-similarity * (i[n] - i[last] + j[n] - j[last] - 2 * length[last]))
+            items.append(length[n] * (1 - similarity))
+            last = n
         return items
 
-    runs = _runs(a, b, _dense(np.isin(b, a), b, shortest, similarity))
-    for i, j, n in runs[:, runs[2] >= shortest].T.tolist():
-        found.add((i, i + n, j, j + n))
-    for path in _paths(*runs):
-        open_parts = [path]
+    own, other = a.tolist(), b.tolist()
+    done = set()
+    for n in set(range(len(i))).difference(before):
+        if before[n] < 0 or not place_of(root[n], n):  # a run by itself, or a short chain
+            continue
+        path = []
+        while n >= 0:
+            path.append(n)
+            n = before[n]
+        open_parts = [(path[::-1], None)]
         while open_parts:
-            part = open_parts.pop()
-            place = judged(part)
-            if place:
+            part, counts = open_parts.pop()
+            first, last = part[0], part[-1]
+            place = place_of(first, last)
+            if place is None or first == last or (first, last) in done:  # chains that part later have the same beginning
+                continue
+            done.add((first, last))
+            s, t = counts or (set(own[place[0]:place[1]]), set(other[place[2]:place[3]]))
+            shared = len(s.keys() & t.keys()) if counts else len(s & t)
+            if shared >= similarity * (len(s) + len(t) - shared):
                 found.add(place)
-            elif place is False and len(part) > 1:
-                stretch = _longest(gain(part))
-                x, y = ((stretch[0] + 1) // 2, stretch[1] // 2 + 1) if stretch else (0, 0)
-                if y - x in (0, len(part)):  # repeats within the part: without its weaker end
-                    x, y = (1, len(part)) if part[0][2] <= part[-1][2] else (0, len(part) - 1)
-                open_parts += [p for p in (part[:x], part[x:y], part[y:]) if len(p)]
-    # what lies within another passage on both sides adds nothing
-    ranked = np.array(sorted(found, key=lambda p: (p[0] - p[1], p)), np.int64).reshape(-1, 4)
-    outer = np.ones(len(ranked), bool)
-    for n, (i0, i1, j0, j1) in enumerate(ranked[1:].tolist(), 1):
-        q = ranked[:n]
-        outer[n] = not ((q[:, 0] <= i0) & (i1 <= q[:, 1]) & (q[:, 2] <= j0) & (j1 <= q[:, 3])).any()
-    return sorted(map(tuple, ranked[outer].tolist()), key=lambda p: p[2])
+                continue
+            size = sum(length[n] for n in part)
+            if size * (1 - similarity) - similarity * (place[1] - place[0] + place[3] - place[2] - 2 * size) < -1e-9:
+                x, y = _longest(gain(part))
+                x, y = (x + 1) // 2, y // 2 + 1
+                open_parts += [(p, None) for p in (part[:x], part[x:y], part[y:]) if p]
+                continue
+            # repeats within the part: without its weaker end
+            s, t = counts or (Counter(own[place[0]:place[1]]), Counter(other[place[2]:place[3]]))
+            if length[first] <= length[last]:
+                part = part[1:]
+                drop(s, own[place[0]:i[part[0]]])
+                drop(t, other[place[2]:j[part[0]]])
+            else:
+                part = part[:-1]
+                drop(s, own[i[part[-1]] + length[part[-1]]:place[1]])
+                drop(t, other[j[part[-1]] + length[part[-1]]:place[3]])
+            open_parts.append((part, (s, t)))
+    return _outermost(found)
 
 
 def _verify(width, shortest):

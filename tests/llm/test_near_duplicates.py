@@ -249,6 +249,32 @@ def test_repeated_and_scattered_passages_are_verified():
     assert substrings.passages(np.zeros(3000, np.int32), np.zeros(2500, np.int32), 46)
 
 
+def test_texts_with_a_line_in_common_are_told_apart_before_runs(monkeypatch):
+    """Tokens of a stretch that are too few for any passage end the comparison; repeats count as often as they must."""
+    rng = np.random.default_rng(14)
+    token = lambda n: rng.integers(0, 1 << 30, n).astype(np.int32)
+    line, edited = token(36), token(60)
+    a, b = np.concatenate([token(90), line, token(80), edited]), np.concatenate([token(70), line, token(90), edited])
+    b[-20] = 1
+    assert len(substrings.passages(a, b, 46)) == 1
+    for values in (edited, np.tile(line[:7], 12), rng.integers(0, 30, 200).astype(np.int32)):
+        least = min(len(set(values[x:x + 46].tolist())) for x in range(len(values) - 45))
+        assert substrings._least_distinct(values, 46) == least
+    monkeypatch.setattr(substrings, "_runs", lambda *args: 1 / 0)
+    assert substrings.passages(a[:206], b[:196], 46) == []
+
+
+def test_many_runs_are_chained_as_few():
+    rng = np.random.default_rng(15)
+    for length in (40, 400):
+        runs = np.unique(rng.integers(0, length, (2, 300)), axis=1)[:, :200]
+        runs = runs[:, np.lexsort(runs)]
+        runs = np.stack([runs[1], runs[0], np.ones(runs.shape[1], np.int64)])
+        assert substrings._followed(runs, few=1000) == substrings._followed(runs, few=0) == substrings._followed(runs, few=0, limit=50)
+    found = {(int(x), int(x + n), int(y), int(y + n)) for x, y, n in rng.integers(0, 60, (300, 3))}
+    assert substrings._outermost(found, few=1000) == substrings._outermost(found, few=0, rows=16)
+
+
 def test_windows_meet_beyond_many_repeats():
     """A text with a passage many times gives many pairs of one function at one place of the other text."""
     window = lambda f, c: int(substrings._packed(f, c - 40, c, c + 40))
