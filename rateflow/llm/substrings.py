@@ -770,7 +770,7 @@ def _compared(lists, members, width, shortest, run):
     """
     rows = stored(members.groupBy("a", "text").agg(
         F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("linked").alias("whole"),
-        F.collect_list(F.struct(*_PLACE)).alias("places")), "passage-places")
+        F.sort_array(F.collect_list(F.struct(*_PLACE))).alias("places")), "passage-places")
     chunks = rows.groupBy("a").agg(*(F.ceil(F.sum(n) / MORE_LEADERS).cast("int").alias(c) for n, c in (
         (1 - F.col("whole"), "open_chunks"), (F.col("whole"), "linked_chunks"))))
     upto = lambda c: F.when(F.col(c) > 0, F.sequence(F.lit(0), F.col(c) - 1)).otherwise(F.array().cast("array<int>"))
