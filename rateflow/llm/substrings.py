@@ -17,12 +17,13 @@ every function, so no pair is left to chance:
    tokens, at all places where they occur, are chained along both texts; of chains that are not similar enough the longest
    parts count that are, and all runs of MIN_WORDS words count.
 4. A key is done if its texts are of one component and a passage covers it in each. In the keys that are left, two texts
-   are compared around the key if they are of two components, or no passage covers the key yet in one of them. These
-   comparisons run by blocks of texts; their number grows with the square of a group that shares 25 words and no passage,
-   and memory does not.
+   are compared around the key if they are of two components, or no passage covers the key yet in one of them. Texts of
+   large groups that have too few tokens there in common with all others go first, then pairs with too few. The
+   comparisons run by blocks of texts; their number grows with the square of a group that has passages but none that
+   covers the key, and memory does not.
 
 So two texts that share a passage are in one component. The links and the edges of passages are those of the texts that
-were compared, not of all pairs of a component. The bound of `least_run` takes the tokens that two texts do not share
+were compared, not of all pairs of a component; of the passages of two texts so many are kept that all their words are. The bound of `least_run` takes the tokens that two texts do not share
 for distinct; a passage of lines that repeat within it but for a word (below 25 words a line, in another order in the other
 text) can have shorter runs only and be missed.
 
@@ -64,6 +65,8 @@ GAP = 16
 MORE_LEADERS = 200
 #: Texts that are verified against one text by the same task.
 PARTNERS = 1000
+#: Pairs of texts of a key that are compared without a look at the tokens that its texts share.
+FEW_PAIRS = 32
 #: Tokens on both sides of the keys of two texts that are verified with them, at least.
 MARGIN = 150
 #: Candidates, or rows of blocks, for one task.
@@ -527,6 +530,133 @@ def passages(a, b, shortest, similarity=SIMILARITY):
     return _outermost(found)
 
 
+def _most(common, new, shortest, similarity=SIMILARITY, sides=2):
+    """For each row, the most that a stretch of tokens gains by those in common less what it loses by the others.
+
+    Of two texts with S distinct tokens in common and U others on both sides, a passage has S * (1 - similarity) >= U *
+    similarity. With both sides in view each counts half of S. A token that repeats in a row counts once, where `new` says so.
+    """
+    rows, size = common.shape
+    if size < shortest:
+        return np.full(rows, -np.inf, np.float32)
+    gain = common * np.float32(similarity + (1 - similarity) / sides)
+    gain -= np.float32(similarity)
+    gain *= new
+    sums = np.zeros((rows, size + 1), np.float32)
+    np.cumsum(gain, 1, out=sums[:, 1:])
+    return (sums[:, shortest:] - np.minimum.accumulate(sums[:, :size + 1 - shortest], 1)).max(1)
+
+
+def _slack(again, similarity=SIMILARITY, sides=2):
+    """What _most may lack: a stretch can begin within a repeated token, and `again` tokens may have come before in it."""
+    return similarity * again + (1 - similarity) / sides + 0.01
+
+
+def _changes(tokens):
+    """Where a token differs from the one before it, and how many such places hold a token that came earlier."""
+    new = np.append(True, tokens[1:] != tokens[:-1])[:len(tokens)]
+    return new, int(new.sum()) - len(np.unique(tokens))
+
+
+def _in_group(group, tokens):
+    """The tokens of a group's text as keys that other groups do not have."""
+    return mixed((tokens.astype(np.int64) << 20).view(np.uint64) ^ mixed(np.array([group]).view(np.uint64)))
+
+
+def _fill_groups(bits, rows=500):
+    """Filter segments of the tokens of this task's texts; a text comes once a group."""
+    def filled(batches):
+        filters = bloom.Pair(bits)
+        for batch in batches:
+            keys = [_in_group(a, np.unique(x)) for a, x in zip(batch.column("a").to_pylist(), _lists(batch, "tokens"), strict=True)]
+            for at in range(0, len(keys), rows):
+                filters.add(np.concatenate(keys[at:at + rows]))
+        yield from filters.batches()
+    return filled
+
+
+def _likely(shared, shortest):
+    """The places around which a second text of the group may have a passage's tokens, one row each."""
+    def run(batches):
+        for batch in batches:
+            places = list(zip(*(_lists(batch, f"place_{c}") for c in _PLACE), strict=True))
+            out = [np.zeros((0, len(_PLACE) + 2), np.int64)]
+            names = zip(*(batch.column(c).to_pylist() for c in ("a", "text", "start")), strict=True)
+            for (a, text, at), part, place in zip(names, _lists(batch, "tokens"), places, strict=True):
+                common = bloom.contains(shared.value, _in_group(a, part))
+                keep = []
+                for low, high in zip(place[1].tolist(), place[2].tolist(), strict=True):
+                    x, y = max(low - at - MARGIN, 0), high - at + MARGIN
+                    new, again = _changes(part[x:y])
+                    keep.append(_most(common[None, x:y], new, shortest, sides=1)[0] >= -_slack(again, sides=1))
+                columns = np.stack(place, 1)[keep]
+                out.append(np.concatenate([np.full((len(columns), 2), (a, text)), columns], 1))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(out).T], names=["a", "text", *_PLACE])
+    return run
+
+
+class _Key:
+    """What the texts of a key have in common around it, which tells most pairs without a passage."""
+
+    def __init__(self, windows, shortest, similarity=SIMILARITY):
+        self.shortest, self.similarity = shortest, similarity
+        sizes = np.array([len(w) for w in windows])
+        owner = np.repeat(np.arange(len(windows)), sizes)
+        _, number = np.unique(np.concatenate(windows), return_inverse=True)
+        held = np.unique(number * len(windows) + owner)
+        twice = np.flatnonzero(np.bincount(held // len(windows)) > 1)
+        rank = np.full(int(number.max(initial=0)) + 1, len(twice))  # tokens that one text alone has are none that others have
+        rank[twice] = np.arange(len(twice))
+        self.has = np.zeros((len(windows), len(twice) + 1), np.bool_)
+        self.has[owner, rank[number]] = True
+        self.has[:, -1] = False
+        self.numbers = np.full((len(windows), int(sizes.max())), len(twice))
+        self.new = np.ones(self.numbers.shape, np.bool_)
+        at = np.arange(len(number)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        self.numbers[owner, at] = rank[number]
+        edge = np.append(True, (number[1:] != number[:-1]) | (owner[1:] != owner[:-1]))[:len(number)]
+        self.new[owner, at] = edge
+        again = np.bincount(owner[edge], minlength=len(windows)) - np.bincount(held % len(windows), minlength=len(windows))
+        self.slack = _slack(again, similarity)
+        least = np.array([_least_distinct(w, shortest) if len(w) >= shortest else np.inf for w in windows])
+        shares = self.has.astype(np.float32)
+        self.many = shares @ shares.T >= similarity / (1 + similarity) * (least[:, None] + least) - 0.01
+
+    def partners(self, n, others):
+        """Those of the members `others` with which n can share a passage."""
+        others = others[self.many[n, others]]
+        if not len(others):
+            return others
+        needed = -self.slack[n] - self.slack[others]
+        needed -= _most(self.has[others][:, self.numbers[n]], self.new[n], self.shortest, self.similarity)
+        near = needed <= self.new[others].sum(1) * (1 - self.similarity) / 2
+        others, needed = others[near], needed[near]
+        return others[_most(self.has[n][self.numbers[others]], self.new[others], self.shortest, self.similarity) >= needed]
+
+
+def _covering(found):
+    """Of the passages of two texts so many that they hold the same words on both sides; where words repeat there are many more."""
+    if len(found) < 3:
+        return found
+    out = set()
+    for first in (0, 2):
+        ranked = sorted(found, key=lambda p: (p[first], -p[first + 1]))
+        reach, at = -1, 0
+        while at < len(ranked):
+            best = None
+            while at < len(ranked) and ranked[at][first] <= reach:
+                if ranked[at][first + 1] > reach and (best is None or ranked[at][first + 1] > best[first + 1]):
+                    best = ranked[at]
+                at += 1
+            if best is None:
+                if at == len(ranked):
+                    break
+                best = ranked[at]
+            out.add(best)
+            reach = best[first + 1]
+    return sorted(out, key=lambda p: p[2])
+
+
 def _verify(width, shortest):
     """Rows come sorted by a, salt and b, the text a itself (null b) first; a row names the part of a that it is compared with."""
     def run(batches):
@@ -539,7 +669,8 @@ def _verify(width, shortest):
                     at, own, first = (a, salt), part.copy(), start
                 elif at == (a, salt):
                     low = max(a_from - first, 0)
-                    out += [(a, b, *x) for x in _placed(own[low:max(a_to - first, 0)], part, first + low, start, width, shortest)]
+                    found = _placed(own[low:max(a_to - first, 0)], part, first + low, start, width, shortest)
+                    out += [(a, b, *x) for x in _covering(found)]
             if out:
                 yield _passages(out)
     return run
@@ -611,17 +742,26 @@ def _compare(block, width, shortest, run):
             up[find(x[5])] = find(y[5])
             spans.setdefault(x[0], set()).update(p[:2] for p in found)
             spans.setdefault(y[0], set()).update(p[2:] for p in found)
-            out.update((x[0], y[0], *p) for p in found)
+            out.update((x[0], y[0], *p) for p in _covering(found))
+
+    def window(member):
+        """The part of a member's text that is compared."""
+        text, low, high, *_ = member
+        _, at, part = parts[text]
+        return part[max(low - at - MARGIN, 0):high - at + MARGIN]
 
     for members in keys.values():
-        earlier = [m for m in members if m[3]]
-        for y in members:
-            if not y[3]:
-                for x in earlier:
-                    if (len(sides) == 1 or parts[x[0]][0] != parts[y[0]][0]) and not (
-                            find(x[5]) == find(y[5]) and covered(x) and covered(y)):
-                        compare(x, y)
-                earlier.append(y)
+        members = sorted(members, key=lambda m: -m[3])
+        first = sum(m[3] for m in members)
+        side = np.array([parts[m[0]][0] for m in members])
+        key = _Key([*map(window, members)], shortest) if (len(members) - first) * len(members) > FEW_PAIRS else None
+        for n in range(first, len(members)):
+            y = members[n]
+            others = np.flatnonzero(side[:n] != side[n]) if len(sides) > 1 else np.arange(n)
+            for m in (key.partners(n, others) if key else others).tolist():
+                x = members[m]
+                if not (find(x[5]) == find(y[5]) and covered(x) and covered(y)):
+                    compare(x, y)
     return list(out)
 
 
@@ -717,7 +857,7 @@ def passage_pairs(docs, text_col="text", width=WIDTH, min_words=MIN_WORDS):
         *(f(c).alias(n) for f, c, n in ((F.min, "a_start", "a_from"), (F.max, "a_stop", "a_to"),
                                         (F.min, "start", "start"), (F.max, "stop", "stop")))), "passage-pairs")
     found = _verified(lists, near, width, shortest)
-    left = _left_over(members, found)
+    left = _narrowed(_left_over(members, found), lists, shortest)
     return found if left.isEmpty() else found.unionByName(_compared(lists, left, width, shortest, run))
 
 
@@ -750,6 +890,30 @@ def _left_over(members, found):
     return stored(lookup(marked, done, "key", "n", HOT_SHARE).where("done = 0").select(*marked.columns), "passage-open")
 
 
+def _narrowed(members, lists, shortest):
+    """Members without those of large groups that have too few tokens around their key in common with all others of the group.
+
+    The tokens of each group go into a pair of filters, so this is one pass over texts, not over pairs; a filter that is
+    full keeps more members and loses none.
+    """
+    spark = members.sparkSession
+    sizes = members.groupBy("a").agg(F.count_distinct("text").alias("n"))
+    large = stored(sizes.where(F.col("n") > MORE_LEADERS).select("a"), "passage-large")
+    if large.isEmpty():
+        return members
+    rows = members.join(large, "a", "left_semi").groupBy("a", "text").agg(
+        F.greatest(F.min("start") - MARGIN, F.lit(0)).alias("start"), (F.max("stop") + MARGIN).alias("stop"),
+        *(F.collect_list(c).alias(f"place_{c}") for c in _PLACE))
+    ready = rows.join(lists, "text")
+    windows = stored(ready.mapInArrow(_cut, ready.schema), "passage-windows")
+    bits = bloom.size_for(windows.agg(F.sum(F.size("tokens"))).first()[0] or 0, 2 * BITS_PER_KEY, MAX_BITS)
+    filled = stored(windows.select("a", "tokens").mapInArrow(_fill_groups(bits), bloom.PARTIAL), "passage-common")
+    shared = spark.sparkContext.broadcast(bloom.twice_filter(filled, bits))
+    kept = windows.mapInArrow(_likely(shared, shortest), ", ".join(f"{c} bigint" for c in ("a", "text", *_PLACE)))
+    others = members.join(large, "a", "left_anti")
+    return stored(others.unionByName(kept.select(*others.columns)), "passage-likely")
+
+
 def _sides(found):
     """(text, other, start, stop): each passage from both sides."""
     sides = found.select(F.col("a").alias("text"), F.col("b").alias("other"), F.col("a_start").alias("start"), F.col("a_stop").alias("stop"))

@@ -297,3 +297,65 @@ def test_lookup_splits_hot_keys(spark):
     got = lookup(big, small, "k", "n").collect()
     most = {r.k: r.m for r in small.collect()}
     assert brute.same(got, [(0 if i % 3 else i, i, most.get(0 if i % 3 else i)) for i in range(3000)])
+
+
+def _noisy(rng, tokens, share):
+    """The tokens with some others in their place."""
+    out = tokens.copy()
+    some = rng.random(len(out)) < share
+    out[some] = rng.integers(1 << 20, 1 << 28, some.sum())
+    return out
+
+
+def test_no_pair_with_a_passage_is_left_out_by_shared_tokens():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 20, 300).astype(np.int32)
+    line = np.concatenate([base[:40], np.repeat(base[40:41], 90), np.tile(base[60:75], 6)])
+    texts = [_noisy(rng, x, share) for x in (base, line) for share in (0, 0.005, 0.01, 0.02, 0.04, 0.1, 0.3)]
+    texts += [np.concatenate([_noisy(rng, x[:k], 0.01), rng.integers(0, 1 << 28, 90).astype(np.int32)])
+              for x in (base, line) for k in (10, 36, 45, 46, 60, 140)]
+    key = substrings._Key(texts, 46)
+    linked = 0
+    for n, text in enumerate(texts):
+        partners = set(key.partners(n, np.arange(len(texts))).tolist())
+        with_passage = {m for m, other in enumerate(texts) if m != n and substrings.passages(other, text, 46)}
+        assert with_passage <= partners
+        linked += len(with_passage)
+    assert linked > 100 and sum(len(key.partners(n, np.arange(len(texts)))) for n in range(len(texts))) < len(texts) ** 2 * 0.7
+
+
+def test_kept_passages_hold_all_words():
+    rng = np.random.default_rng(4)
+    words = lambda found, side: {w for p in found for w in range(p[side], p[side + 1])}
+    for n in (1, 2, 3, 8, 60):
+        for _ in range(40):
+            i, j = rng.integers(0, 200, n), rng.integers(0, 200, n)
+            found = list(zip(i.tolist(), (i + rng.integers(1, 60, n)).tolist(), j.tolist(), (j + rng.integers(1, 60, n)).tolist(), strict=True))
+            kept = substrings._covering(found)
+            assert set(kept) <= set(found) and all(words(kept, side) == words(found, side) for side in (0, 2))
+    same = np.zeros(120, np.int32)
+    assert len(substrings.passages(same, same[:100], 46)) > 20
+    assert len(substrings._covering(substrings.passages(same, same[:100], 46))) <= 4
+
+
+def test_texts_with_only_a_line_in_common_are_not_compared(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    word = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 1 << 30, n))
+    line, passage = word(30), word(60)
+    texts = [f"{word(40)} {line} {word(80)}" for _ in range(60)] + [f"{word(20)} {line} {passage} {word(30)}" for _ in range(6)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    wanted = {tuple(r) for r in substrings.near_duplicate_passages(docs).collect()}
+    assert {r[0] for r in wanted} == set(range(60, 66)) and len({r[1] for r in wanted}) == 1
+    monkeypatch.setattr(substrings, "MORE_LEADERS", 10)
+    rows, narrowed = [], substrings._narrowed
+
+    def counted(members, lists, shortest):
+        left = narrowed(members, lists, shortest)
+        rows.append((members.select("text").distinct().count(), left.select("text").distinct().count()))
+        return left
+
+    monkeypatch.setattr(substrings, "_narrowed", counted)
+    got = {tuple(r) for r in substrings.near_duplicate_passages(docs).collect()}
+    assert {r[:2] + r[3:] for r in got} == {r[:2] + r[3:] for r in wanted}
+    before, after = rows[0]
+    assert before > 50 and after <= 6
