@@ -53,6 +53,11 @@ def _numbers(spark, folder, prefix, complete=False):
     return done
 
 
+def _of_rejects(payload):
+    """The payload where it is still needed: facts are whole without it, and need not carry it along."""
+    return F.when(F.col("reason").isNotNull(), F.col(payload))
+
+
 def _unrepeated(messages, payload, arrival, within):
     """Typed messages without those whose id came before, by keyed state with a watermark.
 
@@ -63,7 +68,8 @@ def _unrepeated(messages, payload, arrival, within):
     typed = ingest.ingest(messages, payload, arrival, own_id="_own_id")
     named = F.when(F.col("reason").isNull(), F.concat(F.lit("i"), "_own_id"))
     content = F.concat_ws("\u0001", F.lit("p"), F.coalesce(payload, F.lit("")), F.col(arrival).cast("string"))
-    keyed = typed.withColumns({"_id": F.coalesce(named, F.sha2(content, 256)), "_seen": F.current_timestamp()})
+    keyed = typed.withColumns({
+        "_id": F.coalesce(named, F.sha2(content, 256)), "_seen": F.current_timestamp(), payload: _of_rejects(payload)})
     return keyed.withWatermark("_seen", within).dropDuplicatesWithinWatermark(["_id"]).drop("_id", "_seen", "_own_id")
 
 
@@ -83,7 +89,7 @@ def start_ingest(messages, root, payload="payload", arrival="arrival", trigger=N
 
     def write_batch(received, batch_id):
         batch = received if unique_within else ingest.ingest(spread(received, pieces), payload, arrival)
-        batch = batch.withColumn(payload, F.when(F.col("reason").isNotNull(), F.col(payload))).persist()
+        batch = batch.withColumn(payload, _of_rejects(payload)).persist()
         try:
             facts = ingest.facts(batch)
             write_partitioned(facts, _batch_path(root, FACT, batch_id), "overwrite")

@@ -46,6 +46,17 @@ def test_copies_are_dropped_across_a_restart_and_only_copies(spark):
     assert one(jobs.current_summary(spark, root).where("year = 2025"))["total_flights"] == 9
 
 
+def test_facts_go_into_the_state_without_their_payload(spark):
+    rows = _messages(spark, [('{"id":"a","arr_flights":1}', 10), ('{"id":"a","arr_flights":1}', 11), ("bad", 10), ("bad", 12)])
+    folder, out = work_path(spark, "messages"), work_path(spark, "test")
+    rows.write.parquet(folder)
+    unrepeated = jobs._unrepeated(spark.readStream.schema(rows.schema).parquet(folder), "payload", "arrival", "1 day")
+    unrepeated.writeStream.format("parquet").option("checkpointLocation", f"{out}/checkpoint").trigger(
+        availableNow=True).start(f"{out}/rows").awaitTermination()
+    kept = spark.read.parquet(f"{out}/rows")
+    assert sorted((r.payload or "", r.reason or "") for r in kept.collect()) == [("", "")] + [("bad", "invalid_json")] * 2
+
+
 def test_without_the_option_copies_stay(spark, sf_dir):
     messages = settle(star.event_messages(star.read_events(spark, sf_dir)).limit(60), "messages")
     root = work_path(spark, "test")
